@@ -39,12 +39,12 @@ def class_cells(
     Both classes come out of one aggregate, with the class folded into the key."""
     keys = [*scope, *TILE]
     size = params.cell_size_m
+    wanted = sorted({params.water_class, *ground_classes})
     is_water = F.col("classification") == params.water_class
-    is_ground = F.col("classification").isin(*ground_classes)
     typed = (
-        tiled.select(*keys, "x", "y", "z", "classification")
-        .withColumn("surfaceType", F.when(is_water, "water").when(is_ground, "ground"))
-        .where(F.col("surfaceType").isNotNull())
+        tiled.where(F.col("classification").isin(wanted))
+        .select(*keys, "x", "y", "z", "classification")
+        .withColumn("surfaceType", F.when(is_water, "water").otherwise("ground"))
     )
     corners = replace(tiles, df=tiles.df.select(*keys, "minX", "minY"))
     placed = lookup_join(typed, corners, keys, "inner", spread=("x", "y")).withColumns(

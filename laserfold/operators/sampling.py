@@ -46,12 +46,12 @@ def farthest_points(
         pdf = pdf.sort_values(list(VOXEL), ignore_index=True)
         n = len(pdf)
         if n > wanted:
-            axes = [pdf[a].to_numpy("float64") for a in XYZ]
-            gap = np.full(n, np.inf)
+            at = np.ascontiguousarray(pdf[list(XYZ)].to_numpy("float64").T)
+            gap, reach, diff = np.full(n, np.inf), np.empty(n), np.empty_like(at)
             chosen = np.zeros(wanted, dtype="int64")
             for i in range(1, wanted):
-                last = chosen[i - 1]
-                reach = sum((axis - axis[last]) ** 2 for axis in axes)
+                np.subtract(at, at[:, chosen[i - 1], None], out=diff)
+                np.einsum("ij,ij->j", diff, diff, out=reach)
                 np.minimum(gap, reach, out=gap)
                 chosen[i] = gap.argmax()
             pdf = pdf.iloc[chosen]

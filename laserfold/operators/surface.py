@@ -11,6 +11,7 @@ from laserfold.functions.grid import bin_index, pair_id
 from laserfold.functions.measures import class_count, quantile, share
 from laserfold.operators.tiling import TILE
 from laserfold.params import SITE, GridParams
+from laserfold.runtime import store
 
 CELL = ("cellX", "cellY")
 
@@ -82,14 +83,20 @@ def surface_cells(
 ) -> DataFrame:
     """Cells of the eligible tiles.
 
-    Given a tile-statistics table, cells are semi-joined with its eligible tiles;
-    when those are small Catalyst moves the join below the aggregate, onto the scan.
-    Without it the tile totals are summed from the cells themselves (a window over
-    the cells of one tile, whose number the grid bounds), so points are read once."""
-    cells = grid_cells(tiled, params, scope, clamp)
+    Given a tile-statistics table, its eligible tiles are stored and counted. Few
+    enough, they are broadcast and points of other tiles never reach the aggregate;
+    beyond the bound the (much fewer) cells are semi-joined instead of the points.
+    Without the table the tile totals are summed from the cells themselves (a window
+    over the cells of one tile, whose number the grid bounds), so points are read
+    once."""
     keys = [*scope, *TILE]
     if stats is not None:
-        return cells.join(eligible_tiles(stats, params).select(*keys), keys, "left_semi")
+        eligible = store(eligible_tiles(stats, params).select(*keys), "eligible")
+        if eligible.broadcastable:
+            tiled = tiled.join(F.broadcast(eligible.df), keys, "left_semi")
+            return grid_cells(tiled, params, scope, clamp)
+        return grid_cells(tiled, params, scope, clamp).join(eligible.df, keys, "left_semi")
+    cells = grid_cells(tiled, params, scope, clamp)
     tile = Window.partitionBy(*keys)
     totals = cells.withColumns(
         {

@@ -56,7 +56,7 @@ def publish(
         if clustered:
             df = cluster(df, SITE, spread)
         path = f"{root}/{name}"
-        replace_partitions(df, path)
+        replace_partitions(df, path, ordered=clustered)
         out[name] = read_table(spark, path, df.schema)
         return out[name]
 

@@ -17,6 +17,15 @@ def read_points(spark: SparkSession, *paths: str, declared: bool = True) -> Data
     return reader.parquet(*paths)
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Deal rows out evenly when a scan has fewer splits than the cluster has cores.
+
+    Small inputs often are one file with one row group, hence one busy task. An input
+    with enough splits is returned as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def preview(df: DataFrame, n: int = 20) -> tuple[DataFrame, DataFrame]:
     """The first n rows and a one-row count of the whole."""
     return df.limit(n), df.agg(F.count(F.lit(1)).alias("rows"))

@@ -44,12 +44,15 @@ def replace_partitions(
     partition_by: Sequence[str] = ("siteId",),
     replace_where: str | None = None,
     fmt: str = "parquet",
+    ordered: bool = False,
 ) -> None:
     """Replace every partition that occurs in `df`, keep all others.
 
     Partitioned by site alone, this replaces the snapshot of a site as a whole: a
-    tile that is gone from the new snapshot is gone from the table."""
-    writer = _balanced(df, partition_by).write.mode("overwrite").format(fmt).partitionBy(*partition_by)
+    tile that is gone from the new snapshot is gone from the table. `ordered` keeps
+    the task layout of `df` (already clustered rows) instead of rebalancing."""
+    laid_out = df if ordered else _balanced(df, partition_by)
+    writer = laid_out.write.mode("overwrite").format(fmt).partitionBy(*partition_by)
     if fmt == "parquet":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     elif replace_where:

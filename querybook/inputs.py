@@ -7,18 +7,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from laserfold.operators.ingest import clean_points
+from laserfold.runtime import store
+from laserfold.sources.landing import widen
+
 POINTS = """
 SELECT
-  1000e0 + xi / 1024e0 AS x,
-  2000e0 + yi / 1024e0 AS y,
+  1000e0 + xi * 0.0009765625e0 AS x,
+  2000e0 + yi * 0.0009765625e0 AS y,
   CASE WHEN inWater THEN 1e0 WHEN inBlock THEN 16e0 ELSE 10e0 END
-    + (l_linenumber % 8) * 0.125e0 AS z,
+    + (l_linenumber & 7) * 0.125e0 AS z,
   CAST(l_quantity * 20 AS INT) AS intensity,
   CASE WHEN inWater AND CAST(l_quantity AS INT) % 10 <> 0 THEN 9 ELSE 2 END AS classification,
   CAST(1 + l_linenumber % 3 AS INT) AS return_number,
-  CAST(3 + l_linenumber % 2 AS INT) AS number_of_returns,
+  CAST(3 + (l_linenumber & 1) AS INT) AS number_of_returns,
   CAST(l_orderkey AS DOUBLE) + l_linenumber * 0.125e0 AS gps_time,
-  CASE WHEN l_suppkey % 8 = 0 THEN 'site_b' ELSE 'site_a' END AS siteId,
+  CASE WHEN (l_suppkey & 7) = 0 THEN 'site_b' ELSE 'site_a' END AS siteId,
   CASE WHEN l_linenumber = 7 THEN 'run_2' ELSE 'run_1' END AS ingestRunId,
   l_shipdate AS ingestTime
 FROM (
@@ -27,8 +31,7 @@ FROM (
       OR (cx BETWEEN 75 AND 94 AND cy BETWEEN 12 AND 25) AS inWater,
     cx BETWEEN 58 AND 74 AND cy BETWEEN 8 AND 24 AS inBlock
   FROM (
-    SELECT *,
-      CAST(floor(xi / 512e0) AS INT) AS cx, CAST(floor(yi / 512e0) AS INT) AS cy
+    SELECT *, xi >> 9 AS cx, yi >> 9 AS cy
     FROM (
       SELECT l_orderkey, l_linenumber, l_quantity, l_suppkey, l_shipdate,
         (l_orderkey * 7919 + l_linenumber * 15485 + l_partkey * 6271) % 51200 AS xi,
@@ -171,6 +174,21 @@ def load(spark: SparkSession, folder: str, text: str) -> DataFrame:
     return spark.sql(fill(text, {t: f"parquet.`{folder}/{t}.parquet`" for t in BASE_TABLES}))
 
 
+_ingested: dict[tuple[str, str], DataFrame] = {}
+
+
+def raw_points(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw point table of a data folder.
+
+    Ingested from the base tables on first use and then read by every query of the
+    session, as production queries read the table that the ingest job has written."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _ingested:
+        landed = widen(load(spark, folder, POINTS))
+        _ingested[key] = store(clean_points(landed), "points-raw").df
+    return _ingested[key]
+
+
 def in_sql(text: str) -> str:
     """The derived input as a parenthesised DuckDB subquery."""
     return "(" + fill(text, {t: t for t in BASE_TABLES}) + ")"

@@ -55,7 +55,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def points(spark, sf):
-    return ingest.clean_points(inputs.load(spark, sf, inputs.POINTS))
+    return inputs.raw_points(spark, sf)
 
 
 def tiled(spark, sf, scope=SITE_RUN, params=GRID):

@@ -83,15 +83,18 @@ def fold_states(events: DataFrame) -> DataFrame:
     )
     first_hit = F.min(F.struct("at", "status")).alias("e")
     rungs = [store(steps.where("rank = 1").groupBy("jobId").agg(first_hit), "rung-1")]
-    for rank in range(2, len(JOB_STATES)):
+    last = len(JOB_STATES) - 1
+    for rank in range(2, last + 1):
         below = rungs[-1]
         since = replace(below, df=below.df.select("jobId", F.col("e.at").alias("since")))
         later = lookup_join(
             steps.where(F.col("rank") == rank), since, ["jobId"], "inner", spread=("at",)
         ).where(F.col("at") > F.col("since"))
-        rungs.append(store(later.groupBy("jobId").agg(first_hit), f"rung-{rank}"))
+        rung = later.groupBy("jobId").agg(first_hit)
+        if rank < last:
+            rungs.append(store(rung, f"rung-{rank}"))
     # The highest rung of a job is also its latest in time.
-    climbed = reduce(DataFrame.unionByName, (rung.df for rung in rungs))
+    climbed = reduce(DataFrame.unionByName, (stored.df for stored in rungs), rung)
     state = climbed.groupBy("jobId").agg(F.max("e").alias("e"))
     jobs = events.groupBy("jobId").agg(F.min("siteId").alias("siteId"))
     return jobs.join(state, "jobId", "left").select(

@@ -33,12 +33,12 @@ def conditional_upsert(
 
 
 def conditional_delete(target: DataFrame, removals: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows left after deleting those that match `removals` on every column of `on`."""
-    return target.join(removals.select(*on), list(on), "left_anti")
+    """Rows left after deleting those that match `removals` on every column of `on`.
 
+    Repeated removals are folded first, so one key repeated often stays one row."""
+    return target.join(removals.select(*on).distinct(), list(on), "left_anti")
 
-def claims(
-    locks: DataFrame, requests: DataFrame, now: Column
-) -> DataFrame:
+
+def claims(locks: DataFrame, requests: DataFrame, now: Column) -> DataFrame:
     """Site claims: a request wins a free or expired site, else the holder stays."""
     return conditional_upsert(locks, requests, ["siteId"], F.col("expiresAt") < now)

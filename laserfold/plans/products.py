@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from laserfold.operators import features, surface, tile_stats, tiling
-from laserfold.operators.ingest import clean_points
+from laserfold.operators.ingest import clean_points, runs_per_site
 from laserfold.params import SITE, GridParams
 from laserfold.runtime import require_rows
 from laserfold.sources.tables import cluster, read_table, replace_partitions
@@ -49,7 +49,11 @@ def publish(
     Each stage reads the table the stage before has written, as separate jobs of a
     workflow would; a lost executor costs tasks of one stage only. Tables are
     partitioned by site (not by tile: that would make one file per tile) and
-    clustered by tile, so tile filters skip row groups."""
+    clustered by tile, so tile filters skip row groups. A snapshot of a site is one
+    ingest run; a site with several is refused before anything is written."""
+    mixed = runs_per_site(points).where("runs > 1").first()
+    if mixed is not None:
+        raise ValueError(f"site {mixed['siteId']} has {mixed['runs']} ingest runs, expected one")
     out: dict[str, DataFrame] = {}
 
     def save(name: str, df: DataFrame, clustered: bool = True, spread: Sequence[str] = ()) -> DataFrame:

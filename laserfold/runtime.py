@@ -39,8 +39,19 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/laserfold/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/laserfold/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables of this application; call when its results are written."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @dataclass(frozen=True)

@@ -85,10 +85,10 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def run_and_total_rows(table: DataFrame) -> DataFrame:
-    """Rows of every (site, run) next to the rows of the whole table."""
-    per_run = table.groupBy("siteId", "ingestRunId").agg(F.count(F.lit(1)).alias("runRows"))
-    total = per_run.agg(F.sum("runRows").alias("totalRows"))
-    return per_run.join(F.broadcast(total))
+    """Rows of every (site, run), and of the whole table in the row without keys."""
+    keys = ["siteId", "ingestRunId"]
+    per_run = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return per_run.groupingSets([keys, []], *keys).agg(F.sum("n").alias("rows"))
 
 
 def register(spark: SparkSession, name: str, path: str, external: bool = False) -> DataFrame:

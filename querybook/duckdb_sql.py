@@ -298,6 +298,24 @@ def json_paths(*paths: str) -> str:
     return f"coalesce({found})"
 
 
+def _sample_steps(n: int) -> str:
+    """Steps of a farthest-point sample: pick the farthest row, then shrink the gaps."""
+    parts = ["pick0 AS (SELECT k, CAST(1 AS BIGINT) AS rn, 0 AS seq FROM ranked WHERE rn = 1)"]
+    gaps = "ranked"
+    for i in range(1, n):
+        near = "" if i == 1 else "g.gap, "
+        parts.append(
+            f"gap{i} AS (SELECT g.k, g.rn, g.x, g.y, g.z, least({near}(g.x - c.x) * (g.x - c.x) "
+            "+ (g.y - c.y) * (g.y - c.y) + (g.z - c.z) * (g.z - c.z)) AS gap "
+            f"FROM {gaps} g JOIN pick{i - 1} p ON g.k = p.k JOIN ranked c ON c.k = p.k AND c.rn = p.rn)"
+        )
+        parts.append(
+            f"pick{i} AS (SELECT k, first(rn ORDER BY gap DESC, rn) AS rn, {i} AS seq FROM gap{i} GROUP BY k)"
+        )
+        gaps = f"gap{i}"
+    return ",\n".join(parts)
+
+
 def texts() -> dict[str, str]:
     salted = chain(
         """
@@ -320,11 +338,22 @@ def texts() -> dict[str, str]:
         "points_clean": clean,
         "ingest_context": "SELECT x, y, z, intensity, classification, return_number, number_of_returns, "
         f"gps_time, 'site_c' AS siteId, 'run_9' AS ingestRunId, true AS ingestTime FROM {POINTS}",
+        "scope_filter": chain(
+            """
+            SELECT 'both' AS layer, classification, count(*) AS points FROM points
+              WHERE siteId = 'site_b' AND ingestRunId = 'run_1' GROUP BY classification
+            UNION ALL SELECT 'site', classification, count(*) FROM points
+              WHERE siteId = 'site_b' GROUP BY classification
+            UNION ALL SELECT 'run', classification, count(*) FROM points
+              WHERE ingestRunId = 'run_1' GROUP BY classification
+            UNION ALL SELECT 'none', classification, count(*) FROM points GROUP BY classification""",
+            "points",
+        ),
         "column_resolution": f"SELECT x, y, intensity, z, classification, 'colour' AS unknown FROM {POINTS}",
         "raw_append_readback": chain(CONTENT, "points"),
         "append_check": chain(
-            "SELECT siteId, ingestRunId, count(*) AS runRows, "
-            "(SELECT count(*) FROM points) AS totalRows FROM points GROUP BY siteId, ingestRunId",
+            "SELECT siteId, ingestRunId, count(*) AS rows FROM points GROUP BY siteId, ingestRunId "
+            "UNION ALL SELECT NULL, NULL, count(*) FROM points",
             "points",
         ),
         "snapshot_replace": chain(
@@ -542,6 +571,18 @@ def texts() -> dict[str, str]:
             "GROUP BY siteId, ingestRunId, tileId",
             "voxels",
         ),
+        "fps_first_points": chain(
+            """
+            , ranked AS (
+              SELECT *, siteId || '/' || ingestRunId || '/' || tileId AS k,
+                row_number() OVER (PARTITION BY siteId, ingestRunId, tileId ORDER BY vx, vy, vz) AS rn
+              FROM voxels),
+            """ + _sample_steps(4) + """
+            SELECT r.siteId, r.ingestRunId, r.tileId, CAST(s.seq AS INT) AS seq, r.x, r.y, r.z
+            FROM ranked r JOIN (SELECT * FROM pick0 UNION ALL SELECT * FROM pick1
+              UNION ALL SELECT * FROM pick2 UNION ALL SELECT * FROM pick3) s ON r.k = s.k AND r.rn = s.rn""",
+            "voxels",
+        ),
         "normalized_points": chain(
             """
             , moved AS (
@@ -599,6 +640,19 @@ def texts() -> dict[str, str]:
             "ORDER BY tileId LIMIT 10",
             "stats", scope=SITE,
         ),
+        "water_json": chain(
+            "SELECT waterBodyId, areaM2, cellCount, bboxMaxCellY FROM bodies WHERE siteId = 'site_a' "
+            "ORDER BY areaM2 DESC, waterBodyId LIMIT 50",
+            "bodies", scope=SITE,
+        ),
+        "buildings_json": chain(
+            "SELECT buildingCandidateId, tileId, heightRange, pointsUsed FROM buildings "
+            "WHERE siteId = 'site_b'",
+            "buildings", scope=SITE,
+        ),
+        "run_json": "SELECT siteId, runId, status, finishedAt, errorMessage FROM (SELECT *, row_number() "
+        f"OVER (PARTITION BY siteId ORDER BY createdAt DESC, runId DESC) AS rn "
+        f"FROM {inputs.in_sql(inputs.RUNS)}) WHERE rn = 1",
         "tile_range": chain(
             "SELECT * FROM counts WHERE tileX BETWEEN 0 AND 1 AND tileY BETWEEN 0 AND 1", "counts", scope=SITE
         ),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,6 +134,25 @@ def ingest_context(spark, sf):
     return stamped.withColumn("ingestTime", F.col("ingestTime").isNotNull())
 
 
+@query("scope_filter")
+def scope_filter(spark, sf):
+    """The same scope on tables with both, one and none of its columns."""
+    base = points(spark, sf)
+    layers = {
+        "both": base,
+        "site": base.drop("ingestRunId"),
+        "run": base.drop("siteId"),
+        "none": base.drop("siteId", "ingestRunId"),
+    }
+    found = [
+        ingest.scope_filter(df, "site_b", "run_1").groupBy("classification").agg(
+            F.lit(name).alias("layer"), F.count(F.lit(1)).alias("points")
+        )
+        for name, df in layers.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("column_resolution")
 def column_resolution(spark, sf):
     wanted = ["X", "y", "INTENSITY", "z", "intensity", "Classification", "colour", "x"]
@@ -575,6 +595,12 @@ def fps_sizes(spark, sf):
     )
 
 
+@query("fps_first_points")
+def fps_first_points(spark, sf):
+    voxels = sampling.voxel_downsample(tiled(spark, sf), GRID, SITE_RUN)
+    return sampling.farthest_points(voxels, replace(GRID, sample_points=4), SITE_RUN)
+
+
 @query("normalized_points")
 def normalized_points(spark, sf):
     voxels = sampling.voxel_downsample(tiled(spark, sf), GRID, SITE_RUN)
@@ -669,6 +695,29 @@ def tiles_json(spark, sf):
     return texts.select(F.from_json("payload", fields).alias("p")).select("p.*")
 
 
+@query("water_json")
+def water_json(spark, sf):
+    page = serving.list_water(bodies(spark, sf, SITE), "site_a", limit=50)
+    texts = serving.as_payload(page, serving.WATER_PAYLOAD)
+    fields = "waterBodyId bigint, areaM2 double, cellCount bigint, bboxMaxCellY int"
+    return texts.select(F.from_json("payload", fields).alias("p")).select("p.*")
+
+
+@query("buildings_json")
+def buildings_json(spark, sf):
+    page = serving.list_buildings(buildings(spark, sf, SITE), "site_b", limit=1000)
+    texts = serving.as_payload(page, serving.BUILDING_PAYLOAD)
+    fields = "buildingCandidateId string, tileId string, heightRange double, pointsUsed bigint"
+    return texts.select(F.from_json("payload", fields).alias("p")).select("p.*")
+
+
+@query("run_json")
+def run_json(spark, sf):
+    texts = serving.as_payload(serving.latest_runs(runs(spark, sf)), serving.RUN_PAYLOAD)
+    fields = "siteId string, runId string, status string, finishedAt string, errorMessage string"
+    return texts.select(F.from_json("payload", fields).alias("p")).select("p.*")
+
+
 @query("tile_range")
 def tile_range(spark, sf):
     base = tiling.tile_counts(tiled(spark, sf, SITE), SITE)

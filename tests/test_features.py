@@ -126,6 +126,11 @@ def test_publish_builds_all_tables(spark, make_points, tmp_path):
     # Publishing one site again leaves the other one alone.
     again = products.publish(spark, make_points(block(5.0) + lake), str(tmp_path / "lake"), P)
     assert again["points_tiled"].groupBy("siteId").count().count() == 2
+    pruned = again["tile_stats"].where("siteId = 's'")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(siteId" in pruned
+    with pytest.raises(ValueError, match="2 ingest runs"):
+        two_runs = make_points([(1, 1, 1, 2)]).unionByName(make_points([(1, 1, 1, 2)], run="q"))
+        products.publish(spark, two_runs, str(tmp_path / "lake"), P)
     page = serving.list_tiles(again["tile_stats"].withColumn("computedAt", F.lit(1)), "s", limit=1)
     assert page.count() == 1
 

@@ -29,17 +29,23 @@ def vertex_key(gx: Column, gy: Column) -> Column:
 
 
 def _spread_bits(v: Column) -> Column:
-    """Move the low 16 bits of `v` to the even bit positions."""
+    """Move the low 31 bits of `v` to the even bit positions."""
     # The usual masks of bit interleaving.
-    steps = ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555))
-    out = v.cast("long").bitwiseAND(F.lit(0xFFFF))
+    steps = (
+        (16, 0x0000FFFF0000FFFF),
+        (8, 0x00FF00FF00FF00FF),
+        (4, 0x0F0F0F0F0F0F0F0F),
+        (2, 0x3333333333333333),
+        (1, 0x5555555555555555),
+    )
+    out = v.cast("long").bitwiseAND(F.lit(0x7FFFFFFF))
     for shift, mask in steps:
         out = out.bitwiseOR(F.shiftleft(out, shift)).bitwiseAND(F.lit(mask))
     return out
 
 
 def morton(ix: Column, iy: Column) -> Column:
-    """Z-order key of two indices below 65536: neighbours get close keys."""
+    """Z-order key of two non-negative indices: neighbours get close keys."""
     return _spread_bits(ix).bitwiseOR(F.shiftleft(_spread_bits(iy), 1))
 
 

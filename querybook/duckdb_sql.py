@@ -358,13 +358,13 @@ def texts() -> dict[str, str]:
         ),
         "snapshot_replace": chain(
             "SELECT * FROM counts WHERE (siteId = 'site_b' AND ingestRunId = 'run_1') "
-            "OR (siteId = 'site_a' AND ingestRunId = 'run_2' AND tileX = 0)",
+            "OR (siteId = 'site_a' AND ingestRunId = 'run_2')",
             "counts",
         ),
         "partition_overwrite": chain(
             "SELECT siteId, ingestRunId, surfaceType, count(*) AS cells, "
             "CAST(sum(pointCountCell) AS BIGINT) AS points FROM coarse "
-            "WHERE surfaceType = 'ground' OR cellX < 10 GROUP BY siteId, ingestRunId, surfaceType",
+            "WHERE surfaceType = 'ground' OR pointCountCell > 1 GROUP BY siteId, ingestRunId, surfaceType",
             "coarse",
         ),
         "register_read": chain(
@@ -509,7 +509,8 @@ def texts() -> dict[str, str]:
         "surface_patches": chain("SELECT * EXCLUDE (rawMeanZ, rawWeighted) FROM patches", "patches"),
         "patches_of_known_tiles": chain(
             "SELECT * EXCLUDE (rawMeanZ, rawWeighted), round(rawWeighted, 6) AS weightedMeanZ "
-            "FROM patches WHERE tileX = 0",
+            "FROM patches WHERE (siteId, ingestRunId, tileX, tileY) IN "
+            "(SELECT (siteId, ingestRunId, tileX, tileY) FROM stats WHERE waterPointCount > 0)",
             "patches",
         ),
         "patch_summary": chain(
@@ -565,6 +566,18 @@ def texts() -> dict[str, str]:
             "ORDER BY areaM2 DESC, siteId, ingestRunId, waterBodyId LIMIT 10",
             "bodies",
         ),
+        "published_tables": chain(
+            " UNION ALL ".join(
+                f"SELECT siteId, '{name}' AS tableName, count(*) AS rows FROM {step} "
+                "WHERE ingestRunId = 'run_1' GROUP BY siteId"
+                for name, step in (
+                    ("points_tiled", "tiled"), ("tile_stats", "stats"), ("surface_cells", "cells"),
+                    ("surface_patches", "patches"), ("building_candidates", "buildings"),
+                    ("water_bodies", "bodies"),
+                )
+            ),
+            "buildings", "bodies",
+        ),
         "voxel_downsample": chain("SELECT * FROM voxels", "voxels"),
         "fps_sizes": chain(
             "SELECT siteId, ingestRunId, tileId, least(2048, count(*)) AS points FROM voxels "

@@ -25,9 +25,9 @@ from laserfold.operators import (
     upsert,
 )
 from laserfold.params import SITE, SITE_RUN, GridParams
-from laserfold.plans import serving
+from laserfold.plans import products, serving
 from laserfold.runtime import scratch_path, store
-from laserfold.sources import tables
+from laserfold.sources import landing, tables
 from laserfold.streaming import arrivals, job_state
 from querybook import inputs
 
@@ -175,7 +175,7 @@ def content(df):
 def raw_append_readback(spark, sf):
     path = scratch_path(spark, "raw")
     tables.append(points(spark, sf), path)
-    return content(tables.read_table(spark, path))
+    return content(landing.read_points(spark, path))
 
 
 @query("append_check")
@@ -190,7 +190,7 @@ def snapshot_replace(spark, sf):
     path = scratch_path(spark, "snapshot")
     per_tile = store(counts(spark, sf), "counts").df
     tables.replace_partitions(per_tile.where("ingestRunId = 'run_1'"), path)
-    renewed = per_tile.where("ingestRunId = 'run_2' AND siteId = 'site_a' AND tileX = 0")
+    renewed = per_tile.where("ingestRunId = 'run_2' AND siteId = 'site_a'")
     tables.replace_partitions(renewed, path)
     return tables.read_table(spark, path, per_tile.schema)
 
@@ -201,7 +201,7 @@ def partition_overwrite(spark, sf):
     path = scratch_path(spark, "by-type")
     base = store(coarse_cells(spark, sf), "cells").df
     tables.replace_partitions(base, path, keys)
-    tables.replace_partitions(base.where("surfaceType = 'water' AND cellX < 10"), path, keys)
+    tables.replace_partitions(base.where("surfaceType = 'water' AND pointCountCell > 1"), path, keys)
     return tables.read_table(spark, path, base.schema).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("cells"), F.sum("pointCountCell").alias("points")
     )
@@ -220,9 +220,9 @@ def register_read(spark, sf):
 
 @query("stream_ingest")
 def stream_ingest(spark, sf):
-    landing, table = scratch_path(spark, "landing"), scratch_path(spark, "arrived")
-    points(spark, sf).write.parquet(landing)
-    stream = arrivals.arriving_points(spark, landing)
+    folder, table = scratch_path(spark, "landing"), scratch_path(spark, "arrived")
+    points(spark, sf).write.parquet(folder)
+    stream = arrivals.arriving_points(spark, folder)
     arrivals.append_arrivals(stream, table, scratch_path(spark, "progress")).awaitTermination()
     return content(tables.read_table(spark, table))
 
@@ -477,7 +477,7 @@ def surface_patches(spark, sf):
 
 @query("patches_of_known_tiles")
 def patches_of_known_tiles(spark, sf):
-    known = tile_stats.tile_stats(tiled(spark, sf), GRID, SITE_RUN).where("tileX = 0")
+    known = stats(spark, sf).where("waterPointCount > 0")
     found = surface.surface_patches(
         cells(spark, sf), GRID, SITE_RUN, stats=known, weighted=True
     )
@@ -579,6 +579,18 @@ def water_top10(spark, sf):
     return features.largest_water(bodies(spark, sf), 10, SITE_RUN)
 
 
+@query("published_tables")
+def published_tables(spark, sf):
+    """All products written stage by stage; a snapshot of a site is one run."""
+    snapshot = ingest.scope_filter(points(spark, sf), run_id="run_1")
+    written = products.publish(spark, snapshot, scratch_path(spark, "lake"), GRID)
+    counted = [
+        df.groupBy("siteId").agg(F.lit(name).alias("tableName"), F.count(F.lit(1)).alias("rows"))
+        for name, df in written.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 # ---- sampling ---------------------------------------------------------------
 
 

@@ -134,9 +134,10 @@ def test_empty_input_messages(spark, make_points):
 
 def test_morton_and_tile_id(spark):
     row = spark.range(1).select(
-        morton(F.lit(5), F.lit(3)).alias("m"), *(c.alias(n) for c, n in zip(split_pair(F.lit("12_-3")), "xy"))
+        morton(F.lit(5), F.lit(3)).alias("m"), morton(F.lit(1 << 20), F.lit(1 << 20)).alias("far"), *(c.alias(n) for c, n in zip(split_pair(F.lit("12_-3")), "xy"))
     ).first()
-    assert row["m"] == int("011011", 2) and (row["x"], row["y"]) == (12, -3)
+    assert row["m"] == int("011011", 2) and row["far"] == 3 << 40
+    assert (row["x"], row["y"]) == (12, -3)
 
 
 def test_resolve_params(spark):

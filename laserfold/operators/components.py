@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from laserfold import runtime
 from laserfold.functions.grid import vertex_key
 from laserfold.runtime import Stored, salted_join, store
 
@@ -118,12 +119,13 @@ def _border_edges(
     ).distinct()
 
 
-def _star(edges: DataFrame, scope: Sequence[str], large: bool) -> DataFrame:
+def _star(edges: DataFrame, scope: Sequence[str], large: bool, few: bool) -> DataFrame:
     """One star step on edges hi → lo.
 
     Large star hangs the larger neighbours of a node under its smallest neighbour,
     small star the smaller ones and the node itself. The minimum is a partial
-    aggregate and the way back is a salted join, so a hub node is no hot task."""
+    aggregate and the way back is a salted join, so a hub node is no hot task. With
+    `few` (counted) edges the minima are broadcast instead."""
     if large:
         arcs = edges.select(*scope, F.col("hi").alias("n"), F.col("lo").alias("m")).unionByName(
             edges.select(*scope, F.col("lo").alias("n"), F.col("hi").alias("m"))
@@ -132,7 +134,10 @@ def _star(edges: DataFrame, scope: Sequence[str], large: bool) -> DataFrame:
         arcs = edges.select(*scope, F.col("hi").alias("n"), F.col("lo").alias("m"))
     keys = [*scope, "n"]
     lowest = arcs.groupBy(*keys).agg(F.least(F.min("m"), F.col("n")).alias("r"))
-    paired = salted_join(arcs, lowest, keys, "inner", spread=("m",))
+    if few:
+        paired = arcs.join(F.broadcast(lowest), keys)
+    else:
+        paired = salted_join(arcs, lowest, keys, "inner", spread=("m",))
     if large:
         moved = paired.where(F.col("m") > F.col("n")).select(
             *scope, F.col("m").alias("hi"), F.col("r").alias("lo")
@@ -160,9 +165,10 @@ def contract(edges: DataFrame, scope: Sequence[str]) -> Stored:
     for _ in range(MAX_ROUNDS):
         if current.rows == 0:
             return current
-        following = _stored_edges(
-            _star(_star(current.df, scope, large=True), scope, large=False), scope
-        )
+        # A step gives at most as many edges as it gets, and two nodes per edge.
+        few = 2 * current.rows <= runtime.BROADCAST_ROWS
+        lifted = _star(current.df, scope, large=True, few=few)
+        following = _stored_edges(_star(lifted, scope, large=False, few=few), scope)
         if (following.rows, following.metrics) == (current.rows, current.metrics):
             return following
         current = following

@@ -4,6 +4,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from laserfold import runtime
 from laserfold.operators import components, features, surface, tiling
 from laserfold.params import SITE, GridParams
 from laserfold.plans import products, serving
@@ -70,7 +71,9 @@ def test_repeated_cells_and_bad_neighbourhood(spark):
         labels(spark, [("a", 0, 0)], 6)
 
 
-def test_hub_contracts(spark):
+@pytest.mark.parametrize("bound", [100_000, 0])
+def test_hub_contracts(spark, monkeypatch, bound):
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", bound)
     edges = [("s", i, 0) for i in range(1, 3000)] + [("s", i, i - 1) for i in range(3001, 3200)]
     df = spark.createDataFrame(edges, "siteId string, hi long, lo long")
     stars = components.contract(df, SITE).df.collect()

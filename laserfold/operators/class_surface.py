@@ -12,10 +12,9 @@ from laserfold.functions.grid import bin_index
 from laserfold.functions.measures import PERCENTILE_ACCURACY
 from laserfold.operators.surface import CELL
 from laserfold.operators.tiling import TILE
-from laserfold.params import GROUND_CLASSES, SITE_RUN, GridParams
+from laserfold.params import GRID_ALGORITHM, GROUND_CLASSES, SITE_RUN, GridParams
 from laserfold.runtime import Stored, lookup_join
 
-ALGORITHM = "mvp_grid_v1"
 BOX = ("minX", "minY", "maxX", "maxY")
 
 
@@ -97,7 +96,7 @@ def tile_surface_summary(
                 "surfaceId": F.concat_ws("_", *scope, *TILE, "surfaceType"),
                 "quality": F.col("cellCount") / F.lit(capacity),
                 "cellsUri": F.lit(cells_uri).cast("string"),
-                "algoVersion": F.lit(ALGORITHM),
+                "algoVersion": F.lit(GRID_ALGORITHM),
             }
         )
     )

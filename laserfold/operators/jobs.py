@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laserfold.functions.events import clip_text, normalize_status, payload_fields, state_rank
-from laserfold.params import ERROR_CODE_CHARS, ERROR_MESSAGE_CHARS, JOB_STATES
+from laserfold.params import (
+    ERROR_CODE_CHARS,
+    ERROR_MESSAGE_CHARS,
+    JOB_STATES,
+    RUN_FAILED_CODE,
+)
 from laserfold.runtime import lookup_join, salted_join, store
 
 ORDER = ("ts", "event_id")
@@ -133,7 +138,7 @@ def parse_payloads(events: DataFrame, column: str = "payload") -> DataFrame:
             "runId": F.col("_p.runId").try_cast("long"),
             "payloadJobId": F.col("_p.jobId"),
             "outcome": status,
-            "errorCode": F.when(failed, clip_text(F.lit("DBX_RUN_FAILED"), ERROR_CODE_CHARS)),
+            "errorCode": F.when(failed, clip_text(F.lit(RUN_FAILED_CODE), ERROR_CODE_CHARS)),
             "errorMessage": F.when(failed, clip_text("_p.error", ERROR_MESSAGE_CHARS)),
         }
     ).drop("_p")

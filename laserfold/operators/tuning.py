@@ -11,6 +11,8 @@ from laserfold.functions.measures import quantiles
 from laserfold.params import (
     ACCEPTABLE_SECONDS,
     CANDIDATE_TARGETS,
+    FROM_CONTROL,
+    FROM_DEFAULTS,
     MAX_SALT_BUCKETS,
     SITE_RUN,
     GridParams,
@@ -140,7 +142,7 @@ def resolve_params(
         return scopes.select(
             *SITE_RUN,
             *(value.alias(name) for name, value in defaults.items()),
-            F.lit("code-defaults").alias("paramSource"),
+            F.lit(FROM_DEFAULTS).alias("paramSource"),
         )
 
     row = F.struct(
@@ -161,5 +163,5 @@ def resolve_params(
     return joined.select(
         *SITE_RUN,
         *(F.coalesce(F.col(f"row.{name}"), value).alias(name) for name, value in defaults.items()),
-        F.when(F.col("row").isNull(), "code-defaults").otherwise("control-table").alias("paramSource"),
+        F.when(F.col("row").isNull(), FROM_DEFAULTS).otherwise(FROM_CONTROL).alias("paramSource"),
     )

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-# Fixed values of the data format (class codes follow the LAS specification).
+# Fixed values of the data format: LAS class codes, state names and labels that appear
+# in tables, and the documented limits.
 WATER_CLASS = 9
 GROUND_CLASSES = (2,)
 JOB_STATES = ("CREATED", "QUEUED", "DBX_TRIGGERED", "PROCESSING", "SUCCEEDED", "FAILED")
+RUN_FAILED_CODE = "DBX_RUN_FAILED"
+GRID_ALGORITHM = "mvp_grid_v1"
+FROM_DEFAULTS, FROM_CONTROL = "code-defaults", "control-table"
 CANDIDATE_TARGETS = (50_000, 100_000, 150_000, 250_000, 400_000, 600_000)
 ACCEPTABLE_SECONDS = 120.0
 MAX_SALT_BUCKETS = 64

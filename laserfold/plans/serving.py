@@ -22,6 +22,7 @@ TILE_ORDER_NAMES = (
     "tileId", "pointCountDesc", "waterRatioDesc", "heightP99Desc", "reliefDesc", "computedAtDesc",
 )
 
+# Fields of the JSON payloads.
 TILE_PAYLOAD = (
     "siteId", "tileId", "pointCount", "z_p50", "z_p95", "z_p99", "waterPointRatio",
     "isMostlyWater", "computedAt",

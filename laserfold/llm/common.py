@@ -14,8 +14,8 @@ from pyspark.sql.types import StructType
 from laserfold import runtime
 
 Batches = Iterator[pa.RecordBatch]
-# Texts of one Arrow batch are handled in slices of about this many characters.
-SLICE_CHARS = 4_000_000
+# Texts of one Arrow batch are handled in slices of about this many bytes.
+SLICE_BYTES = 4_000_000
 
 
 def column(df: DataFrame, name: str, kind: str) -> Column:
@@ -54,10 +54,10 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
 def slices(batches: Batches, name: str = "text") -> Batches:
     """Cut batches so that one slice holds few long texts; every row stays whole."""
     for batch in batches:
-        sizes = pc.fill_null(pc.utf8_length(batch.column(name)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_pylist()
         first = total = 0
         for i, size in enumerate(sizes):
-            if total and total + size > SLICE_CHARS:
+            if total and total + size > SLICE_BYTES:
                 yield batch.slice(first, i - first)
                 first, total = i, 0
             total += size

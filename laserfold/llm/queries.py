@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laserfold.llm import packing, token_counts, tokens
+from laserfold.llm import packing, token_counts, tokens, wavelet
+from laserfold.llm.common import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 registry: dict[str, Query] = {}
@@ -32,5 +33,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokens.default_path())
 
 
+@query
+def op8_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    folder = new_folder(docs, "wavelet")
+    manifest = wavelet.write_shards(docs, tokens.default_path(), folder)
+    return wavelet.read_shards(manifest, folder)
+
+
 def sql_texts() -> dict[str, str]:
     return {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laserfold.llm import packing, token_counts, tokens, wavelet
+from laserfold.llm import packing, quality_gam, quality_rules, token_counts, tokens, wavelet
 from laserfold.llm.common import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(pieces)
 
 
+@query
+def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_gam.score(docs, quality_gam.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokens.default_path())
@@ -41,5 +47,11 @@ def op8_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(manifest, folder)
 
 
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality_rules.judge(table(spark, sf_dir, "documents"), trusted)
+
+
 def sql_texts() -> dict[str, str]:
     return {}

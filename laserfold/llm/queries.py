@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from laserfold.llm import packing, quality_gam, quality_rules, token_counts, tokens, wavelet
+from laserfold.llm import jaccard_join, packing, quality_gam, quality_rules, token_counts, tokens, wavelet
 from laserfold.llm.common import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.score(docs, quality_gam.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents")).drop("key")
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokens.default_path())

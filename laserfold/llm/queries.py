@@ -5,8 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from laserfold.llm import jaccard_join, packing, quality_gam, quality_rules, token_counts, tokens, wavelet
+from pyspark.sql import functions as F
+
+from laserfold.llm import (
+    jaccard_join,
+    mixing,
+    packing,
+    quality_gam,
+    quality_rules,
+    token_counts,
+    tokens,
+    url_filter,
+    vector_dedup,
+    warc,
+    wavelet,
+)
 from laserfold.llm.common import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +35,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Fixed values of the query: verdict, host, path.
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokens.default_path())
@@ -44,6 +72,37 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokens.default_path())
 
 
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = new_folder(pages, "warc")
+    return warc.read(warc.write(pages, folder), folder, with_payload=False).drop("url")
+
+
+def mixture_levels() -> dict:
+    """The mixture tree over `documents`: domain, language, source."""
+    domain = F.when(F.col("source") == "src0", "bulk").otherwise("curated")
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+# Shares among siblings; languages and sources not named here have their natural share.
+MIXTURE_WEIGHTS = {("bulk",): 0.3, ("curated",): 0.7, ("curated", "en"): 0.5}
+MIXTURE_SHARE = 0.9
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = mixing.select(
+        table(spark, sf_dir, "documents"),
+        mixture_levels(),
+        path=tokens.default_path(),
+        share=MIXTURE_SHARE,
+        weights=MIXTURE_WEIGHTS,
+        max_epochs=2,
+    )
+    return chosen.select("doc_id", "lang", "source", "epoch")
+
+
 @query
 def op8_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -52,6 +111,11 @@ def op8_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(manifest, folder)
 
 
+@query
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.link(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")

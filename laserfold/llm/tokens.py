@@ -1,10 +1,10 @@
 """Token ids of whole texts, as a tokenizer file of the `tokenizers` library gives them.
 
-Texts are cut at white space, which no token of a word-end vocabulary spans, and every
-distinct piece is encoded once per worker. Pieces of Latin letters with punctuation
-behind them go straight to the library's merge model; all others (digits, apostrophes,
-other scripts, special strings) go through the library's whole chain. Files whose
-tokens may span white space are encoded text by text.
+White space parts tokens in a word-end vocabulary. Texts of Latin letters are split
+into pre-tokens here, by the file's pattern, and each distinct pre-token goes through
+the library's merge model once per worker. Whatever else a text holds (other scripts,
+letters that are not composed, special strings) goes, between white space, through the
+library's whole chain. Files whose tokens may span white space are encoded text by text.
 """
 
 from __future__ import annotations
@@ -12,27 +12,33 @@ from __future__ import annotations
 import functools
 import json
 import re
-import string
+import unicodedata
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
 
-# White space in the sense of Unicode, as the tokenizer file's patterns use it.
+# White space in the sense of Unicode, as the tokenizer file's pattern uses it.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# Separators that str.split() takes for white space and Unicode does not.
-ODD_SEPARATORS = re.compile("[\x1c-\x1f]")
 BETWEEN = re.compile(f"[^{SPACES}]+")
 LAST_LATIN = "\u024f"
-# Pieces that are kept for reuse; beyond, a worker's table starts anew (only speed changes).
-KEPT_PIECES = 400_000
+BEYOND_LATIN = re.compile(f"[^\\x00-{LAST_LATIN}]")
+# Words that are kept for reuse; beyond, a worker's table starts anew (only speed changes).
+KEPT_WORDS = 300_000
 KEPT_LENGTH = 48
 
 
-def pieces(text: str) -> list[str]:
-    """The parts of a text between white space."""
-    if ODD_SEPARATORS.search(text):
-        return BETWEEN.findall(text)
-    return text.split()
+def _latin(kind: str) -> str:
+    """Characters of a Unicode category up to the last Latin letter, for a pattern's class."""
+    every = map(chr, range(ord(LAST_LATIN) + 1))
+    return "".join(re.escape(c) for c in every if unicodedata.category(c).startswith(kind))
+
+
+# The pre-tokens of the word-end file: contractions, letters, single digits, other marks.
+CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"  # fixed values of the file
+LATIN_WORDS = re.compile(
+    f"{CONTRACTIONS}|[{_latin('L')}]+|[{_latin('N')}]|[^{SPACES}{_latin('L')}{_latin('N')}]+"
+)
 
 
 def byte_letters() -> dict[int, str]:
@@ -43,21 +49,31 @@ def byte_letters() -> dict[int, str]:
 
 
 class _Kept(dict):
-    """piece -> value, filled on demand and emptied when it is full."""
+    """word -> value, filled on demand and emptied when it is full."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
 
-    def __missing__(self, piece):
-        value = self.make(piece)
-        if len(piece) <= KEPT_LENGTH:
-            if len(self) >= KEPT_PIECES:
+    def __missing__(self, word):
+        value = self.make(word)
+        if len(word) <= KEPT_LENGTH:
+            if len(self) >= KEPT_WORDS:
                 self.clear()
-            self[piece] = value
+            self[word] = value
         return value
 
 
+def _plain(text: str) -> str | None:
+    """The text in lower case if the Latin pattern splits it as the file does, else None."""
+    if "<|" in text or not unicodedata.is_normalized("NFC", text):
+        return None
+    lowered = text.lower()
+    if BEYOND_LATIN.search(text) or BEYOND_LATIN.search(lowered):
+        return None
+    return lowered
+
+
 class Encoder:
     """Ids or counts for texts under one tokenizer file."""
 
@@ -69,52 +85,49 @@ class Encoder:
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
-        self.by_piece = (described.get("model") or {}).get("end_of_word_suffix") == "</w>"
+        self.by_word = (described.get("model") or {}).get("end_of_word_suffix") == "</w>"
         self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
-        self.whole = whole
-        self._word_ids = _Kept(self._merge)
-        self._word_counts = _Kept(lambda word: 1 if word in whole else len(self._merge(word)))
-        self.piece_ids = _Kept(lambda p: np.array(self._ids(p), "<u4").tobytes())
-        self.piece_counts = _Kept(self._count)
+        self.word_ids = _Kept(lambda word: array("I", self._merge(word)).tobytes())
+        self.word_counts = _Kept(lambda word: 1 if word in whole else len(self._merge(word)))
 
     def _merge(self, word: str) -> list[int]:
-        spelled = word.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.tokenizer.model.tokenize(spelled)]
-
-    @staticmethod
-    def _plain(piece: str) -> tuple[str, str] | None:
-        """(letters, punctuation behind) of a piece the file splits just so, else None."""
-        if max(piece) > LAST_LATIN:
-            return None
-        lowered = piece.lower()
-        word = lowered.rstrip(string.punctuation)
-        if word.isalpha() and max(lowered) <= LAST_LATIN:
-            return word, lowered[len(word) :]
-        return None
-
-    def _ids(self, piece: str) -> list[int]:
-        if plain := self._plain(piece):
-            word, behind = plain
-            return self._word_ids[word] + (self._word_ids[behind] if behind else [])
-        return self.tokenizer.encode(piece, add_special_tokens=False).ids
+        if not word.isascii() or not word.isprintable():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.tokenizer.model.tokenize(word)]
 
-    def _count(self, piece: str) -> int:
-        if plain := self._plain(piece):
-            word, behind = plain
-            return self._word_counts[word] + (self._word_counts[behind] if behind else 0)
-        return len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+    def _library(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str) -> bytes:
         """All ids of the text as little-endian unsigned 32-bit integers."""
-        if self.by_piece:
-            return b"".join(map(self.piece_ids.__getitem__, pieces(text)))
-        found = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(found, "<u4").tobytes()
+        if not self.by_word:
+            return np.array(self._library(text), "<u4").tobytes()
+        lowered = _plain(text)
+        if lowered is not None:
+            return b"".join(map(self.word_ids.__getitem__, LATIN_WORDS.findall(lowered)))
+        parts = []
+        for piece in BETWEEN.findall(text):
+            lowered = _plain(piece)
+            if lowered is None:
+                parts.append(np.array(self._library(piece), "<u4").tobytes())
+            else:
+                parts.extend(map(self.word_ids.__getitem__, LATIN_WORDS.findall(lowered)))
+        return b"".join(parts)
 
     def count(self, text: str) -> int:
-        if self.by_piece:
-            return sum(map(self.piece_counts.__getitem__, pieces(text)))
-        return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if not self.by_word:
+            return len(self._library(text))
+        lowered = _plain(text)
+        if lowered is not None:
+            return sum(map(self.word_counts.__getitem__, LATIN_WORDS.findall(lowered)))
+        total = 0
+        for piece in BETWEEN.findall(text):
+            lowered = _plain(piece)
+            if lowered is None:
+                total += len(self._library(piece))
+            else:
+                total += sum(map(self.word_counts.__getitem__, LATIN_WORDS.findall(lowered)))
+        return total
 
     def counts(self, texts: Iterable[str]) -> list[int]:
         return [self.count(t) for t in texts]

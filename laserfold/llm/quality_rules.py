@@ -5,7 +5,7 @@ over the documents of a trusted target, one over the whole corpus. A document's
 is the mean over its n-grams of log(target share / corpus share); that is a
 log-likelihood ratio divided by its length. Documents under a fixed threshold go.
 
-Both passes over the texts are maps. A task counts its n-grams in an array whose size
+The texts are shuffled once, to meet the trusted doc_ids. A task counts its n-grams in an array whose size
 is the number of buckets and hands on a row per occupied bucket, so what is shuffled is
 bounded by tasks × buckets however skewed the words are; the summed model has at most
 one row per bucket and is broadcast.
@@ -120,7 +120,8 @@ def learn(
     marked = column(docs, "doc_id", "bigint").alias("doc_id")
     rows = docs.select(marked, text_of(docs, text).alias("text"))
     names = trusted.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
-    rows = rows.join(names.withColumn("chosen", F.lit(True)), "doc_id", "left")
+    # Trusted ids grow with the corpus, so they are never broadcast: one shuffle of the texts.
+    rows = rows.join(names.withColumn("chosen", F.lit(True)).hint("merge"), "doc_id", "left")
 
     def count(batches: Batches) -> Batches:
         raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)

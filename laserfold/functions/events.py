@@ -30,10 +30,15 @@ def normalize_status(status: str | Column) -> Column:
     return F.when(good, "SUCCESS").when(bad, "FAILED")
 
 
+def text_or_null(text: str | Column) -> Column:
+    """Null for blank text, else the whole text."""
+    column = F.col(text) if isinstance(text, str) else text
+    return F.when(F.length(F.trim(column)) > 0, column)
+
+
 def clip_text(text: str | Column, limit: int) -> Column:
     """Null for blank text, else its first `limit` characters."""
-    column = F.col(text) if isinstance(text, str) else text
-    return F.when(F.length(F.trim(column)) > 0, F.substring(column, 1, limit))
+    return F.substring(text_or_null(text), 1, limit)
 
 
 def state_rank(status: str | Column) -> Column:

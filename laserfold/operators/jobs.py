@@ -8,13 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laserfold.functions.events import clip_text, normalize_status, payload_fields, state_rank
-from laserfold.params import (
-    ERROR_CODE_CHARS,
-    ERROR_MESSAGE_CHARS,
-    JOB_STATES,
-    RUN_FAILED_CODE,
+from laserfold.functions.events import (
+    normalize_status,
+    payload_fields,
+    text_or_null,
 )
+from laserfold.params import JOB_STATES, RUN_FAILED_CODE
 from laserfold.runtime import lookup_join, salted_join, store
 
 ORDER = ("ts", "event_id")
@@ -70,30 +69,35 @@ def complete_uploads(uploads: DataFrame, completions: DataFrame) -> DataFrame:
     )
 
 
+def _states_of(rank: int) -> tuple[str, ...]:
+    """Names of the states of a rank; both end states share the last one."""
+    last = len(JOB_STATES) - 1
+    return JOB_STATES[last - 1 :] if rank == last else (JOB_STATES[rank - 1],)
+
+
 def fold_states(events: DataFrame) -> DataFrame:
     """Final state of every job under the guarded life cycle.
 
     An event advances a job only from the state just before it; repeats, early and
     late events are ignored and end states absorb. Greedy matching makes this a
-    chain of minima: the first CREATED, the first QUEUED after it, and so on. Each
-    event is read by one link only, every minimum is combined before its shuffle,
+    chain of minima: the first CREATED, the first QUEUED after it, and so on. Each link
+    scans the events of its own states (a filter that Parquet gets), every minimum is combined before its shuffle,
     and each link is a stored table of one row per job that is looked up by a
     checked broadcast or a salted join. So a job with a third of all events stays
     spread, and no job's events are ever collected."""
     steps = events.select(
         "jobId",
         F.struct(*ORDER).alias("at"),
-        state_rank("eventStatus").alias("rank"),
         F.col("eventStatus").alias("status"),
     )
     first_hit = F.min(F.struct("at", "status")).alias("e")
-    rungs = [store(steps.where("rank = 1").groupBy("jobId").agg(first_hit), "rung-1")]
+    rungs = [store(steps.where(F.col("status").isin(*_states_of(1))).groupBy("jobId").agg(first_hit), "rung-1")]
     last = len(JOB_STATES) - 1
     for rank in range(2, last + 1):
         below = rungs[-1]
         since = replace(below, df=below.df.select("jobId", F.col("e.at").alias("since")))
         later = lookup_join(
-            steps.where(F.col("rank") == rank), since, ["jobId"], "inner", spread=("at",)
+            steps.where(F.col("status").isin(*_states_of(rank))), since, ["jobId"], "inner", spread=("at",)
         ).where(F.col("at") > F.col("since"))
         rung = later.groupBy("jobId").agg(first_hit)
         if rank < last:
@@ -129,7 +133,9 @@ def latest_job(created: DataFrame) -> DataFrame:
 
 
 def parse_payloads(events: DataFrame, column: str = "payload") -> DataFrame:
-    """Typed fields of webhook payloads, with normalised status and clipped texts."""
+    """Typed fields of webhook payloads, with normalised status and whole texts.
+
+    A sink with bounded columns clips them itself (`clip_text`)."""
     parsed = events.withColumn("_p", payload_fields(column))
     status = normalize_status("_p.status")
     failed = status == "FAILED"
@@ -138,8 +144,8 @@ def parse_payloads(events: DataFrame, column: str = "payload") -> DataFrame:
             "runId": F.col("_p.runId").try_cast("long"),
             "payloadJobId": F.col("_p.jobId"),
             "outcome": status,
-            "errorCode": F.when(failed, clip_text(F.lit(RUN_FAILED_CODE), ERROR_CODE_CHARS)),
-            "errorMessage": F.when(failed, clip_text("_p.error", ERROR_MESSAGE_CHARS)),
+            "errorCode": F.when(failed, F.lit(RUN_FAILED_CODE)),
+            "errorMessage": F.when(failed, text_or_null("_p.error")),
         }
     ).drop("_p")
 
@@ -148,13 +154,19 @@ def match_jobs(events: DataFrame, jobs: DataFrame) -> DataFrame:
     """Job of every event by run id, else by job id; `matchedBy` is null for neither.
 
     `jobs` has unique `jobId` and unique non-null `jobRunId`. Both lookups are
-    salted by event, so one run with very many events is spread."""
+    salted by event, so one run with very many events is spread; events without a key
+    find nothing and are not shuffled."""
+
+    def look_up(rows: DataFrame, table: DataFrame, key: str, found: str) -> DataFrame:
+        keyed = salted_join(rows.where(F.col(key).isNotNull()), table, [key], "left", spread=("event_id",))
+        rest = rows.where(F.col(key).isNull()).withColumn(found, F.lit(None).cast("string"))
+        return keyed.unionByName(rest)
+
     by_run = jobs.where(F.col("jobRunId").isNotNull()).select(
         F.col("jobRunId").alias("runId"), F.col("jobId").alias("_byRun")
     )
     by_job = jobs.select(F.col("jobId").alias("payloadJobId"), F.col("jobId").alias("_byJob"))
-    found = salted_join(events, by_run, ["runId"], "left", spread=("event_id",))
-    found = salted_join(found, by_job, ["payloadJobId"], "left", spread=("event_id",))
+    found = look_up(look_up(events, by_run, "runId", "_byRun"), by_job, "payloadJobId", "_byJob")
     return found.withColumns(
         {
             "jobId": F.coalesce("_byRun", "_byJob"),

@@ -117,7 +117,7 @@ def height_range_quantiles(tiles: DataFrame, scope: Sequence[str] = SITE) -> Dat
     )
 
 
-def class_distribution(points: DataFrame, n: int = 20) -> DataFrame:
+def class_distribution(points: DataFrame, n: int) -> DataFrame:
     counted = points.groupBy("classification").agg(F.count(F.lit(1)).alias("points"))
     return counted.orderBy(F.desc("points"), "classification").limit(n)
 

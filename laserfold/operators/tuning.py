@@ -13,7 +13,6 @@ from laserfold.params import (
     CANDIDATE_TARGETS,
     FROM_CONTROL,
     FROM_DEFAULTS,
-    MAX_SALT_BUCKETS,
     SITE_RUN,
     GridParams,
 )
@@ -64,13 +63,16 @@ def recommend_threshold(
 
 
 def salt_candidates(
-    distribution: DataFrame, targets: Sequence[int] = CANDIDATE_TARGETS, cap: int = MAX_SALT_BUCKETS
+    distribution: DataFrame, targets: Sequence[int] = CANDIDATE_TARGETS, cap: int | None = None
 ) -> DataFrame:
-    """Bucket counts that would bring the hottest tile down to each target size."""
+    """Bucket counts that would bring the hottest tile down to each target size.
+
+    `cap` bounds the counts where a caller's cluster asks for it."""
     wanted = F.explode(F.array(*(F.lit(t).cast("long") for t in targets)))
-    needed = F.ceil(F.col("maxTilePoints") / F.col("targetPointsPerBucket"))
+    needed = F.greatest(F.ceil(F.col("maxTilePoints") / F.col("targetPointsPerBucket")), F.lit(1))
+    capped = needed if cap is None else F.least(needed, F.lit(cap))
     return distribution.withColumn("targetPointsPerBucket", wanted).withColumn(
-        "saltBuckets", F.least(F.greatest(needed, F.lit(1)), F.lit(cap)).cast("long")
+        "saltBuckets", capped.cast("long")
     )
 
 

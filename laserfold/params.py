@@ -14,7 +14,6 @@ GRID_ALGORITHM = "mvp_grid_v1"
 FROM_DEFAULTS, FROM_CONTROL = "code-defaults", "control-table"
 CANDIDATE_TARGETS = (50_000, 100_000, 150_000, 250_000, 400_000, 600_000)
 ACCEPTABLE_SECONDS = 120.0
-MAX_SALT_BUCKETS = 64
 ERROR_CODE_CHARS = 64
 ERROR_MESSAGE_CHARS = 2048
 

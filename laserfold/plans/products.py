@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from laserfold.operators import features, surface, tile_stats, tiling
 from laserfold.operators.ingest import clean_points, runs_per_site
 from laserfold.params import SITE, GridParams
-from laserfold.runtime import require_rows
-from laserfold.sources.tables import cluster, read_table, replace_partitions
+from laserfold.runtime import store
+from laserfold.sources.tables import cluster, read_table, replace_snapshot
 
 
 def tiled_points(
@@ -37,50 +38,87 @@ def surface_products(
     }
 
 
+def _guard(
+    df: DataFrame, scopes: set[tuple], scope: Sequence[str], message: str, on_empty: str
+) -> None:
+    """Every asked scope, and no other, must have rows in `df`; names those that fail.
+
+    At most one row per site (and run) reaches the driver."""
+    found = {tuple(r) for r in df.select(*scope).distinct().toLocalIterator()}
+    strange = found - scopes
+    if strange:
+        raise RuntimeError(f"rows of other scopes in the snapshot: {sorted(strange, key=str)}")
+    if on_empty == "raise" and scopes - found:
+        raise RuntimeError(f"{message}: {sorted(scopes - found, key=str)}")
+
+
 def publish(
     spark: SparkSession,
     points: DataFrame,
     root: str,
     params: GridParams = GridParams(),
     on_empty: str = "raise",
+    scope: Sequence[str] = SITE,
 ) -> dict[str, DataFrame]:
     """Build and write every product of all sites in `points`, stage by stage.
 
     Each stage reads the table the stage before has written, as separate jobs of a
     workflow would; a lost executor costs tasks of one stage only. Tables are
-    partitioned by site (not by tile: that would make one file per tile) and
-    clustered by tile, so tile filters skip row groups. A snapshot of a site is one
-    ingest run; a site with several is refused before anything is written."""
-    mixed = runs_per_site(points).where("runs > 1").first()
-    if mixed is not None:
-        raise ValueError(f"site {mixed['siteId']} has {mixed['runs']} ingest runs, expected one")
+    partitioned by scope (not by tile: that would make one file per tile) and
+    clustered by tile, so tile filters skip row groups. Every product carries the time
+    of this build in `computedAt`.
+
+    A snapshot is all of a site, or with the longer scope of a site's ingest run, and
+    replaces all that the tables held of it, also where the new one has no rows. With
+    the short scope a site with several runs is refused before anything is written.
+    Every scope must have points, eligible tiles and (with `on_empty="raise"`) water."""
+    if on_empty not in ("raise", "empty"):
+        raise ValueError("on_empty must be 'raise' or 'empty'")
+    if tuple(scope) == SITE:
+        mixed = runs_per_site(points).where("runs > 1").first()
+        if mixed is not None:
+            raise ValueError(
+                f"site {mixed['siteId']} has {mixed['runs']} ingest runs, expected one"
+            )
     out: dict[str, DataFrame] = {}
+    scopes = {tuple(r) for r in points.select(*scope).distinct().toLocalIterator()}
+    if not scopes and on_empty == "raise":
+        raise RuntimeError("no points to process")
+    at = F.lit(spark.sql("SELECT current_timestamp()").first()[0])
 
     def save(name: str, df: DataFrame, clustered: bool = True, spread: Sequence[str] = ()) -> DataFrame:
-        if clustered:
-            df = cluster(df, SITE, spread)
+        df = df.withColumn("computedAt", at)
+        df = cluster(df, scope, spread) if clustered else store(df, name).df
         path = f"{root}/{name}"
-        replace_partitions(df, path, ordered=clustered)
+        replace_snapshot(df, path, sorted(scopes, key=str), scope, ordered=clustered)
         out[name] = read_table(spark, path, df.schema)
-        return out[name]
+        return _of(out[name])
+
+    def _of(table: DataFrame) -> DataFrame:
+        """The rows of this build; the table may hold other sites."""
+        return table.where(F.col("computedAt") == at).drop("computedAt")
 
     tiled = save(
         "points_tiled",
-        tiling.stamp_snapshot(tiled_points(points, params)),
+        tiling.stamp_snapshot(tiled_points(points, params, scope)),
         spread=("x", "y", "z"),
     )
-    require_rows(tiled, "no points to process", on_empty)
-    stats = save("tile_stats", tile_stats.tile_stats(tiled, params))
-    eligible = surface.eligible_tiles(stats, params)
-    require_rows(
-        eligible,
+    _guard(tiled, scopes, scope, "no points to process", on_empty)
+    stats = save("tile_stats", tile_stats.tile_stats(tiled, params, scope))
+    _guard(
+        surface.eligible_tiles(stats, params),
+        scopes,
+        scope,
         f"no tile below water ratio {params.skip_water_ratio} with {params.min_tile_points} points",
         on_empty,
     )
-    cells = save("surface_cells", surface.surface_cells(tiled, params, stats=stats))
-    patches = save("surface_patches", surface.surface_patches(cells, params, stats=stats))
-    save("building_candidates", features.building_candidates(patches, params), clustered=False)
-    wet = features.water_cells(cells, params)
-    require_rows(wet, f"no water cell at ratio {params.water_cell_ratio}", on_empty)
-    save("water_bodies", features.water_bodies(features.label_water(wet)), clustered=False)
+    cells = save("surface_cells", surface.surface_cells(tiled, params, scope, stats=stats))
+    patches = save("surface_patches", surface.surface_patches(cells, params, scope, stats=stats))
+    save(
+        "building_candidates", features.building_candidates(patches, params, scope), clustered=False
+    )
+    wet = features.water_cells(cells, params, scope)
+    bodies = features.water_bodies(features.label_water(wet, scope), scope)
+    save("water_bodies", bodies, clustered=False)
+    _guard(wet, scopes, scope, f"no water cell at ratio {params.water_cell_ratio}", on_empty)
     return out

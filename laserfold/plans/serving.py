@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from laserfold.functions.grid import boxes_overlap
 from laserfold.operators.tiling import TILE
 
-DEFAULT_LIMIT = 100
-MAX_TILES = 2_000
-MAX_FEATURES = 1_000
-
 # Names of the orders a caller may ask for.
 WATER_ORDERS = ("areaDesc",)
 BUILDING_ORDERS = ("heightDesc", "heightRangeDesc")
@@ -40,13 +36,20 @@ RUN_PAYLOAD = (
 )
 
 
-def _check_page(limit: int | None, most: int, offset: int = 0) -> int:
-    size = DEFAULT_LIMIT if limit is None else limit
-    if not 1 <= size <= most:
+def _check_page(limit: int | None, most: int | None, offset: int = 0) -> None:
+    """`most` is the caller's own bound on a page."""
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be 1 or greater")
+    if most is not None and (limit is None or limit > most):
         raise ValueError(f"limit must be between 1 and {most}")
     if offset < 0:
         raise ValueError("offset must be 0 or greater")
-    return size
+
+
+def _page(df: DataFrame, limit: int | None, offset: int = 0) -> DataFrame:
+    """All rows, or a page of them."""
+    shifted = df.offset(offset) if offset else df
+    return shifted if limit is None else shifted.limit(limit)
 
 
 def _check_minimum(name: str, value: float | None) -> None:
@@ -82,17 +85,18 @@ def list_tiles(
     order: str | None = None,
     limit: int | None = None,
     offset: int = 0,
+    most: int | None = None,
 ) -> DataFrame:
-    """A page of the tiles of one site; equal measures are ordered by tile id."""
+    """The tiles of one site, or a page of them; equal measures are ordered by tile id."""
     name = _check_order(order, TILE_ORDER_NAMES)
-    size = _check_page(limit, MAX_TILES, offset)
+    _check_page(limit, most, offset)
     _check_minimum("min_points", min_points)
     tiles = stats.where(F.col("siteId") == site_id)
     if skip_mostly_water:
         tiles = tiles.where(~F.col("isMostlyWater"))
     if min_points is not None:
         tiles = tiles.where(F.col("pointCount") >= min_points)
-    return tiles.orderBy(*_tile_sort(name)).offset(offset).limit(size)
+    return _page(tiles.orderBy(*_tile_sort(name)), limit, offset)
 
 
 def list_water(
@@ -101,15 +105,16 @@ def list_water(
     min_area_m2: float | None = None,
     order: str | None = None,
     limit: int | None = None,
+    most: int | None = None,
 ) -> DataFrame:
-    """The largest water bodies of a site."""
+    """The water bodies of a site, largest first, or the first of them."""
     _check_order(order, WATER_ORDERS)
-    size = _check_page(limit, MAX_FEATURES)
+    _check_page(limit, most)
     _check_minimum("min_area_m2", min_area_m2)
     found = bodies.where(F.col("siteId") == site_id)
     if min_area_m2 is not None:
         found = found.where(F.col("areaM2") >= min_area_m2)
-    return found.orderBy(F.desc("areaM2"), "waterBodyId").limit(size)
+    return _page(found.orderBy(F.desc("areaM2"), "waterBodyId"), limit)
 
 
 def water_by_id(bodies: DataFrame, site_id: str, water_body_id: int) -> DataFrame:
@@ -124,10 +129,11 @@ def list_buildings(
     min_height: float | None = None,
     order: str | None = None,
     limit: int | None = None,
+    most: int | None = None,
 ) -> DataFrame:
     """Building candidates of a site, highest (or most uneven) first."""
     name = _check_order(order, BUILDING_ORDERS)
-    size = _check_page(limit, MAX_FEATURES)
+    _check_page(limit, most)
     _check_minimum("min_height", min_height)
     found = candidates.where(F.col("siteId") == site_id)
     if tile_id is not None and tile_id.strip():
@@ -135,7 +141,7 @@ def list_buildings(
     if min_height is not None:
         found = found.where(F.col("heightAboveGround") >= min_height)
     measure = "heightRange" if name == "heightRangeDesc" else "heightAboveGround"
-    return found.orderBy(F.desc(measure), "buildingCandidateId").limit(size)
+    return _page(found.orderBy(F.desc(measure), "buildingCandidateId"), limit)
 
 
 def building_by_id(
@@ -160,9 +166,11 @@ def run_by_id(runs: DataFrame, site_id: str, run_id: str) -> DataFrame:
 
 
 def as_payload(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-    """One JSON text per row, with the fields that the table has."""
-    present = [f for f in fields if f in df.columns]
-    return df.select(F.to_json(F.struct(*present)).alias("payload"))
+    """One JSON text per row; a field that the table lacks is an error."""
+    absent = [f for f in fields if f not in df.columns]
+    if absent:
+        raise ValueError("the table lacks " + ", ".join(absent))
+    return df.select(F.to_json(F.struct(*fields)).alias("payload"))
 
 
 @dataclass(frozen=True)

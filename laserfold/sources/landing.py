@@ -26,6 +26,6 @@ def widen(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def preview(df: DataFrame, n: int = 20) -> tuple[DataFrame, DataFrame]:
+def preview(df: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     """The first n rows and a one-row count of the whole."""
     return df.limit(n), df.agg(F.count(F.lit(1)).alias("rows"))

@@ -7,8 +7,10 @@ functions use `replaceWhere`.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterable, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,14 +27,57 @@ def _balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *(F.col(c) for c in by))
 
 
+def drop_partitions(
+    spark: SparkSession, path: str, partition_by: Sequence[str], gone: Iterable[tuple]
+) -> None:
+    """Delete whole partitions, given as values of the partition columns."""
+    wanted = {tuple(map(str, values)) for values in gone}
+    if not wanted:
+        return
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        "/".join([path, *(f"{c}=*" for c in partition_by)])
+    )
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in fs.globStatus(pattern) or ():
+        names = found.getPath().toString().split("/")[-len(partition_by) :]
+        if tuple(unquote(n.split("=", 1)[1]) for n in names) in wanted:
+            fs.delete(found.getPath(), True)
+
+
+def replace_snapshot(
+    df: DataFrame,
+    path: str,
+    scopes: Sequence[tuple],
+    partition_by: Sequence[str] = ("siteId",),
+    ordered: bool = False,
+) -> None:
+    """Make `df` the whole content of the partitions in `scopes`, keep all others.
+
+    A scope without rows in `df` has none in the table afterwards, so a site that lost
+    all its buildings keeps no old ones. Two steps: what is new replaces its partitions,
+    then those of the other scopes are deleted."""
+    # The list is gathered while the rows are written: at most one entry per partition.
+    seen = Observation("partitions")
+    keys = F.collect_set(F.to_json(F.array(*(F.col(c).cast("string") for c in partition_by))))
+    laid_out = df if ordered else _balanced(df, partition_by)
+    watched = laid_out.observe(seen, F.array_join(keys, "\n").alias("filled"))
+    replace_partitions(watched, path, partition_by, ordered=True)
+    filled = {tuple(json.loads(line)) for line in seen.get["filled"].splitlines()}
+    asked = {tuple(map(str, s)) for s in scopes}
+    drop_partitions(df.sparkSession, path, partition_by, asked - filled)
+
+
 def append(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str] = ("siteId", "ingestRunId"),
     compression: str | None = None,
 ) -> None:
-    """Add rows to a partitioned table."""
-    writer = _balanced(df, partition_by).write.mode("append").partitionBy(*partition_by)
+    """Add rows to a partitioned table, without a shuffle.
+
+    Landing files belong to one site and run each, so tasks write few partitions; the
+    small files are compacted when the products are published (`rewrite_clustered`)."""
+    writer = df.write.mode("append").partitionBy(*partition_by)
     if compression:
         writer = writer.option("compression", compression)
     writer.parquet(path)

@@ -1,4 +1,9 @@
-"""Job events as a stream: first creates and the guarded state fold."""
+"""Job events as a stream: first creates and the guarded state fold.
+
+Both give the result of their batch forms whatever the order of arrival. Each
+micro-batch is merged into a table in versions (one folder per batch), so a retried
+batch overwrites only its own version.
+"""
 
 from __future__ import annotations
 
@@ -9,12 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from laserfold import schemas
-from laserfold.functions.events import state_rank
-from laserfold.operators.jobs import STATE_NAMES
+from laserfold.operators.jobs import ORDER, fold_states
 from laserfold.params import JOB_STATES
 
-STATE_SCHEMA = "rank int, status string, updatedAt timestamp"
-OUTPUT_SCHEMA = "jobId string, siteId string, status string, updatedAt timestamp"
+CREATES = "idempotencyKey string, first struct<ts: timestamp, event_id: bigint, jobId: string, siteId: string>"
 
 
 def arriving_events(
@@ -26,78 +29,97 @@ def arriving_events(
     return reader.parquet(folder)
 
 
-def first_creates_within(events: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """First create event per idempotency key; repeats later than `delay` come again."""
-    created = events.where(
-        (F.col("eventStatus") == JOB_STATES[0]) & F.col("idempotencyKey").isNotNull()
-    )
-    return (
-        created.withWatermark("ts", delay)
-        .dropDuplicatesWithinWatermark(["idempotencyKey"])
-        .select("idempotencyKey", "jobId", "siteId", F.col("ts").alias("createdAt"))
+def _version(path: str, batch: int) -> str:
+    return f"{path}/version-{batch:08d}"
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """Versions that have been written completely, in order."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version-*/_SUCCESS")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(root) or ()
+    return sorted(int(f.getPath().getParent().getName().removeprefix("version-")) for f in found)
+
+
+def _drop_version(spark: SparkSession, path: str, batch: int) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_version(path, batch))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def merge_first_creates(path: str) -> Callable[[DataFrame, int], None]:
+    """Sink that keeps the earliest create of every idempotency key, for ever.
+
+    A batch's minima (combined on the map side) are merged with the version before;
+    older versions are deleted, so two are kept."""
+
+    def merge(events: DataFrame, batch: int) -> None:
+        spark = events.sparkSession
+        created = events.where(
+            (F.col("eventStatus") == JOB_STATES[0]) & F.col("idempotencyKey").isNotNull()
+        ).select("idempotencyKey", F.struct(*ORDER, "jobId", "siteId").alias("first"))
+        earlier = [n for n in _numbers(spark, path) if n < batch]
+        if earlier:
+            known = spark.read.schema(CREATES).parquet(_version(path, earlier[-1]))
+            created = created.unionByName(known)
+        minima = created.groupBy("idempotencyKey").agg(F.min("first").alias("first"))
+        minima.write.mode("overwrite").parquet(_version(path, batch))
+        for old in earlier[:-1]:
+            _drop_version(spark, path, old)
+
+    return merge
+
+
+def current_creates(spark: SparkSession, path: str) -> DataFrame:
+    """First creates so far, with the columns of the batch form."""
+    table = spark.read.schema(CREATES).parquet(_version(path, _numbers(spark, path)[-1]))
+    return table.select(
+        "idempotencyKey", "first.jobId", "first.siteId", F.col("first.ts").alias("createdAt")
     )
 
 
-def state_updates(events: DataFrame) -> DataFrame:
-    """Current state of every job touched by a micro-batch.
-
-    Events of a micro-batch are taken in (ts, event_id) order, batches in order of
-    arrival. One group is at most one micro-batch, whose size the source option
-    maxFilesPerTrigger (or maxBytesPerTrigger) bounds."""
-    last = len(JOB_STATES) - 1
-    nothing = STATE_NAMES[0]
-
-    def advance(key, frames, state):
-        import pandas as pd
-
-        rank, status, at = state.get if state.exists else (0, nothing, None)
-        batch = pd.concat(list(frames)).sort_values(["ts", "event_id"])
-        for next_rank, name, ts in zip(batch["rank"], batch["eventStatus"], batch["ts"]):
-            if rank < last and next_rank == rank + 1:
-                rank, status, at = int(next_rank), name, ts.to_pydatetime()
-        state.update((rank, status, at))
-        yield pd.DataFrame(
-            {
-                "jobId": [key[0]],
-                "siteId": [batch["siteId"].min()],
-                "status": [status],
-                "updatedAt": pd.Series([at], dtype="datetime64[ns]"),
-            }
-        )
+def fold_arrivals(path: str) -> Callable[[DataFrame, int], None]:
+    """Sink that keeps the state of every job, equal to the batch fold of all events.
 
-    return (
-        events.select(
-            "jobId", "siteId", "ts", "event_id", "eventStatus", state_rank("eventStatus").alias("rank")
+    An event may arrive after later ones, so the events themselves are the state: a
+    batch's narrow events are kept, and the jobs that it touches are folded anew from
+    theirs. Other jobs are neither read into a shuffle nor written."""
+    kept, folded = f"{path}/events", f"{path}/states"
+
+    def merge(events: DataFrame, batch: int) -> None:
+        spark = events.sparkSession
+        events.select("jobId", "siteId", *ORDER, "eventStatus").write.mode("overwrite").parquet(
+            _version(kept, batch)
         )
-        .groupBy("jobId")
-        .applyInPandasWithState(advance, OUTPUT_SCHEMA, STATE_SCHEMA, "update", "NoTimeout")
-    )
+        numbers = [n for n in _numbers(spark, kept) if n <= batch]
+        history = spark.read.parquet(*(_version(kept, n) for n in numbers))
+        touched = spark.read.parquet(_version(kept, batch)).select("jobId").distinct()
+        states = fold_states(history.join(touched, "jobId", "left_semi"))
+        states.write.mode("overwrite").parquet(_version(folded, batch))
+
+    return merge
+
+
+def current_states(spark: SparkSession, path: str) -> DataFrame:
+    """Latest state of every job."""
+    folded = f"{path}/states"
+    numbers = _numbers(spark, folded)
+    versions = [
+        spark.read.parquet(_version(folded, n)).withColumn("batch", F.lit(n)) for n in numbers
+    ]
+    log = versions[0]
+    for version in versions[1:]:
+        log = log.unionByName(version)
+    newest = F.max_by(F.struct("siteId", "status", "updatedAt"), "batch").alias("s")
+    return log.groupBy("jobId").agg(newest).select("jobId", "s.*")
 
 
 def run_available(
-    stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+    stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
     """Send all available micro-batches to `sink`, then stop."""
     return (
         stream.writeStream.foreachBatch(sink)
-        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-
-
-def update_log(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink that keeps each batch's updates in its own folder; a retry overwrites it."""
-
-    def write(updates: DataFrame, batch: int) -> None:
-        updates.write.mode("overwrite").parquet(f"{path}/batch={batch}")
-
-    return write
-
-
-def current_states(spark: SparkSession, path: str) -> DataFrame:
-    """Latest logged state of every job."""
-    log = spark.read.parquet(path)
-    newest = F.max_by(F.struct("siteId", "status", "updatedAt"), "batch").alias("s")
-    return log.groupBy("jobId").agg(newest).select("jobId", "s.*")

@@ -210,8 +210,8 @@ def _chain(scope: str) -> dict[str, tuple[tuple[str, ...], str]]:
             ("limits",),
             f"""
             SELECT {scope}, maxTilePoints, target AS targetPointsPerBucket,
-              CAST(least(greatest(ceil(maxTilePoints / target), 1), 64) AS BIGINT) AS saltBuckets
-            FROM limits, (SELECT unnest([500, 1000, 2000, 5000, 50000]) AS target)""",
+              CAST(greatest(ceil(maxTilePoints / target), 1) AS BIGINT) AS saltBuckets
+            FROM limits, (SELECT unnest([50, 500, 1000, 2000, 5000, 50000]) AS target)""",
         ),
         "choice": (
             ("candidates",),
@@ -327,11 +327,11 @@ def texts() -> dict[str, str]:
     )
     clean = f"SELECT * FROM {inputs.in_sql(inputs.LANDING)} WHERE x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL"
     pages = {
-        "list_tiles_id": "ORDER BY tileId LIMIT 100",
-        "list_tiles_points": "ORDER BY pointCount DESC, tileId LIMIT 100",
-        "list_tiles_water": "ORDER BY waterPointRatio DESC, tileId LIMIT 100",
-        "list_tiles_p99": "ORDER BY z_p99 DESC, tileId LIMIT 100",
-        "list_tiles_relief": "AND pointCount >= 100 ORDER BY z_p95 - z_p50 DESC, tileId LIMIT 100",
+        "list_tiles_id": "ORDER BY tileId",
+        "list_tiles_points": "ORDER BY pointCount DESC, tileId",
+        "list_tiles_water": "ORDER BY waterPointRatio DESC, tileId",
+        "list_tiles_p99": "ORDER BY z_p99 DESC, tileId",
+        "list_tiles_relief": "AND pointCount >= 100 ORDER BY z_p95 - z_p50 DESC, tileId",
         "list_tiles_paged": "AND NOT isMostlyWater ORDER BY pointCount DESC, tileId LIMIT 2 OFFSET 1",
     }
     out = {
@@ -568,12 +568,15 @@ def texts() -> dict[str, str]:
         ),
         "published_tables": chain(
             " UNION ALL ".join(
-                f"SELECT siteId, '{name}' AS tableName, count(*) AS rows FROM {step} "
-                "WHERE ingestRunId = 'run_1' GROUP BY siteId"
-                for name, step in (
-                    ("points_tiled", "tiled"), ("tile_stats", "stats"), ("surface_cells", "cells"),
-                    ("surface_patches", "patches"), ("building_candidates", "buildings"),
-                    ("water_bodies", "bodies"),
+                f"SELECT siteId, ingestRunId, '{name}' AS tableName, count(*) AS rows, "
+                f"CAST(sum({what}) AS BIGINT) AS total FROM {step} GROUP BY siteId, ingestRunId"
+                for name, step, what in (
+                    ("points_tiled", "tiled", "intensity"),
+                    ("tile_stats", "stats", "pointCount"),
+                    ("surface_cells", "cells", "pointCount"),
+                    ("surface_patches", "patches", "pointsUsed"),
+                    ("building_candidates", "buildings", "pointsUsed"),
+                    ("water_bodies", "bodies", "cellCount"),
                 )
             ),
             "buildings", "bodies",
@@ -649,21 +652,25 @@ def texts() -> dict[str, str]:
         f"ORDER BY createdAt DESC, runId DESC) AS rn FROM {inputs.in_sql(inputs.RUNS)}) WHERE rn = 1",
         "run_by_id": f"SELECT * FROM {inputs.in_sql(inputs.RUNS)} WHERE siteId = 'site_a' AND runId = '100'",
         "tiles_json": chain(
-            "SELECT siteId, tileId, pointCount, z_p50, isMostlyWater FROM stats WHERE siteId = 'site_a' "
+            "SELECT siteId, tileId, pointCount, z_p50, z_p95, z_p99, waterPointRatio, isMostlyWater, "
+            "'2024-01-01 00:00:00' AS computedAt FROM stats WHERE siteId = 'site_a' "
             "ORDER BY tileId LIMIT 10",
             "stats", scope=SITE,
         ),
         "water_json": chain(
-            "SELECT waterBodyId, areaM2, cellCount, bboxMaxCellY FROM bodies WHERE siteId = 'site_a' "
+            "SELECT waterBodyId, areaM2, cellCount, minZ, maxZ, bboxMinCellX, bboxMinCellY, bboxMaxCellX, "
+            "bboxMaxCellY, '2024-01-01 00:00:00' AS computedAt FROM bodies WHERE siteId = 'site_a' "
             "ORDER BY areaM2 DESC, waterBodyId LIMIT 50",
             "bodies", scope=SITE,
         ),
         "buildings_json": chain(
-            "SELECT buildingCandidateId, tileId, heightRange, pointsUsed FROM buildings "
+            "SELECT buildingCandidateId, tileId, heightRange, pointsUsed, cellCount, minZ, maxZ, "
+            "'2024-01-01 00:00:00' AS computedAt FROM buildings "
             "WHERE siteId = 'site_b'",
             "buildings", scope=SITE,
         ),
-        "run_json": "SELECT siteId, runId, status, finishedAt, errorMessage FROM (SELECT *, row_number() "
+        "run_json": "SELECT siteId, runId, status, startedAt, finishedAt, errorMessage, producedSnapshotAt FROM "
+        "(SELECT *, row_number() "
         f"OVER (PARTITION BY siteId ORDER BY createdAt DESC, runId DESC) AS rn "
         f"FROM {inputs.in_sql(inputs.RUNS)}) WHERE rn = 1",
         "tile_range": chain(
@@ -727,7 +734,7 @@ def texts() -> dict[str, str]:
         "payload_fields": f"""
             SELECT event_id, TRY_CAST(rid AS BIGINT) AS runId, jid AS payloadJobId, outcome,
               CASE WHEN outcome = 'FAILED' THEN 'DBX_RUN_FAILED' END AS errorCode,
-              CASE WHEN outcome = 'FAILED' AND trim(msg) <> '' THEN substring(msg, 1, 2048) END AS errorMessage
+              CASE WHEN outcome = 'FAILED' AND trim(msg) <> '' THEN msg END AS errorMessage
             FROM (SELECT *, {NORMAL.format('st')} AS outcome FROM (
               SELECT event_id, {json_paths('$.run_id', '$.runId', '$.event.run.run_id', '$.tasks[1].run_id')} AS rid,
                 {json_paths('$.jobId', '$.JOB_ID')} AS jid,
@@ -743,10 +750,8 @@ def texts() -> dict[str, str]:
             FROM {inputs.in_sql(inputs.WEBHOOKS)} e
             LEFT JOIN {inputs.in_sql(inputs.JOBS_BY_RUN)} r ON e.runId = r.jobRunId
             LEFT JOIN {inputs.in_sql(inputs.JOBS_BY_RUN)} j ON e.payloadJobId = j.jobId""",
-        "text_truncate": "SELECT doc_id, CASE WHEN trim(source) <> '' THEN substring(source, 1, 4) END AS code, "
+        "text_truncate": "SELECT doc_id, CASE WHEN trim(source) <> '' THEN substring(source, 1, 64) END AS code, "
         "CASE WHEN trim(text) <> '' THEN substring(text, 1, 2048) END AS message FROM documents",
         "stream_job_state": FOLD,
-        "stream_first_create": f"SELECT DISTINCT idempotencyKey FROM {inputs.in_sql(inputs.EVENTS)} "
-        "WHERE eventStatus = 'CREATED'",
     }
-    return out
+    return out | {"stream_first_create": out["job_first_create"]}

@@ -62,7 +62,8 @@ SELECT CASE WHEN o_custkey % 8 = 0 THEN 'site_b' ELSE 'site_a' END AS siteId,
   CAST(CAST(o_orderdate AS DATE) AS STRING) AS startedAt,
   CASE WHEN o_orderstatus <> 'O' THEN CAST(CAST(o_orderdate AS DATE) AS STRING) END AS finishedAt,
   CASE WHEN o_orderstatus = 'P' THEN 'stage failed' END AS errorMessage,
-  'scheduler' AS triggeredBy, CAST(CAST(o_orderdate AS DATE) AS STRING) AS createdAt
+  'scheduler' AS triggeredBy, CAST(CAST(o_orderdate AS DATE) AS STRING) AS createdAt,
+  CASE WHEN o_orderstatus = 'F' THEN CAST(CAST(o_orderdate AS DATE) AS STRING) END AS producedSnapshotAt
 FROM {orders}
 """
 
@@ -81,7 +82,7 @@ PAYLOADS = """
 SELECT event_id, CASE event_id % 6
   WHEN 0 THEN CONCAT('{"run_id": ', CAST(event_id AS STRING), ', "status": "', event_type, ' ok success"}')
   WHEN 1 THEN CONCAT('{"runId": "', CAST(event_id AS STRING), '", "jobId": "', CAST(user_id AS STRING),
-    '", "resultState": "FAILED", "errorMessage": "', event_type, ' failed"}')
+    '", "resultState": "FAILED", "errorMessage": "', event_type, ' failed', repeat('.', CAST(event_id % 3000 AS INT)), '"}')
   WHEN 2 THEN CONCAT('{"event": {"run": {"run_id": ', CAST(event_id AS STRING),
     '}, "state": {"result_state": "SUCCEEDED", "state_message": "', event_type, '"}}}')
   WHEN 3 THEN CONCAT('{"JOB_ID": ', CAST(user_id AS STRING), ', "status": "canceled by user", "error": "  "}')

@@ -24,7 +24,7 @@ from laserfold.operators import (
     tuning,
     upsert,
 )
-from laserfold.params import SITE, SITE_RUN, GridParams
+from laserfold.params import ERROR_CODE_CHARS, ERROR_MESSAGE_CHARS, SITE, SITE_RUN, GridParams
 from laserfold.plans import products, serving
 from laserfold.runtime import scratch_path, store
 from laserfold.sources import landing, tables
@@ -221,8 +221,11 @@ def register_read(spark, sf):
 @query("stream_ingest")
 def stream_ingest(spark, sf):
     folder, table = scratch_path(spark, "landing"), scratch_path(spark, "arrived")
-    points(spark, sf).write.parquet(folder)
-    stream = arrivals.arriving_points(spark, folder)
+    # Half of the points come by a batch job, the others as files that arrive in turn.
+    base, early = points(spark, sf), F.col("return_number") == 1
+    tables.append(base.where(early), table)
+    base.where(~early).repartition(4).write.parquet(folder)
+    stream = arrivals.arriving_points(spark, folder, files_per_trigger=2)
     arrivals.append_arrivals(stream, table, scratch_path(spark, "progress")).awaitTermination()
     return content(tables.read_table(spark, table))
 
@@ -314,7 +317,7 @@ def hot_threshold(spark, sf):
 def salt_candidates(spark, sf):
     return tuning.salt_candidates(
         tuning.tile_distribution(counts(spark, sf)).select(*SITE_RUN, "maxTilePoints"),
-        targets=(500, 1_000, 2_000, 5_000, 50_000),
+        targets=(50, 500, 1_000, 2_000, 5_000, 50_000),
     )
 
 
@@ -392,7 +395,7 @@ def tile_mask_join(spark, sf):
 
 @query("class_distribution")
 def class_distribution(spark, sf):
-    return tile_stats.class_distribution(points(spark, sf))
+    return tile_stats.class_distribution(points(spark, sf), 20)
 
 
 @query("range_percentiles")
@@ -581,11 +584,24 @@ def water_top10(spark, sf):
 
 @query("published_tables")
 def published_tables(spark, sf):
-    """All products written stage by stage; a snapshot of a site is one run."""
-    snapshot = ingest.scope_filter(points(spark, sf), run_id="run_1")
-    written = products.publish(spark, snapshot, scratch_path(spark, "lake"), GRID)
+    """All products written stage by stage, a snapshot per run: rows and a total of each."""
+    written = products.publish(
+        spark, points(spark, sf), scratch_path(spark, "lake"), GRID, "empty", SITE_RUN
+    )
+    measure = {
+        "points_tiled": "intensity",
+        "tile_stats": "pointCount",
+        "surface_cells": "pointCount",
+        "surface_patches": "pointsUsed",
+        "building_candidates": "pointsUsed",
+        "water_bodies": "cellCount",
+    }
     counted = [
-        df.groupBy("siteId").agg(F.lit(name).alias("tableName"), F.count(F.lit(1)).alias("rows"))
+        df.groupBy(*SITE_RUN).agg(
+            F.lit(name).alias("tableName"),
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(measure[name]).cast("long").alias("total"),
+        )
         for name, df in written.items()
     ]
     return reduce(DataFrame.unionByName, counted)
@@ -628,6 +644,14 @@ def tensor_samples(spark, sf):
 # ---- serving ----------------------------------------------------------------
 
 
+# Builds stamp their products with the time; here it is fixed, so that SQL can repeat it.
+BUILT_AT = "2024-01-01 00:00:00"
+
+
+def stamped(df):
+    return df.withColumn("computedAt", F.lit(BUILT_AT))
+
+
 def served(spark, sf):
     return stats(spark, sf, SITE).drop("tileX", "tileY")
 
@@ -701,32 +725,44 @@ def run_by_id(spark, sf):
 
 @query("tiles_json")
 def tiles_json(spark, sf):
-    page = serving.list_tiles(served(spark, sf), "site_a", order="tileId", limit=10)
+    page = serving.list_tiles(stamped(served(spark, sf)), "site_a", order="tileId", limit=10)
     texts = serving.as_payload(page, serving.TILE_PAYLOAD)
-    fields = "siteId string, tileId string, pointCount bigint, z_p50 double, isMostlyWater boolean"
+    fields = (
+        "siteId string, tileId string, pointCount bigint, z_p50 double, z_p95 double, z_p99 double, "
+        "waterPointRatio double, isMostlyWater boolean, computedAt string"
+    )
     return texts.select(F.from_json("payload", fields).alias("p")).select("p.*")
 
 
 @query("water_json")
 def water_json(spark, sf):
-    page = serving.list_water(bodies(spark, sf, SITE), "site_a", limit=50)
+    page = serving.list_water(stamped(bodies(spark, sf, SITE)), "site_a", limit=50)
     texts = serving.as_payload(page, serving.WATER_PAYLOAD)
-    fields = "waterBodyId bigint, areaM2 double, cellCount bigint, bboxMaxCellY int"
+    fields = (
+        "waterBodyId bigint, areaM2 double, cellCount bigint, minZ double, maxZ double, "
+        "bboxMinCellX int, bboxMinCellY int, bboxMaxCellX int, bboxMaxCellY int, computedAt string"
+    )
     return texts.select(F.from_json("payload", fields).alias("p")).select("p.*")
 
 
 @query("buildings_json")
 def buildings_json(spark, sf):
-    page = serving.list_buildings(buildings(spark, sf, SITE), "site_b", limit=1000)
+    page = serving.list_buildings(stamped(buildings(spark, sf, SITE)), "site_b")
     texts = serving.as_payload(page, serving.BUILDING_PAYLOAD)
-    fields = "buildingCandidateId string, tileId string, heightRange double, pointsUsed bigint"
+    fields = (
+        "buildingCandidateId string, tileId string, heightRange double, pointsUsed bigint, "
+        "cellCount bigint, minZ double, maxZ double, computedAt string"
+    )
     return texts.select(F.from_json("payload", fields).alias("p")).select("p.*")
 
 
 @query("run_json")
 def run_json(spark, sf):
     texts = serving.as_payload(serving.latest_runs(runs(spark, sf)), serving.RUN_PAYLOAD)
-    fields = "siteId string, runId string, status string, finishedAt string, errorMessage string"
+    fields = (
+        "siteId string, runId string, status string, startedAt string, finishedAt string, "
+        "errorMessage string, producedSnapshotAt string"
+    )
     return texts.select(F.from_json("payload", fields).alias("p")).select("p.*")
 
 
@@ -832,27 +868,29 @@ def event_match(spark, sf):
 def text_truncate(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     return docs.select(
-        "doc_id", clip_text("source", 4).alias("code"), clip_text("text", 2048).alias("message")
+        "doc_id", clip_text("source", ERROR_CODE_CHARS).alias("code"), clip_text("text", ERROR_MESSAGE_CHARS).alias("message")
     )
 
 
+def arriving(spark, sf, sink):
+    """Send all events through a sink, in shuffled order and several micro-batches."""
+    folder = scratch_path(spark, "events")
+    mixed = events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    mixed.repartition(3, F.xxhash64("event_id")).write.parquet(folder)
+    stream = job_state.arriving_events(spark, folder, files_per_trigger=1)
+    job_state.run_available(stream, sink, scratch_path(spark, "progress")).awaitTermination()
+
+
 @query("stream_job_state")
 def stream_job_state(spark, sf):
-    folder, log = scratch_path(spark, "events"), scratch_path(spark, "states")
-    events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(folder)
-    updates = job_state.state_updates(job_state.arriving_events(spark, folder))
-    job_state.run_available(
-        updates, job_state.update_log(log), scratch_path(spark, "progress"), "update"
-    ).awaitTermination()
-    return job_state.current_states(spark, log).select("jobId", "siteId", "status")
+    states = scratch_path(spark, "states")
+    arriving(spark, sf, job_state.fold_arrivals(states))
+    return job_state.current_states(spark, states).drop("updatedAt")
 
 
 @query("stream_first_create")
 def stream_first_create(spark, sf):
-    folder, out = scratch_path(spark, "events"), scratch_path(spark, "created")
-    events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(folder)
-    created = job_state.first_creates_within(job_state.arriving_events(spark, folder), "40 days")
-    job_state.run_available(
-        created, job_state.update_log(out), scratch_path(spark, "progress")
-    ).awaitTermination()
-    return spark.read.parquet(out).select("idempotencyKey")
+    out = scratch_path(spark, "created")
+    arriving(spark, sf, job_state.merge_first_creates(out))
+    created = job_state.current_creates(spark, out)
+    return created.withColumn("createdAt", F.date_format("createdAt", "yyyy-MM-dd HH:mm:ss"))

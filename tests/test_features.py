@@ -134,8 +134,14 @@ def test_publish_builds_all_tables(spark, make_points, tmp_path):
     with pytest.raises(ValueError, match="2 ingest runs"):
         two_runs = make_points([(1, 1, 1, 2)]).unionByName(make_points([(1, 1, 1, 2)], run="q"))
         products.publish(spark, two_runs, str(tmp_path / "lake"), P)
-    page = serving.list_tiles(again["tile_stats"].withColumn("computedAt", F.lit(1)), "s", limit=1)
+    page = serving.list_tiles(again["tile_stats"], "s", order="computedAtDesc", limit=1)
     assert page.count() == 1
+    # A flat and dry site keeps nothing of its old building and lake, the other one does.
+    flat = make_points(block(0.0))
+    later = products.publish(spark, flat, str(tmp_path / "lake"), P, on_empty="empty")
+    assert later["building_candidates"].where("siteId = 's'").count() == 0
+    assert [r["siteId"] for r in later["water_bodies"].collect()] == ["t"]
+    assert later["tile_stats"].where("siteId = 's'").first()["waterPointCount"] == 0
 
 
 def test_publish_reports_what_is_missing(spark, make_points, tmp_path):

@@ -135,10 +135,16 @@ def test_unreadable_layer_is_skipped_and_empty_scope_reported(spark, make_points
     assert found["raw"]["distinctClasses"] == 2 and found["raw"]["distinctTiles"] is None
 
 
-def test_arrivals_are_appended_once_in_several_runs(spark, make_points, tmp_path):
+def test_arrivals_join_the_rows_of_batch_jobs(spark, make_points, tmp_path):
     landing_dir, table, progress = (str(tmp_path / n) for n in ("landing", "table", "progress"))
+    tables.append(make_points([(7, 1, 1, 2)]), table)
     for turn in range(2):
         make_points([(turn, 1, 1, 2), (turn, 1, None, 2)]).write.mode("append").parquet(landing_dir)
         stream = arrivals.arriving_points(spark, landing_dir, files_per_trigger=1)
         arrivals.append_arrivals(stream, table, progress).awaitTermination()
-    assert sorted(r["x"] for r in spark.read.parquet(table).collect()) == [0.0, 1.0]
+    assert sorted(r["x"] for r in spark.read.parquet(table).collect()) == [0.0, 1.0, 7.0]
+    # A batch that is tried again replaces its own files.
+    again = make_points([(1, 1, 1, 2)])
+    for _ in range(2):
+        arrivals._publish_batch(again, table, "other", 0)
+    assert sorted(r["x"] for r in spark.read.parquet(table).collect()) == [0.0, 1.0, 1.0, 7.0]

@@ -57,13 +57,25 @@ def test_fold_matches_brute_force(spark, monkeypatch, broadcast):
 
 def test_stream_of_several_batches_equals_batch(spark, tmp_path):
     rows = sorted(random_events(600, 40, seed=4), key=lambda r: (r[1], r[0]))
-    folder, log, progress = (str(tmp_path / n) for n in ("events", "log", "progress"))
+    random.Random(1).shuffle(rows)  # events arrive out of order
+    folder, out, progress = (str(tmp_path / n) for n in ("events", "states", "progress"))
+    created, progress2 = str(tmp_path / "created"), str(tmp_path / "progress2")
     for part in range(3):
         chunk = rows[part * 200 : (part + 1) * 200]
         spark.createDataFrame(chunk, EVENT_DDL).coalesce(1).write.mode("append").parquet(folder)
-        updates = job_state.state_updates(job_state.arriving_events(spark, folder, 1))
-        job_state.run_available(updates, job_state.update_log(log), progress, "update").awaitTermination()
-    assert states(job_state.current_states(spark, log)) == brute_fold(rows)
+        for sink, at in (
+            (job_state.fold_arrivals(out), progress),
+            (job_state.merge_first_creates(created), progress2),
+        ):
+            stream = job_state.arriving_events(spark, folder, 1)
+            job_state.run_available(stream, sink, at).awaitTermination()
+    assert states(job_state.current_states(spark, out)) == brute_fold(rows)
+    events = spark.createDataFrame(rows, EVENT_DDL)
+    want = sorted(map(str, jobs.first_creates(events).collect()))
+    assert sorted(map(str, job_state.current_creates(spark, created).collect())) == want
+    # A batch that is tried again changes nothing.
+    job_state.merge_first_creates(created)(events.limit(0), 2)
+    assert len([p for p in (tmp_path / "created").iterdir() if p.is_dir()]) == 2
 
 
 def test_first_create_and_last_wins(spark):

@@ -48,7 +48,7 @@ def test_filters_and_pages(tiles):
 
 @pytest.mark.parametrize(
     "bad",
-    [dict(limit=0), dict(limit=2001), dict(offset=-1), dict(min_points=-1), dict(order="height")],
+    [dict(limit=0), dict(limit=2001, most=2000), dict(most=2000), dict(offset=-1), dict(min_points=-1), dict(order="height")],
 )
 def test_bad_requests_fail_before_any_job(tiles, bad):
     with pytest.raises(ValueError):
@@ -57,7 +57,7 @@ def test_bad_requests_fail_before_any_job(tiles, bad):
 
 def test_feature_limits(tiles):
     with pytest.raises(ValueError):
-        serving.list_water(tiles, "s", limit=1001)
+        serving.list_water(tiles, "s", limit=1001, most=1000)
     with pytest.raises(ValueError):
         serving.list_buildings(tiles, "s", order="areaDesc")
     with pytest.raises(ValueError):
@@ -65,7 +65,7 @@ def test_feature_limits(tiles):
 
 
 def test_page_is_a_top_n_plan(tiles):
-    plan = serving.list_tiles(tiles, "s", order="reliefDesc")._jdf.queryExecution().executedPlan()
+    plan = serving.list_tiles(tiles, "s", order="reliefDesc", limit=3)._jdf.queryExecution().executedPlan()
     assert "TakeOrderedAndProject" in plan.toString()
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laserfold.params import SITE, GridParams
+from laserfold.runtime import store
 
 XYZ = ("x", "y", "z")
 VOXEL = ("vx", "vy", "vz")
@@ -63,8 +64,10 @@ def farthest_points(
 def normalize(points: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Centre the points of every key and scale them into the unit ball.
 
-    A group whose points coincide gets zero vectors."""
+    A group whose points coincide gets zero vectors. The points are stored first,
+    since they are read three times: for the centre, the reach and the result."""
     keys = list(keys)
+    points = store(points, "points-to-normalize").df
     centre = points.groupBy(*keys).agg(*(F.avg(a).alias(f"_c{a}") for a in XYZ))
     moved = points.join(centre, keys).withColumns({a: F.col(a) - F.col(f"_c{a}") for a in XYZ})
     moved = moved.drop(*(f"_c{a}" for a in XYZ))
@@ -77,9 +80,31 @@ def normalize(points: DataFrame, keys: Sequence[str]) -> DataFrame:
 def tensors(
     tiled: DataFrame, params: GridParams = GridParams(), scope: Sequence[str] = SITE
 ) -> DataFrame:
-    """One `array<array<float>>` per tile, ready for training."""
+    """One centred and scaled `array<array<float>>` per tile, ready for training.
+
+    A tile's sample is bounded, so it is gathered in one row, in the order of selection,
+    and centred and scaled there; sampling runs once and nothing is joined."""
     keys = [*scope, "tileId"]
-    sample = normalize(farthest_points(voxel_downsample(tiled, params, scope), params, scope), keys)
-    row = F.struct("seq", F.array(*(F.col(a).cast("float") for a in XYZ)).alias("p"))
-    ordered = F.array_sort(F.collect_list(row))
-    return sample.groupBy(*keys).agg(F.transform(ordered, lambda r: r["p"]).alias("tensor"))
+    sample = farthest_points(voxel_downsample(tiled, params, scope), params, scope)
+    gathered = sample.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("seq", *XYZ))).alias("rows")
+    )
+
+    def mean(axis: str) -> Column:
+        total = F.aggregate("rows", F.lit(0.0), lambda sum_, row: sum_ + row[axis])
+        return total / F.size("rows")
+
+    def length(p: Column) -> Column:
+        return F.sqrt(p[0] * p[0] + p[1] * p[1] + p[2] * p[2])
+
+    centred = gathered.withColumns({f"c{a}": mean(a) for a in XYZ}).withColumn(
+        "moved",
+        F.transform("rows", lambda row: F.array(*(row[a] - F.col(f"c{a}") for a in XYZ))),
+    )
+    reached = centred.withColumn("reach", F.array_max(F.transform("moved", length)))
+
+    def scaled(value: Column) -> Column:
+        return F.when(F.col("reach") > 0, value / F.col("reach")).otherwise(0.0).cast("float")
+
+    unit = F.transform("moved", lambda p: F.transform(p, scaled))
+    return reached.select(*keys, unit.alias("tensor"))

@@ -599,6 +599,27 @@ def texts() -> dict[str, str]:
               UNION ALL SELECT * FROM pick2 UNION ALL SELECT * FROM pick3) s ON r.k = s.k AND r.rn = s.rn""",
             "voxels",
         ),
+        "tensor_first_points": chain(
+            """
+            , ranked AS (
+              SELECT *, siteId || '/' || ingestRunId || '/' || tileId AS k,
+                row_number() OVER (PARTITION BY siteId, ingestRunId, tileId ORDER BY vx, vy, vz) AS rn
+              FROM voxels),
+            """ + _sample_steps(4) + """,
+            picked AS (
+              SELECT r.siteId, r.ingestRunId, r.tileId, CAST(s.seq AS INT) AS seq,
+                r.x - avg(r.x) OVER t AS x, r.y - avg(r.y) OVER t AS y, r.z - avg(r.z) OVER t AS z
+              FROM ranked r JOIN (SELECT * FROM pick0 UNION ALL SELECT * FROM pick1
+                UNION ALL SELECT * FROM pick2 UNION ALL SELECT * FROM pick3) s ON r.k = s.k AND r.rn = s.rn
+              WINDOW t AS (PARTITION BY r.siteId, r.ingestRunId, r.tileId)),
+            sized AS (
+              SELECT *, max(sqrt(x * x + y * y + z * z)) OVER (PARTITION BY siteId, ingestRunId, tileId) AS r
+              FROM picked)
+            SELECT siteId, ingestRunId, tileId, seq, round(x / r, 4) AS x, round(y / r, 4) AS y,
+              round(z / r, 4) AS z
+            FROM sized""",
+            "voxels",
+        ),
         "normalized_points": chain(
             """
             , moved AS (

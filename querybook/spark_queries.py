@@ -641,6 +641,19 @@ def tensor_samples(spark, sf):
     return sampling.tensors(tiled(spark, sf), GRID, SITE_RUN)
 
 
+@query("tensor_first_points")
+def tensor_first_points(spark, sf):
+    """The tensors of samples of four points, a row per point."""
+    made = sampling.tensors(tiled(spark, sf), replace(GRID, sample_points=4), SITE_RUN)
+    points_of = made.select(*SITE_RUN, "tileId", F.posexplode("tensor").alias("seq", "p"))
+    return points_of.select(
+        *SITE_RUN,
+        "tileId",
+        "seq",
+        *(F.round(F.col("p")[i].cast("double"), 4).alias(a) for i, a in enumerate("xyz")),
+    )
+
+
 # ---- serving ----------------------------------------------------------------
 
 

@@ -128,11 +128,11 @@ def odd_vectors():
 DDL = "vec_id bigint, embedding array<float>, label int, kept string, key string, n_links string"
 
 
-@pytest.mark.parametrize(("cell_rows", "block"), [(2000, 1024), (10, 7)])
-def test_vectors_equal_brute_force(spark, cell_rows, block):
+@pytest.mark.parametrize(("cell_rows", "block", "spread"), [(2000, 1024, 3.0), (10, 7, None)])
+def test_vectors_equal_brute_force(spark, cell_rows, block, spread):
     rows = vectors()
     table = spark.createDataFrame([(*r, "k", "y", "n") for r in rows + odd_vectors()], DDL)
-    got = vector_dedup.link(table, cell_rows=cell_rows, block=block).collect()
+    got = vector_dedup.link(table, cell_rows=cell_rows, block=block, spread=spread).collect()
     x = np.array([r[1] for r in rows])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     ids = [r[0] for r in rows]

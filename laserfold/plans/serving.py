@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laserfold.functions.grid import boxes_overlap
 from laserfold.operators.tiling import TILE
+from laserfold.params import SITE
 
 # Names of the orders a caller may ask for.
 WATER_ORDERS = ("areaDesc",)
@@ -203,14 +206,46 @@ def in_tile_range(df: DataFrame, tiles: TileRange) -> DataFrame:
     )
 
 
+def _in_site_tiles(
+    df: DataFrame,
+    box: tuple[float, float, float, float],
+    origins: DataFrame,
+    tile_size_m: float,
+    margin_m: float,
+    scope: Sequence[str],
+) -> DataFrame:
+    """Literal tile ranges of the box, one per row of the origin table (site, or run)."""
+    wide = (box[0] - margin_m, box[1] - margin_m, box[2] + margin_m, box[3] + margin_m)
+    inside = []
+    for row in origins.select(*scope, "originX", "originY").toLocalIterator():
+        found = tile_range(wide, (row["originX"], row["originY"]), tile_size_m)
+        inside.append(
+            reduce(
+                Column.__and__,
+                (
+                    *(F.col(c).eqNullSafe(F.lit(row[c])) for c in scope),
+                    F.col(TILE[0]).between(found.min_x, found.max_x),
+                    F.col(TILE[1]).between(found.min_y, found.max_y),
+                ),
+            )
+        )
+    return df.where(reduce(Column.__or__, inside) if inside else F.lit(False))
+
+
 def in_box(
     df: DataFrame,
     box: tuple[float, float, float, float],
     columns: tuple[str, str, str, str] = ("minX", "minY", "maxX", "maxY"),
-    tiles: TileRange | None = None,
+    origins: DataFrame | None = None,
+    tile_size_m: float = 25.0,
+    margin_m: float = 0.0,
+    scope: Sequence[str] = SITE,
 ) -> DataFrame:
-    """Rows whose extent overlaps a query box, pruned by tile range when given.
-
-    The tile range must be widened by the caller if row extents leave their tile."""
-    pruned = df if tiles is None else in_tile_range(df, tiles)
-    return pruned.where(boxes_overlap(columns, box))
+    """Rows whose extent overlaps a query box.
+
+    With the table of origins, each site's own tile range prunes first; the range is
+    widened by `margin_m`, the most that a row's extent leaves its tile (a cell)."""
+    near = df
+    if origins is not None:
+        near = _in_site_tiles(df, box, origins, tile_size_m, margin_m, scope)
+    return near.where(boxes_overlap(columns, box))

@@ -270,7 +270,12 @@ SELECT siteId, ingestRunId, count(*) AS points, CAST(sum(intensity) AS BIGINT) A
 FROM points GROUP BY siteId, ingestRunId"""
 
 OVERLAP = "{0}maxX >= 1010 AND {0}minX <= 1035 AND {0}maxY >= 2010 AND {0}minY <= 2040"
-CELL_OVERLAP = "cellMaxX >= 1010 AND cellMinX <= 1035 AND cellMaxY >= 2010 AND cellMinY <= 2040"
+CELL_OVERLAP = "cellMaxX >= {0} AND cellMinX <= {2} AND cellMaxY >= {1} AND cellMinY <= {3}"
+CELL_BOXES = {
+    "bbox_cells": (1010, 2010, 1035, 2040),
+    "bbox_cells_one_tile": (1004.5, 2004.5, 1007, 2008),
+    "bbox_cells_border": (1025.1, 2010, 1025.3, 2014),
+}
 
 FOLD = f"""
 SELECT jobId, min(siteId) AS siteId,
@@ -702,11 +707,14 @@ def texts() -> dict[str, str]:
             + OVERLAP.format(""),
             "summary",
         ),
-        "bbox_cells": chain(
-            "SELECT siteId, ingestRunId, surfaceType, tileX, tileY, cellX, cellY, z FROM coarse WHERE "
-            + CELL_OVERLAP,
-            "coarse",
-        ),
+        **{
+            name: chain(
+                "SELECT siteId, ingestRunId, surfaceType, tileX, tileY, cellX, cellY, z FROM coarse WHERE "
+                + CELL_OVERLAP.format(*box),
+                "coarse",
+            )
+            for name, box in CELL_BOXES.items()
+        },
         "keyed_upsert": f"""
             SELECT coalesce(a.siteId, b.siteId) AS siteId,
               CASE WHEN b.siteId IS NOT NULL AND (a.siteId IS NULL OR a.expiresAt < '2001-06-01')

@@ -785,19 +785,43 @@ def tile_range(spark, sf):
     return serving.in_tile_range(base, serving.tile_range(BOX, (1000.0, 2000.0), 25.0))
 
 
+def boxed(spark, sf, rows, box, extent=("minX", "minY", "maxX", "maxY")):
+    """A box query on a written, clustered table with the origins of its runs."""
+    path = scratch_path(spark, "boxed")
+    tables.rewrite_clustered(rows, path, SITE_RUN)
+    corners = store(tiling.origins(points(spark, sf), SITE_RUN), "origins").df
+    table = tables.read_table(spark, path, rows.schema)
+    return serving.in_box(table, box, extent, corners, 25.0, COARSE.cell_size_m, SITE_RUN)
+
+
+# Boxes inside one tile and across the border of two, in world coordinates.
+ONE_TILE_BOX = (1004.5, 2004.5, 1007.0, 2008.0)
+BORDER_BOX = (1025.1, 2010.0, 1025.3, 2014.0)
+CELL_EXTENT = ("cellMinX", "cellMinY", "cellMaxX", "cellMaxY")
+CELL_RESULT = (*SITE_RUN, "surfaceType", "tileX", "tileY", "cellX", "cellY", "z")
+
+
 @query("bbox_patches")
 def bbox_patches(spark, sf):
     summary = class_surface.tile_surface_summary(coarse_cells(spark, sf), COARSE)
-    hits = serving.in_box(summary, BOX, tiles=serving.tile_range(BOX, (1000.0, 2000.0), 25.0))
+    hits = boxed(spark, sf, summary, BOX)
     return hits.select("surfaceId", "surfaceType", "tileX", "tileY", "minX", "minY", "maxX", "maxY")
 
 
 @query("bbox_cells")
 def bbox_cells(spark, sf):
-    extent = ("cellMinX", "cellMinY", "cellMaxX", "cellMaxY")
-    return serving.in_box(coarse_cells(spark, sf), BOX, extent).select(
-        *SITE_RUN, "surfaceType", "tileX", "tileY", "cellX", "cellY", "z"
-    )
+    return boxed(spark, sf, coarse_cells(spark, sf), BOX, CELL_EXTENT).select(*CELL_RESULT)
+
+
+@query("bbox_cells_one_tile")
+def bbox_cells_one_tile(spark, sf):
+    found = boxed(spark, sf, coarse_cells(spark, sf), ONE_TILE_BOX, CELL_EXTENT)
+    return found.select(*CELL_RESULT)
+
+
+@query("bbox_cells_border")
+def bbox_cells_border(spark, sf):
+    return boxed(spark, sf, coarse_cells(spark, sf), BORDER_BOX, CELL_EXTENT).select(*CELL_RESULT)
 
 
 # ---- keyed merges -----------------------------------------------------------

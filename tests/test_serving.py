@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from laserfold.plans import serving
 
@@ -81,8 +82,19 @@ def test_tile_range_and_box(spark):
         [(0, 0, 0.0, 0.0, 10.0, 10.0), (1, 1, 25.0, 25.0, 50.0, 50.0), (2, 0, 50.0, 0.0, 75.0, 25.0)],
         "tileX int, tileY int, minX double, minY double, maxX double, maxY double",
     )
-    hits = serving.in_box(boxes, (10.0, 10.0, 30.0, 30.0), tiles=serving.tile_range((10.0, 10.0, 30.0, 30.0), (0.0, 0.0), 25.0))
+    sites = boxes.withColumn("siteId", F.lit("s"))
+    corners = spark.createDataFrame([("s", 0.0, 0.0)], "siteId string, originX double, originY double")
+    hits = serving.in_box(sites, (10.0, 10.0, 30.0, 30.0), origins=corners)
     assert sorted(r["tileX"] for r in hits.collect()) == [0, 1]
+    # An extent that leaves its tile is found with the margin.
+    over = spark.createDataFrame(
+        [("s", 1, 0, 49.4, 0.0, 50.4, 1.0), ("t", 1, 0, 49.4, 0.0, 50.4, 1.0)],
+        "siteId string, tileX int, tileY int, minX double, minY double, maxX double, maxY double",
+    )
+    box = (50.1, 0.0, 50.3, 1.0)
+    found = serving.in_box(over, box, origins=corners, margin_m=1.0).collect()
+    assert [r["siteId"] for r in found] == ["s"]
+    assert serving.in_box(over, box).count() == 2
 
 
 def test_range_filter_reaches_the_scan(spark, tmp_path):

@@ -55,7 +55,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, placed in sequences."""
-    return packing.pack(docs, tokens.default_path()).drop("ids")
+    return packing.pack(docs, tokens.default_path(), with_ids=False)
 
 
 STAGES: list[tuple[str, Stage]] = [

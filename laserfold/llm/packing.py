@@ -41,10 +41,10 @@ WINDOW = 8 * SEQUENCE
 # Credits are counted in this fraction of a token.
 UNIT = 4096
 
-ENCODED = "part int, queue string, doc_id bigint, n_tokens bigint, ids binary"
+ENCODED = "part int, queue string, doc_id bigint, first bigint, n_tokens bigint, ids binary"
 PIECES = (
     "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, "
-    "offset bigint, source string, ids binary"
+    "offset bigint, source string, ids_crc32 bigint"
 )
 
 
@@ -133,6 +133,12 @@ def sequences(total: int, length: int) -> tuple[np.ndarray, int]:
     return np.array(starts, np.int64), tail
 
 
+def stored_type(path: str, end_id: int) -> str:
+    """Two bytes an id where the vocabulary allows it, else four."""
+    most = max(tokens.encoder(path).tokenizer.get_vocab_size() - 1, end_id)
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
 def encode(docs: DataFrame, path: str, end_id: int, queue: str, text: str) -> DataFrame:
     """Documents in queue order with their ids, written once."""
     rows = docs.select(
@@ -141,21 +147,31 @@ def encode(docs: DataFrame, path: str, end_id: int, queue: str, text: str) -> Da
         text_of(docs, text).alias("text"),
     )
 
+    stored = stored_type(path, end_id)
+    width, ending = np.dtype(stored).itemsize, np.uint32(end_id)
+
     def run(batches: Batches) -> Batches:
         make = tokens.encoder(path)
-        ending = np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
+        before: dict[str | None, int] = {}  # tokens of a queue earlier in this partition
         for batch in slices(batches):
-            ids = [make.ids(t) + ending for t in batch.column("text").to_pylist()]
+            found = (np.frombuffer(make.ids(t), "<u4") for t in batch.column("text").to_pylist())
+            ids = [np.append(x, ending).astype(stored).tobytes() for x in found]
+            counts = [len(x) // width for x in ids]
+            firsts = []
+            for name, n in zip(batch.column("queue").to_pylist(), counts, strict=True):
+                firsts.append(before.get(name, 0))
+                before[name] = firsts[-1] + n
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([part] * len(ids), pa.int32()),
                     batch.column("queue"),
                     batch.column("doc_id"),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array(firsts, pa.int64()),
+                    pa.array(counts, pa.int64()),
                     pa.array(ids, pa.binary()),
                 ],
-                names=["part", "queue", "doc_id", "n_tokens", "ids"],
+                names=["part", "queue", "doc_id", "first", "n_tokens", "ids"],
             )
 
     ordered = rows.repartitionByRange("queue", "doc_id").sortWithinPartitions(
@@ -174,8 +190,9 @@ def pack(
     weights: Mapping[str, float] | None = None,
     queue: str = "source",
     text: str = "text",
+    with_ids: bool = True,
 ) -> DataFrame:
-    """Pieces of documents with their ids and their place in a sequence."""
+    """Pieces of documents: their place in a sequence, checksum and (with_ids) their ids."""
     if length & (length - 1):
         raise ValueError("the sequence length must be a power of two")
     encoded = encode(docs, path, end_id, queue, text)
@@ -195,20 +212,25 @@ def pack(
         (bases, {q: names.index(n) for q, n in nulls.items()}, phases, tail_starts, tail)
     )
 
+    schema, stored = PIECES + ", ids binary" * with_ids, stored_type(path, end_id)
+
     def run(batches: Batches) -> Batches:
         bases, order, phases, tail_starts, tail = plan.value
-        served: dict[tuple, int] = {}
         for batch in slices(batches, "ids"):
             queues, parts = batch.column("queue").to_pylist(), batch.column("part").to_pylist()
-            counts = batch.column("n_tokens").to_numpy()
+            counts, firsts = (batch.column(c).to_numpy() for c in ("n_tokens", "first"))
             first = 0
             for i in range(1, batch.num_rows + 1):
-                if i < batch.num_rows and (queues[i], parts[i]) == (queues[first], parts[first]):
+                # Rows that follow each other in their queue are placed at once.
+                if (
+                    i < batch.num_rows
+                    and (queues[i], parts[i]) == (queues[first], parts[first])
+                    and firsts[i] == firsts[i - 1] + counts[i - 1]
+                ):
                     continue
                 key = (queues[first], parts[first])
-                begin = served.get(key, bases[key])
+                begin = bases[key] + int(firsts[first])
                 ends = begin + np.cumsum(counts[first:i])
-                served[key] = int(ends[-1])
                 rows = batch.slice(first, i - first)
                 yield cut(rows, begin, ends, *place(phases, order[key[0]], begin, int(ends[-1])))
                 first = i
@@ -235,11 +257,11 @@ def pack(
         doc = np.searchsorted(starts, marks, "right")[which] - 1
         begin_in_doc = marks[which] + start - stream[which] - starts[doc]
         n = stop - start
-        buffers = rows.column("ids").to_pylist()
-        ids = [
-            buffers[d][4 * b : 4 * (b + k)]
-            for d, b, k in zip(doc.tolist(), begin_in_doc.tolist(), n.tolist(), strict=True)
-        ]
+        joined = b"".join(rows.column("ids").to_pylist())
+        view = memoryview(np.frombuffer(joined, stored).astype("<u4").tobytes())
+        first = marks[which] + start - stream[which] - begin
+        ids = [view[4 * a : 4 * (a + k)] for a, k in zip(first.tolist(), n.tolist(), strict=True)]
+        more = [pa.array(list(map(bytes, ids)), pa.binary())] if with_ids else []
         take = pa.array(doc, pa.int64())
         return pa.RecordBatch.from_arrays(
             [
@@ -250,9 +272,10 @@ def pack(
                 pa.array(number, pa.int64()),
                 pa.array(start - origin_of(number), pa.int64()),
                 rows.column("queue").take(take),
-                pa.array(ids, pa.binary()),
+                pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                *more,
             ],
-            names=[f.split()[0] for f in PIECES.split(", ")],
+            names=[f.split()[0] for f in schema.split(", ")],
         )
 
     def sequence_of(stream):
@@ -270,20 +293,4 @@ def pack(
             origin = np.where(number >= tail // length, tail_starts[nth], origin)
         return origin
 
-    return encoded.mapInArrow(run, PIECES)
-
-
-def digests(pieces: DataFrame) -> DataFrame:
-    """`pieces` with the checksum of their ids in place of the ids."""
-    kept = [n for n in pieces.columns if n != "ids"]
-    schema = ", ".join(f"{n} {pieces.schema[n].dataType.simpleString()}" for n in kept)
-
-    def run(batches: Batches) -> Batches:
-        for batch in batches:
-            sums = [zlib.crc32(x) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in kept), pa.array(sums, pa.int64())],
-                names=[*kept, "ids_crc32"],
-            )
-
-    return pieces.select(*kept, "ids").mapInArrow(run, f"{schema}, ids_crc32 bigint")
+    return encoded.mapInArrow(run, schema)

@@ -52,8 +52,8 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), tokens.default_path())
-    return packing.digests(pieces)
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, tokens.default_path(), with_ids=False)
 
 
 @query

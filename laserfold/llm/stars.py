@@ -15,6 +15,7 @@ from laserfold import runtime
 from laserfold.runtime import Stored, salted_join, store
 
 MAX_ROUNDS = 100
+FEW_FILES = 4
 
 
 def _star(edges: DataFrame, large: bool, few: bool) -> DataFrame:
@@ -35,7 +36,9 @@ def _star(edges: DataFrame, large: bool, few: bool) -> DataFrame:
     return moved.where(F.col("hi") != F.col("lo")).distinct()
 
 
-def _round(edges: DataFrame) -> Stored:
+def _round(edges: DataFrame, few: bool = False) -> Stored:
+    # Counted small rounds are written as few files.
+    edges = edges.coalesce(FEW_FILES) if few else edges
     return store(
         edges, "stars", mark=F.coalesce(F.bit_xor(F.xxhash64("hi", "lo")), F.lit(0))
     )
@@ -52,7 +55,7 @@ def stars(edges: DataFrame) -> Stored:
             return current
         # A step gives at most as many edges as it gets, and two nodes per edge.
         few = 2 * current.rows <= runtime.BROADCAST_ROWS
-        following = _round(_star(_star(current.df, True, few), False, few))
+        following = _round(_star(_star(current.df, True, few), False, few), few)
         if (following.rows, following.metrics) == (current.rows, current.metrics):
             return following
         current = following

@@ -45,6 +45,46 @@ def assign_tiles(
     )
 
 
+def assign_resolved_tiles(
+    points: DataFrame, resolved: DataFrame, scope: Sequence[str] = SITE
+) -> DataFrame:
+    """Tiles by each scope's own parameters (`tuning.resolve_params`).
+
+    Origins and parameters are one stored row per scope, looked up together; the
+    parameters stay on the points for `salt_resolved_tiles`."""
+    settings = resolved.select(
+        *scope, "tileSizeM", "hotTileThreshold", "saltBuckets", "enableSalt"
+    )
+    corners = store(origins(points, scope).join(settings, list(scope)), "origins-resolved")
+    located = lookup_join(points, corners, list(scope), "inner", spread=("x", "y"))
+    size = F.col("tileSizeM")
+    return located.withColumns(
+        {
+            "tileX": bin_index(F.col("x") - F.col("originX"), size),
+            "tileY": bin_index(F.col("y") - F.col("originY"), size),
+        }
+    ).withColumn("tileId", pair_id("tileX", "tileY"))
+
+
+def salt_resolved_tiles(tiled: DataFrame, scope: Sequence[str] = SITE) -> DataFrame:
+    """Like `salt_hot_tiles`, with the threshold and buckets that came with the points."""
+    keys = [*scope, *TILE]
+    counted = tiled.where("enableSalt").groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("pointCount"), F.first("hotTileThreshold").alias("limit")
+    )
+    hot = store(
+        counted.where("pointCount >= limit").select(*keys, F.lit(1).alias("_hot")), "hot-tiles"
+    )
+    flagged = lookup_join(tiled, hot, keys, "left", spread=("x", "y", "z"))
+    bucket = F.pmod(F.hash("x", "y", "z"), F.col("saltBuckets")).cast("int")
+    return flagged.withColumns(
+        {
+            "tileSalt": F.when(F.col("_hot") == 1, bucket).otherwise(F.lit(0)),
+            "isHotTile": F.coalesce("_hot", F.lit(0)),
+        }
+    ).drop("_hot")
+
+
 def tile_counts(tiled: DataFrame, scope: Sequence[str] = SITE) -> DataFrame:
     return tiled.groupBy(*scope, *TILE).agg(F.count(F.lit(1)).alias("pointCount"))
 

@@ -15,9 +15,15 @@ from laserfold.sources.tables import cluster, read_table, replace_snapshot
 
 
 def tiled_points(
-    points: DataFrame, params: GridParams = GridParams(), scope: Sequence[str] = SITE
+    points: DataFrame,
+    params: GridParams = GridParams(),
+    scope: Sequence[str] = SITE,
+    resolved: DataFrame | None = None,
 ) -> DataFrame:
-    """Clean points with tile and salt columns."""
+    """Clean points with tile and salt columns, by one set of parameters or each scope's own."""
+    if resolved is not None:
+        own = tiling.assign_resolved_tiles(clean_points(points), resolved, scope)
+        return tiling.salt_resolved_tiles(own, scope)
     tiled = tiling.assign_tiles(clean_points(points), params, scope)
     return tiling.salt_hot_tiles(tiled, params, scope)
 

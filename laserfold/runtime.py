@@ -24,12 +24,14 @@ _local_root: str | None = None
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder for scratch tables: `spark.checkpoint.dir` of the session.
+    """Folder for scratch tables: `spark.checkpoint.dir`, or the context's checkpoint folder.
 
     Only a local master may go without the setting; there one temporary folder
     per process is used."""
     global _local_root
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:  # a folder that was set on the context serves as well
+        configured = getattr(spark.sparkContext, "getCheckpointDir", lambda: None)()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

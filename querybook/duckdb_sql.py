@@ -571,6 +571,25 @@ def texts() -> dict[str, str]:
             "ORDER BY areaM2 DESC, siteId, ingestRunId, waterBodyId LIMIT 10",
             "bodies",
         ),
+        "tiles_by_params": chain(
+            """
+            , own AS (
+              SELECT a.*, CASE WHEN ingestRunId <> 'run_1' THEN 25e0 WHEN siteId = 'site_b' THEN 10e0
+                  ELSE 20e0 END AS tileSizeM,
+                CASE WHEN siteId = 'site_b' THEN 100 ELSE 2000 END AS most
+              FROM points a),
+            placed AS (
+              SELECT a.siteId, a.ingestRunId, a.tileSizeM, a.most,
+                CAST(floor((a.x - b.originX) / a.tileSizeM) AS INT) AS tileX,
+                CAST(floor((a.y - b.originY) / a.tileSizeM) AS INT) AS tileY
+              FROM own a JOIN origin b ON a.siteId = b.siteId AND a.ingestRunId = b.ingestRunId)
+            SELECT siteId, ingestRunId, tileSizeM, tileX, tileY,
+              CAST(CASE WHEN ingestRunId = 'run_1' AND count(*) >= any_value(most) THEN 1 ELSE 0 END AS INT)
+                AS isHotTile,
+              count(*) AS points, count(*) AS saltInRange
+            FROM placed GROUP BY siteId, ingestRunId, tileSizeM, tileX, tileY""",
+            "origin",
+        ),
         "published_tables": chain(
             " UNION ALL ".join(
                 f"SELECT siteId, ingestRunId, '{name}' AS tableName, count(*) AS rows, "

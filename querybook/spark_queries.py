@@ -357,6 +357,29 @@ def resolve_params(spark, sf):
     return tuning.resolve_params(scopes, first.unionByName(second))
 
 
+@query("tiles_by_params")
+def tiles_by_params(spark, sf):
+    """Every run tiled and salted by its own row of the control table."""
+    base = points(spark, sf)
+    scopes = store(base.select(*SITE_RUN).distinct(), "scopes").df
+    small = F.col("siteId") == "site_b"
+    control_table = scopes.where("ingestRunId = 'run_1'").select(
+        *SITE_RUN,
+        F.when(small, 10.0).otherwise(20.0).alias("tileSizeM"),
+        F.when(small, 100).otherwise(2_000).cast("long").alias("hotTileThreshold"),
+        F.lit(5).cast("long").alias("targetPointsPerBucket"),
+        F.when(small, 3).otherwise(8).cast("long").alias("saltBuckets"),
+        F.lit(10).cast("long").alias("maxTilePoints"),
+        F.lit("2024-01-01").cast("timestamp").alias("computedAt"),
+    )
+    resolved = tuning.resolve_params(scopes, control_table, GRID)
+    salted = products.tiled_points(base, GRID, SITE_RUN, resolved)
+    return salted.groupBy(*SITE_RUN, "tileSizeM", "tileX", "tileY", "isHotTile").agg(
+        F.count(F.lit(1)).alias("points"),
+        F.count_if(F.col("tileSalt").between(0, F.col("saltBuckets") - 1)).alias("saltInRange"),
+    )
+
+
 @query("discover_run")
 def discover_run(spark, sf):
     return ingest.runs_per_site(points(spark, sf))

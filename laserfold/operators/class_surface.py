@@ -15,7 +15,6 @@ from laserfold.operators.tiling import TILE
 from laserfold.params import GRID_ALGORITHM, GROUND_CLASSES, SITE_RUN, GridParams
 from laserfold.runtime import Stored, lookup_join
 
-BOX = ("minX", "minY", "maxX", "maxY")
 
 
 def candidate_tiles(boxes: DataFrame, max_tiles: int | None = None) -> DataFrame:
@@ -77,16 +76,16 @@ def tile_surface_summary(
     """One row per tile and surface type with extent, mean height and coverage."""
     keys = [*scope, "surfaceType", *TILE]
     capacity = (params.tile_size_m / params.cell_size_m) ** 2
-    extent = {
-        name: fn(f"cell{name[0].upper()}{name[1:]}")
-        for name, fn in zip(BOX, (F.min, F.min, F.max, F.max))
-    }
     return (
         cells.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("cellCount"),
             F.sum("pointCountCell").alias("pointCountUsed"),
-            *(value.alias(name) for name, value in extent.items()),
+            # Names of the extent columns.
+            F.min("cellMinX").alias("minX"),
+            F.min("cellMinY").alias("minY"),
+            F.max("cellMaxX").alias("maxX"),
+            F.max("cellMaxY").alias("maxY"),
             F.avg("z").alias("avgZ"),
         )
         .withColumns(

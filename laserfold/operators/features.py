@@ -94,18 +94,17 @@ def label_water(
 def water_bodies(labelled: DataFrame, scope: Sequence[str] = SITE) -> DataFrame:
     """Size, height range and cell extent of every component."""
     size = F.max("cellSizeM")
-    extent = [
-        fn(f"globalCell{axis}").alias(f"bbox{side}Cell{axis}")
-        for side, fn in (("Min", F.min), ("Max", F.max))
-        for axis in "XY"
-    ]
     return labelled.groupBy(*scope, "waterBodyId").agg(
         F.count(F.lit(1)).alias("cellCount"),
         (F.count(F.lit(1)) * size * size).alias("areaM2"),
         F.min("minZ").alias("minZ"),
         F.max("maxZ").alias("maxZ"),
         F.avg("meanZ").alias("meanZ"),
-        *extent,
+        # Names of the extent columns.
+        F.min("globalCellX").alias("bboxMinCellX"),
+        F.min("globalCellY").alias("bboxMinCellY"),
+        F.max("globalCellX").alias("bboxMaxCellX"),
+        F.max("globalCellY").alias("bboxMaxCellY"),
     )
 
 

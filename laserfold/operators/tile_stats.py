@@ -59,17 +59,18 @@ def tile_boxes(
     tiled: DataFrame, params: GridParams = GridParams(), scope: Sequence[str] = SITE
 ) -> DataFrame:
     """Tile statistics in the bounding-box form, with a merge-safe mean height."""
-    lows_highs = {
-        f"{name}{axis.upper()}": fn(axis)
-        for axis in ("x", "y", "z")
-        for name, fn in (("min", F.min), ("max", F.max))
-    }
     return (
         tiled.groupBy(*scope, *TILE)
         .agg(
             F.count(F.lit(1)).alias("pointCount"),
             class_count(params.water_class).alias("waterCount"),
-            *(value.alias(name) for name, value in lows_highs.items()),
+            # Names of the extent columns.
+            F.min("x").alias("minX"),
+            F.max("x").alias("maxX"),
+            F.min("y").alias("minY"),
+            F.max("y").alias("maxY"),
+            F.min("z").alias("minZ"),
+            F.max("z").alias("maxZ"),
             F.sum("z").alias("_z"),
         )
         .withColumns(

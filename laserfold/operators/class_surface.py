@@ -16,7 +16,6 @@ from laserfold.params import GRID_ALGORITHM, GROUND_CLASSES, SITE_RUN, GridParam
 from laserfold.runtime import Stored, lookup_join
 
 
-
 def candidate_tiles(boxes: DataFrame, max_tiles: int | None = None) -> DataFrame:
     """All tiles, or the `max_tiles` with most points when a cap is asked for."""
     if max_tiles is None:

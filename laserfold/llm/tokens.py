@@ -35,9 +35,11 @@ def _latin(kind: str) -> str:
 
 
 # The pre-tokens of the word-end file: contractions, letters, single digits, other marks.
+# Letters are tried first, as most pre-tokens are words; only an apostrophe can start two
+# kinds, and there contractions come before marks.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"  # fixed values of the file
 LATIN_WORDS = re.compile(
-    f"{CONTRACTIONS}|[{_latin('L')}]+|[{_latin('N')}]|[^{SPACES}{_latin('L')}{_latin('N')}]+"
+    f"[{_latin('L')}]+|{CONTRACTIONS}|[{_latin('N')}]|[^{SPACES}{_latin('L')}{_latin('N')}]+"
 )
 
 
@@ -87,13 +89,14 @@ class Encoder:
             described = json.load(file)
         self.by_word = (described.get("model") or {}).get("end_of_word_suffix") == "</w>"
         self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
+        self._tokenize = self.tokenizer.model.tokenize
         self.word_ids = _Kept(lambda word: array("I", self._merge(word)).tobytes())
         self.word_counts = _Kept(lambda word: 1 if word in whole else len(self._merge(word)))
 
     def _merge(self, word: str) -> list[int]:
         if not word.isascii() or not word.isprintable():
             word = word.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.tokenizer.model.tokenize(word)]
+        return [t.id for t in self._tokenize(word)]
 
     def _library(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids

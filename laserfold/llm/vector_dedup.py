@@ -2,21 +2,20 @@
 
 1. Vectors equal in every component become one class, so copies are never compared.
 2. Spherical k-means is fitted to a bounded sample (`sample`) and gives every vector its
-   nearest centre as home cell. A vector also visits each cell whose border it is close
-   to: of two vectors within the threshold's angle, at least one lies within half that
-   angle of the plane between their homes, so with `spread=None` one visits the other's
-   home and nothing is missed (`reach`). The difference of two vectors seldom points at
-   a plane: in d dimensions its share in one direction is about 1/sqrt(d). The default
-   visits where `spread` such shares reach, which leaves out less than 1 pair in 300 of
-   those at the threshold (at spread 3) for a fraction of the work; with d up to
-   spread² both are the same. Recall against brute force on the given tables is 1.
-3. Cells are split into blocks of bounded size. A task takes one block of homes and one
-   block of homes or visitors, multiplies them in double precision and hands on link
-   counts and a local spanning star: linear output, no pairs.
+   nearest centre as home cell. A vector also visits each lower-numbered cell that a
+   vector within the threshold of it can be at home in: if u is at home in i and v in j,
+   v's products with both centres differ by at most |u - v| |c_i - c_j| (`reach`). So
+   every pair within the threshold meets in the lower of the two homes, and only there:
+   the search is exact for any vectors. Vectors that point evenly in all directions of
+   many dimensions reach most cells; then the work grows with the square of the rows.
+   A `spread` shrinks the border to where that many shares of 1/sqrt(d) of the distance
+   reach, which loses pairs; no query sets it.
+3. Homes and visitors of a cell are split into blocks of bounded size. A task takes one
+   block of homes and one block of homes or visitors, multiplies them in single precision
+   piece by piece, checks what comes near the threshold in double precision, and hands on
+   link counts and a local spanning star: linear output, no pairs.
 4. The stars are contracted to components.
 
-A pair that meets in both homes is counted in the smaller cell only.
-
 Results: one row per row of `vectors`. Vectors that are null, empty, zero, or hold a null
 or non-finite component, and those whose dimension is not the most common one, link with
 nothing: no links, their own vec_id as component, kept. Equal vectors link with each
@@ -27,6 +26,7 @@ copies. Other columns (labels too) are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,11 @@ SAMPLE = 20_000
 CELL_ROWS = 2_000
 MAX_CELLS = 1_024
 BLOCK = 2_048
-SPREAD = 3.0
+# A block of visitors has at most so many components (and at least BLOCK vectors).
+GUEST_VALUES = 1 << 20
+# Rows and columns of one product, and how many links are held before they become a star.
+PIECE = 512, 4_096
+HELD_LINKS = 1 << 20
 ROUNDS = 12
 SEED = 7
 
@@ -65,17 +69,16 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = SE
 def reach(
     x: np.ndarray, centres: np.ndarray, threshold: float, spread: float | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Home cell of unit vectors, and which cells each visits (a boolean matrix)."""
+    """Home cell of unit vectors, and which lower cells each visits (a boolean matrix)."""
     products = x @ centres.T
     home = products.argmax(1)
     apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))[home]
     ahead = products[np.arange(len(x)), home][:, None] - products
-    # Sine of the angle to the plane between the cells, against that of half the angle.
-    bound = math.sin(math.acos(threshold) / 2) + 1e-9
+    # Greatest distance of two vectors within the threshold.
+    bound = math.sqrt(2 - 2 * threshold) + 1e-9
     if spread is not None:
         bound *= min(1.0, spread / math.sqrt(centres.shape[1]))
-    visits = ahead <= bound * apart
-    visits[np.arange(len(x)), home] = False
+    visits = (ahead <= bound * apart) & (np.arange(len(centres)) < home[:, None])
     return home, visits
 
 
@@ -88,40 +91,63 @@ def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _compare(centres: np.ndarray, threshold: float, spread: float | None):
+def near_pairs(x: np.ndarray, y: np.ndarray, threshold: float) -> Iterator[np.ndarray]:
+    """Pairs of rows of x and y whose product reaches the threshold, as arrays (i, j)."""
+    # The rounding of single precision, of the components and of their sum.
+    slack = (x.shape[1] + 8) * 2.0**-23
+    single = x.astype(np.float32), y.astype(np.float32)
+    tall, wide = PIECE
+    for top in range(0, len(x), tall):
+        for left in range(0, len(y), wide):
+            rough = single[0][top : top + tall] @ single[1][left : left + wide].T
+            at = np.flatnonzero(rough >= np.float32(threshold - slack))
+            if not len(at):
+                continue
+            i, j = np.divmod(at, rough.shape[1])
+            if len(at) > rough.size // 16:
+                exact = (x[top : top + tall] @ y[left : left + wide].T)[i, j]
+            else:
+                exact = np.einsum("nd,nd->n", x[top + i], y[left + j])
+            good = exact >= threshold
+            if good.any():
+                yield np.stack([top + i[good], left + j[good]], 1)
+
+
+def _compare(width: int, threshold: float):
     """Task for two blocks of a cell."""
-    width = centres.shape[1]
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("key")
-        keys = table.column("key").to_pylist()
+        keys = table.column("key")
         docs = table.column("n_docs").to_numpy()
         side = table.column("side").to_numpy()
-        home = table.column("home").to_numpy()
-        cell = table.column("cell")[0].as_py()
         x = _matrix(table.column("vector"), width)
         same = table.column("right")[0].as_py() == table.column("left")[0].as_py()
         a = np.flatnonzero(side == 0)
         b = a if same else np.flatnonzero(side == 1)
-        linked = x[a] @ x[b].T >= threshold
-        if same:
-            np.fill_diagonal(linked, False)
-        elif len(b) and (home[b] != cell).any():
-            # Visitors from a smaller cell: if the other visits there, it counts there.
-            _, visits = reach(x[a], centres, threshold, spread)
-            linked &= ~(visits[:, home[b]] & (home[b] < cell)[None, :])
-        i, j = np.nonzero(linked)
-        links = np.stack([a[i], b[j]], 1)
         found = np.zeros(len(keys), np.int64)
-        np.add.at(found, links[:, 0], docs[links[:, 1]])
-        if not same:
-            np.add.at(found, links[:, 1], docs[links[:, 0]])
-        root = local_stars(links, len(keys))
+        root = np.arange(len(keys))
+        held, n = [], 0
+
+        def star() -> np.ndarray:
+            return local_stars(np.concatenate([*held, np.stack([np.arange(len(root)), root], 1)]), len(root))
+
+        for pairs in near_pairs(x[a], x[b], threshold):
+            links = np.stack([a[pairs[:, 0]], b[pairs[:, 1]]], 1)
+            links = links[links[:, 0] != links[:, 1]]
+            np.add.at(found, links[:, 0], docs[links[:, 1]])
+            if not same:
+                np.add.at(found, links[:, 1], docs[links[:, 0]])
+            held.append(links)
+            n += len(links)
+            if n > HELD_LINKS:
+                root, held, n = star(), [], 0
+        root = star() if n else root
         some = np.flatnonzero(found)
         return pa.table(
             {
-                "key": pa.array([keys[s] for s in some], pa.string()),
-                "near": pa.array([keys[root[s]] for s in some], pa.string()),
+                "key": keys.take(pa.array(some)),
+                "near": keys.take(pa.array(root[some])),
                 "documents": pa.array(found[some], pa.int64()),
             }
         )
@@ -163,7 +189,7 @@ def link(
     cell_rows: int = CELL_ROWS,
     max_cells: int = MAX_CELLS,
     block: int = BLOCK,
-    spread: float | None = SPREAD,
+    spread: float | None = None,
     vec: str = "embedding",
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of `vectors`."""
@@ -185,30 +211,32 @@ def link(
             home, visits = reach(
                 _matrix(batch.column("vector"), width), shared.value, threshold, spread
             )
-            visits[np.arange(len(home)), home] = True
             row, cell = np.nonzero(visits)
-            take = pa.array(row)
+            ends = np.searchsorted(row, np.arange(len(home) + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(c).take(take) for c in ("key", "n_docs", "vector")),
-                    pa.array(home[row], pa.int32()),
-                    pa.array(cell, pa.int32()),
+                    *(batch.column(c) for c in ("key", "n_docs", "vector")),
+                    pa.array(home, pa.int32()),
+                    pa.ListArray.from_arrays(ends, pa.array(cell, pa.int32())),
                 ],
-                names=["key", "n_docs", "vector", "home", "cell"],
+                names=["key", "n_docs", "vector", "home", "visits"],
             )
 
-    in_cells = read_back(
+    homes = read_back(
         distinct.select("key", "n_docs", "vector").mapInArrow(
-            assign, "key string, n_docs bigint, vector array<float>, home int, cell int"
+            assign, "key string, n_docs bigint, vector array<float>, home int, visits array<int>"
         ),
         "cells",
     )
+    cells = F.explode(F.concat(F.array("home"), "visits")).alias("cell")
     at_home = F.col("home") == F.col("cell")
+    guests = max(block, GUEST_VALUES // width)
     # At most `max_cells` rows.
-    sizes = in_cells.groupBy("cell").agg(
+    sizes = homes.select("home", cells).groupBy("cell").agg(
         F.ceil(F.count(F.when(at_home, 1)) / block).cast("int").alias("homes"),
-        F.ceil(F.count(F.when(~at_home, 1)) / block).cast("int").alias("guests"),
+        F.ceil(F.count(F.when(~at_home, 1)) / guests).cast("int").alias("guests"),
     )
+    in_cells = homes.select("key", "n_docs", "vector", "home", cells)
     placed = in_cells.join(F.broadcast(sizes), "cell").where("homes > 0")
     own = F.pmod(F.xxhash64("key"), F.when(at_home, F.col("homes")).otherwise(F.col("guests"))).cast("int")
     placed = placed.withColumn("own", own)
@@ -225,10 +253,10 @@ def link(
         F.coalesce(as_right, F.array().cast("array<int>")),
         lambda s: F.struct(s.alias("left"), place.alias("right"), F.lit(1).alias("side")),
     )
-    tasks = placed.select("cell", "key", "n_docs", "vector", "home", F.inline(F.concat(lefts, rights)))
+    tasks = placed.select("cell", "key", "n_docs", "vector", F.inline(F.concat(lefts, rights)))
     links = read_back(
         tasks.groupBy("cell", "left", "right").applyInArrow(
-            lambda table: _compare(shared.value, threshold, spread)(table),
+            _compare(width, threshold),
             "key string, near string, documents bigint",
         ),
         "vector-links",

@@ -151,6 +151,24 @@ def test_vectors_equal_brute_force(spark, cell_rows, block, spread):
     assert len({str(r) for r in got if r.vec_id == 8 and r.n_links == 2 and r.kept}) == 1
 
 
+def test_default_search_over_many_cells_is_exact(spark):
+    # Variance that decays over the dimensions: differences point along the main axes.
+    draw = np.random.default_rng(11)
+    scale = np.arange(1, 33) ** -1.0
+    x = (draw.normal(size=(600, 32)) * scale).astype(np.float32)
+    table = spark.createDataFrame(
+        [(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id bigint, embedding array<float>"
+    )
+    got = vector_dedup.link(table, cell_rows=30, block=16).collect()
+    x = x.astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    close = x @ x.T >= 0.9
+    np.fill_diagonal(close, False)
+    root = components(range(600), zip(*np.nonzero(close), strict=True))
+    assert {r.vec_id: r.n_links for r in got} == dict(enumerate(close.sum(1).tolist()))
+    assert {r.vec_id: r.component_id for r in got} == root
+
+
 def test_tables_without_usable_vectors(spark):
     table = spark.createDataFrame([(*r, "k", "y", "n") for r in odd_vectors()[:6]], DDL)
     assert all(r.kept and r.n_links == 0 for r in vector_dedup.link(table).collect())

@@ -4,14 +4,16 @@ Rules (host, path, allow or block) fit a host and its subdomains when the path s
 with theirs; the longest wins. Pages without a rule get their host's verdict:
 
 - Links of all pages give weighted host → host edges, aggregated before they travel.
-- Hosts most of whose pages are allowed by rule are trusted seeds, hosts most of whose
-  pages are blocked are distrusted seeds.
+- Every page allowed by rule makes its host a trusted seed, every page blocked by rule a
+  distrusted seed, with the share of such pages among the host's pages as weight.
 - Personalised PageRank carries trust along the edges from the trusted seeds, and
   distrust against the edges from the blocked seeds (who links to bad hosts is suspect).
   Each round is one join and one aggregation per score, written to the shared folder;
   rounds stop when the scores move by less than `tolerance` in sum.
 - A host is blocked when its distrust is above its trust and above `threshold` of an even
-  share (1 / hosts).
+  share (1 / hosts). A host's own seed counts in this comparison only if more than half
+  of its pages have that verdict (its ruled pages are decided by the rules); what reaches
+  it over links always counts.
 
 Results: a null url, or one without "://", has an empty host and path, fits no rule and
 is allowed. A null html has no links. Null page_ids and repeated rows are judged like
@@ -97,16 +99,7 @@ def seeds(judged: DataFrame) -> DataFrame:
     """(host, good, bad) with the seed weight of every host, each at most 1."""
     n = F.count(F.lit(1))
     allowed, blocked = (F.count(F.when(F.col("by_rule") == v, 1)) / n for v in ("allow", "block"))
-    return (
-        judged.where("host != ''")
-        .groupBy("host")
-        .agg(allowed.alias("a"), blocked.alias("b"))
-        .select(
-            "host",
-            F.when(F.col("a") > 0.5, F.col("a")).otherwise(0.0).alias("good"),
-            F.when(F.col("b") > 0.5, F.col("b")).otherwise(0.0).alias("bad"),
-        )
-    )
+    return judged.where("host != ''").groupBy("host").agg(allowed.alias("good"), blocked.alias("bad"))
 
 
 def propagate(
@@ -170,14 +163,23 @@ def host_verdicts(
         seed.select("host", F.col("bad").alias("weight")),
         **options,
     ).withColumnRenamed("score", "distrust")
+    sums = seed.agg(F.sum("good"), F.sum("bad")).first()
+
+    def counted(score: str, weight: str, total: float | None) -> Column:
+        """The score, without the host's own seed where that is not its main verdict."""
+        own = (1 - options.get("damping", DAMPING)) / (total or 1.0) * F.col(weight)
+        return F.col(score) - F.when(F.col(weight) > 0.5, 0.0).otherwise(own)
+
     both = (
-        seed.select("host")
-        .join(trust, "host", "left")
+        seed.join(trust, "host", "left")
         .join(distrust, "host", "left")
         .na.fill(0.0, ["trust", "distrust"])
     )
-    bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") > threshold / n)
-    return both.withColumn("host_verdict", F.when(bad, "block").otherwise("allow"))
+    against, towards = counted("distrust", "bad", sums[1]), counted("trust", "good", sums[0])
+    bad = (against > towards) & (against > threshold / n)
+    return both.select(
+        "host", "trust", "distrust", F.when(bad, "block").otherwise("allow").alias("host_verdict")
+    )
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], **options) -> DataFrame:

@@ -153,6 +153,15 @@ def test_scores_equal_plain_pagerank(spark):
     }
 
 
+def test_few_blocked_pages_seed_distrust(spark):
+    # One page of three is blocked; a page that only links there is blocked for it.
+    rows = [(i, f"http://mixed.net/{p}/", None) for i, p in enumerate(["es", "en", "de"])]
+    rows += [(3, "http://fan.org/", link("mixed.net")), (4, "http://calm.org/", None)]
+    got = {r.page_id: r for r in url_filter.judge(pages(spark, rows), URL_RULES).collect()}
+    assert got[1].distrust == pytest.approx(0.15) and got[3].distrust == pytest.approx(0.85 * 0.15)
+    assert [got[i].verdict for i in range(5)] == ["block", "allow", "allow", "block", "allow"]
+
+
 def test_awkward_pages(spark):
     got = url_filter.judge(pages(spark, ROWS), URL_RULES).collect()
     assert len(got) == len(ROWS) and {r.verdict for r in got} == {"allow"}

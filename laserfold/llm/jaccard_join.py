@@ -21,6 +21,9 @@ Results: one row per row of `docs`. `class_id` is the smallest doc_id of the gro
 empty texts, and texts without a word, link with nothing and are kept. Null doc_ids
 rank behind all others; a group of nothing but nulls has a null class_id and is kept.
 Rows that repeat a doc_id and its text count as copies. Other columns are ignored.
+`deduplicate` keeps one row of each group: a row of the class with the smallest doc_id
+(then the smallest key), so also one of a group of nulls, and one of rows that repeat a
+doc_id and text. Rows without a word and without a doc_id all stay.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from laserfold import runtime
 from laserfold.llm import stars
 from laserfold.llm.common import Batches, column, read_back, slices, text_of, texts
 
@@ -189,7 +193,7 @@ def _verify(similarity: float, words: int):
     return run
 
 
-def join(
+def _grouped(
     docs: DataFrame,
     *,
     similarity: float = SIMILARITY,
@@ -199,7 +203,7 @@ def join(
     block: int = BLOCK,
     text: str = "text",
 ) -> DataFrame:
-    """doc_id, class_id, n_links, kept, copy_id, key of every row of `docs`."""
+    """What `join` gives, and with it worded and first_key, the key of the group's first class."""
     bands = bands_for(similarity, recall, rows)
     signed = read_back(signatures(docs, bands, rows, words, text), "signatures")
     classes = read_back(
@@ -213,8 +217,11 @@ def join(
     links = _verified(docs, classes, _candidates(classes), similarity, words, block, text)
     roots = stars.labels(links.select(F.col("key").alias("hi"), F.col("near").alias("lo")))
     degree = links.groupBy("key").agg(F.sum("documents").alias("documents"))
-    grouped = classes.join(roots, "key").select("root", "copy_id")
-    firsts = grouped.groupBy("root").agg(F.min("copy_id").alias("class_id"))
+    grouped = classes.join(roots, "key").select("root", "copy_id", "key")
+    rank = F.struct(F.col("copy_id").isNull(), "copy_id", "key")
+    firsts = grouped.groupBy("root").agg(
+        F.min("copy_id").alias("class_id"), F.min(rank)["key"].alias("first_key")
+    )
     by_class = (
         classes.select("key", "copy_id", "n_docs", F.col("hashes").isNotNull().alias("worded"))
         .join(roots.join(firsts, "root"), "key", "left")
@@ -224,6 +231,7 @@ def join(
             "copy_id",
             "worded",
             F.coalesce("class_id", "copy_id").alias("class_id"),
+            F.coalesce("first_key", "key").alias("first_key"),
             (F.coalesce("documents", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"),
         )
     )
@@ -236,9 +244,16 @@ def join(
         (alone | F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
         "key",
+        "worded",
+        "first_key",
     )
 
 
+def join(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, class_id, n_links, kept, copy_id, key of every row of `docs`."""
+    return _grouped(docs, **options).drop("worded", "first_key")
+
+
 def _candidates(classes: DataFrame) -> DataFrame:
     """(key, root) of the classes that share a band, directly or through others."""
     exploded = classes.select("key", F.explode("hashes").alias("band"))
@@ -285,9 +300,28 @@ def _verified(docs, classes, candidates, similarity, words, block, text) -> Data
 
 
 def deduplicate(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
-    """The rows of `docs`, as they are, of which one document per group stays."""
-    kept = join(docs, text=text, **options).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("key").alias("_kept_key")
+    """The rows of `docs`, as they are, of which one row per group stays."""
+    first = ~F.col("worded") | (F.col("key") == F.col("first_key"))
+    kept = (
+        _grouped(docs, text=text, **options)
+        .where(F.col("kept") & first)
+        .groupBy(F.col("doc_id").alias("_kept_id"), F.col("key").alias("_kept_key"))
+        .agg(((F.count(F.lit(1)) > 1) & (F.first("worded") | F.col("_kept_id").isNotNull())).alias("_repeated"))
+    )
+    repeats = F.coalesce(F.sum(F.col("_repeated").cast("bigint")), F.lit(0))
+    written = runtime.store(kept, "kept", repeats=repeats)
+    same = F.col("_kept_id").eqNullSafe(column(docs, "doc_id", "bigint")) & (
+        key_of(text_of(docs, text)) == F.col("_kept_key")
     )
-    same = F.col("_kept_id").eqNullSafe(column(docs, "doc_id", "bigint"))
-    return docs.join(kept.distinct(), same & (key_of(text_of(docs, text)) == F.col("_kept_key")), "left_semi")
+    single = docs.join(written.df.where("not _repeated"), same, "left_semi")
+    n = written.metrics["repeats"]
+    if not n:
+        return single
+    repeated = written.df.where("_repeated").drop("_repeated")
+    # Few repeated rows are broadcast by their count, so a row repeated often is no hot task.
+    side = F.broadcast(repeated) if n <= runtime.BROADCAST_ROWS else repeated
+    # One of the repeats, which does not depend on how rows lie in partitions.
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    mark = F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind))
+    one = docs.join(side, same).groupBy("_kept_id", "_kept_key").agg(F.min_by(whole, mark).alias("_row"))
+    return single.unionByName(one.select("_row.*"))

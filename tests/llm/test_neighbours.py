@@ -105,6 +105,21 @@ def test_one_of_each_group_stays(spark):
     assert jaccard_join.deduplicate(documents(spark, [])).count() == 0
 
 
+def test_repeats_of_the_representative_go(spark):
+    near = prose(200, 31).split()
+    texts = {"a": prose(90, 32), "b": prose(90, 33), "n": " ".join(near), "m": " ".join([*near[:99], "new", *near[100:]])}
+    rows = [(1, texts["a"], "en", "x", 0)] * 40 + [(2, texts["a"], "en", "y", 0)]
+    rows += [(3, texts["n"], "en", "x", 0)] * 2 + [(3, texts["m"], "en", "x", 0)] * 2
+    rows += [(None, texts["b"], "en", "x", 0)] * 3
+    rows += [(None, texts["b"] + " " + w, "en", "x", 0) for w in ("one", "two")]
+    rows += [(4, "", "en", "x", 0)] * 2 + [(None, "", "en", "x", 0)] * 2 + [(5, prose(90, 34), "en", "x", 0)]
+    got = jaccard_join.deduplicate(documents(spark, rows)).collect()
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == [1, 3, 4, 5]
+    loose = [r.text for r in got if r.doc_id is None]
+    assert len(loose) == 3 and loose.count("") == 2
+    assert {str(tuple(r)[:5]) for r in got} <= {str(r) for r in rows}
+
+
 def vectors():
     draw = np.random.default_rng(5)
     rows = []

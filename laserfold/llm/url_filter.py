@@ -9,7 +9,9 @@ with theirs; the longest wins. Pages without a rule get their host's verdict:
 - Personalised PageRank carries trust along the edges from the trusted seeds, and
   distrust against the edges from the blocked seeds (who links to bad hosts is suspect).
   Each round is one join and one aggregation per score, written to the shared folder;
-  rounds stop when the scores move by less than `tolerance` in sum.
+  rounds go on until the scores move by less than `tolerance` in sum, or by less than
+  a small part of the threshold below if that is smaller, as on large graphs; meeting
+  `max_rounds` before that is an error.
 - A host is blocked when its distrust is above its trust and above `threshold` of an even
   share (1 / hosts). A host's own seed counts in this comparison only if more than half
   of its pages have that verdict (its ruled pages are decided by the rules); what reaches
@@ -32,7 +34,8 @@ from laserfold.llm.common import column, read_back
 from laserfold.runtime import store
 
 DAMPING = 0.85
-MAX_ROUNDS = 20
+# Far above what damping needs; the change shrinks to 0.85 of the last with each round.
+MAX_ROUNDS = 500
 TOLERANCE = 1e-4
 THRESHOLD = 0.1
 
@@ -138,8 +141,8 @@ def propagate(
         )
         scores = written.df.where("score > 0").select("host", "score")
         if written.metrics["change"] < tolerance:
-            break
-    return scores
+            return scores
+    raise RuntimeError(f"scores did not settle in {max_rounds} rounds")
 
 
 def _shares(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -153,6 +156,10 @@ def host_verdicts(
 ) -> DataFrame:
     """(host, trust, distrust, host_verdict) of every host in `seed`."""
     n = max(1, seed.count())
+    # What is still to move then is less than a tenth of the threshold in sum.
+    damping = options.get("damping", DAMPING)
+    least = 0.1 * threshold / n * (1 - damping) / max(damping, 1e-9)
+    options = options | {"tolerance": min(options.get("tolerance", TOLERANCE), least)}
     trust = propagate(
         read_back(_shares(edges, "src", "dst"), "edges-on"),
         seed.select("host", F.col("good").alias("weight")),
@@ -167,7 +174,7 @@ def host_verdicts(
 
     def counted(score: str, weight: str, total: float | None) -> Column:
         """The score, without the host's own seed where that is not its main verdict."""
-        own = (1 - options.get("damping", DAMPING)) / (total or 1.0) * F.col(weight)
+        own = (1 - damping) / (total or 1.0) * F.col(weight)
         return F.col(score) - F.when(F.col(weight) > 0.5, 0.0).otherwise(own)
 
     both = (

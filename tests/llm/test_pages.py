@@ -162,6 +162,19 @@ def test_few_blocked_pages_seed_distrust(spark):
     assert [got[i].verdict for i in range(5)] == ["block", "allow", "allow", "block", "allow"]
 
 
+def test_default_rounds_reach_the_end_of_a_chain(spark):
+    # Distrust goes back from the blocked end over 24 links; 60 hosts lower the threshold.
+    chain = [f"c{i:02}.org" for i in range(24)] + ["bad.example.com"]
+    rows = [(i, f"http://{h}/en/", "".join(map(link, chain[i + 1 : i + 2]))) for i, h in enumerate(chain)]
+    rows += [(100 + i, f"http://lone{i}.org/", None) for i in range(60)]
+    got = {r.page_id: r for r in url_filter.judge(pages(spark, rows), URL_RULES).collect()}
+    for i in range(25):
+        assert got[i].distrust == pytest.approx(0.15 * 0.85 ** (24 - i), rel=1e-6)
+    assert all(got[i].verdict == "block" for i in range(25))
+    with pytest.raises(RuntimeError, match="did not settle"):
+        url_filter.judge(pages(spark, rows), URL_RULES, max_rounds=3)
+
+
 def test_awkward_pages(spark):
     got = url_filter.judge(pages(spark, ROWS), URL_RULES).collect()
     assert len(got) == len(ROWS) and {r.verdict for r in got} == {"allow"}

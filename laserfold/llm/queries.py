@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laserfold.llm import (
+    conversation_repair,
     jaccard_join,
     mixing,
     packing,
+    prefix_forest,
     quality_gam,
     quality_rules,
+    token_alignment,
     token_counts,
     tokens,
     url_filter,
@@ -122,5 +125,67 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), trusted)
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with the faults that the repair query asks for; nulls are one space."""
+    conv_id, turn = F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint")
+    one_space = F.lit(" ")
+    address = F.concat_ws(
+        ":", F.coalesce(conv_id.cast("string"), one_space), F.coalesce(turn.cast("string"), one_space)
+    )
+    text = F.coalesce("text", one_space)
+    kind = F.col("kind")
+    return (
+        turns.select(
+            conv_id.alias("conv_id"),
+            turn.alias("turn"),
+            F.coalesce("role", one_space).alias("role"),
+            text.alias("text"),
+            (F.crc32(address) % 20).alias("kind"),
+        )
+        .where("kind != 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(kind == 4, "user").otherwise(F.col("role")).alias("role"),
+            F.when(kind == 1, "")
+            .when(kind == 2, F.regexp_replace("text", "[.!?]", ""))
+            .otherwise(F.col("text"))
+            .alias("text"),
+            F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    repaired, report = conversation_repair.repair(damaged(turns))
+    conv_id = F.col("conv_id").cast("bigint")
+    every = turns.select(conv_id.alias("conv_id")).distinct()
+    every = every.withColumn("conv", conversation_repair.conv_key(F.col("conv_id")))
+    known = every.join(report, "conv", "left").join(conversation_repair.digests(repaired), "conv", "left")
+    return known.select(
+        "conv_id",
+        *(
+            F.coalesce(name, F.lit(0)).alias(name)
+            for name in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+        ),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path_a, path_b = tokens.alignment_paths()
+    return token_alignment.align(table(spark, sf_dir, "documents"), path_a, path_b)
+
+
+@query
+def op13_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.search(table(spark, sf_dir, "embeddings"), every=20)
+
+
 def sql_texts() -> dict[str, str]:
     return {}

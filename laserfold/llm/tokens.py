@@ -146,3 +146,10 @@ def default_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
+
+
+def alignment_paths() -> tuple[str, str]:
+    """A byte-level vocabulary and one of pieces."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")

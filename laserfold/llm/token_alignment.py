@@ -219,6 +219,8 @@ def invert(codes: np.ndarray, places: np.ndarray, times: np.ndarray, size: int)
     row = np.repeat(np.arange(len(starts)), ends - starts)
     for k in range(int(more.max(initial=0)).bit_length()):
         at = np.flatnonzero(more >> k & 1)
+        if not len(at):
+            continue
         rows, first = np.unique(row[at], return_index=True)
         for r, chosen in zip(rows.tolist(), np.split(at, first[1:]), strict=True):
             planes[r] += [b""] * (k - len(planes[r])) + [container(places[chosen], size)]

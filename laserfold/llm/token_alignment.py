@@ -15,10 +15,11 @@ links; its postings carry scores back to the documents.
    A's vocabulary (broadcast).
 3. Postings meet their pair's count, are dealt to their block, and sum up per document.
 
-Texts are cut before a space that follows other than white space: A's pattern starts a
-pre-token there and B has no piece with a space after another character (`cuts_hold`
-proves it per file, else texts stay whole), so a cut piece is tokenized alike everywhere
-and distinct pieces of a slice of documents go through the libraries once, as one batch.
+Texts are cut where A's pattern starts a pre-token and no piece of B reaches across:
+before a space that follows other than white space (`cuts_hold`), and in Latin texts also
+behind letters and around a lone line feed (`fine_cuts_hold`). Both are proved from the
+files, else texts stay whole or coarse. A cut piece is tokenized alike everywhere, so
+distinct pieces of a slice of documents go through the libraries once, as one batch.
 
 Results: one row per row of `docs`; a null or empty text, and one whose joined tokens of
 A or B are not exactly the bytes of space and text, has no tokens, no groups and an empty
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import json
 import os
 import re
@@ -46,30 +48,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laserfold.llm.common import Batches, column, read_back, slices, texts
-from laserfold.llm.tokens import SPACES, byte_letters
+from laserfold.llm.tokens import LAST_LATIN, SPACES, byte_letters, latin
 
 # A block ends at so many links or documents (places have 16 bits).
 BLOCK_LINKS, BLOCK_DOCS = 3_000_000, 1 << 16
 # Pieces kept for reuse, in a worker; beyond, its table starts anew (only speed changes).
-KEPT_PIECES, KEPT_LENGTH = 120_000, 64
+KEPT_PIECES, KEPT_BYTES = 400_000, 64_000_000
 # A group with more links is kept as counts of its pairs.
 WIDE_GROUP = 4_096
 OUT_ROWS = 20_000
 BETWEEN = re.compile(f"(?<=[^{SPACES}])(?= )")
-
-
-class Piece:
-    """A tokenized stretch of text: counts, its group string, its links as packed pairs."""
-
-    __slots__ = ("groups", "links", "n_a", "n_b", "n_groups", "n_links", "wide")
-
-    def __init__(self, n_a, n_b, n_groups, n_links, groups, links, wide):
-        self.n_a, self.n_b, self.n_groups, self.n_links = n_a, n_b, n_groups, n_links
-        self.groups, self.links, self.wide = groups, links, wide
+LETTERS = latin("L")
+# Words, other marks up to white space, one white space alone, longer white space.
+PIECES = re.compile(
+    f" ?[{LETTERS}]+| ?[^{SPACES}{LETTERS}][^{SPACES}]*|[^\\S ](?=[^{SPACES}])|[{SPACES}]+[^{SPACES}]*"
+)
 
 
 class Aligner:
-    """Both tokenizers of a worker."""
+    """Both tokenizers of a worker, and what is known of pieces of texts.
+
+    A known piece has a number; its counts, its group string and its packed links are kept
+    under that number."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
@@ -88,26 +88,45 @@ class Aligner:
         }
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [
-            bytes([int(p[3:5], 16)])
-            if self.b.is_byte(i)
-            else p.replace("▁", " ").encode()
+            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ]
         self.width = len(pieces)
+        self.sizes_a = np.zeros(max(self.bytes_a) + 1, np.int64)
+        self.sizes_a[list(self.bytes_a)] = list(map(len, self.bytes_a.values()))
+        self.sizes_b = np.fromiter(map(len, self.bytes_b), np.int64)
+        self.decimals = [b"%d" % i for i in range(max(len(self.sizes_a), self.width))]
         with open(path_a, encoding="utf-8") as file:
-            self.cuts = cuts_hold(json.load(file), pieces)
-        self.kept: dict[str, Piece | None] = {}
+            described = json.load(file)
+        # Bytes stand for themselves; control pieces never come from a text.
+        apart = self.b.is_byte, self.b.is_control, self.b.is_unknown
+        whole = [p for i, p in enumerate(pieces) if not any(kind(i) for kind in apart)]
+        self.coarse = cuts_hold(described, whole)
+        self.fine = self.coarse and fine_cuts_hold(whole)
+        # A line feed is a byte of its own in B, so what follows it stands as after a cut.
+        self.lead = self.b.encode("\n")
+        self.fine = self.fine and self.b.encode("\nx")[: len(self.lead)] == self.lead
+        self.odd = re.compile(f"[^\\x00-{LAST_LATIN}]|[{''.join(map(re.escape, _in_pieces(whole)))}]")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.counts = np.zeros((1024, 4), np.int64)
+        self.groups: list[bytes] = []
+        self.links: list[bytes] = []
+        self.wide: dict[int, Counter] = {}
+        self.kept_bytes = 0
 
-    def align(self, text: str, ids_a: list[int], ids_b: list[int]) -> Piece | None:
-        """The piece of a text (with its leading space), or None if bytes differ."""
+    def align(self, text: str, ids_a: list[int], ids_b: list[int]) -> tuple | None:
+        """(counts, groups, links, wide) of a stretch of text, or None if bytes differ."""
         parts_a = [self.bytes_a[i] for i in ids_a]
         parts_b = [self.bytes_b[i] for i in ids_b]
         raw = text.encode()
         if b"".join(parts_a) != raw or b"".join(parts_b) != raw:
             return None
+        width = self.width
         groups, links, wide, n_links = [], array("q"), Counter(), 0
         i = j = end_a = end_b = 0
-        width = self.width
         while i < len(ids_a):
             first_a, first_b = i, j
             end_a += len(parts_a[i])
@@ -132,40 +151,131 @@ class Aligner:
                 for x, times in Counter(own_a).items():
                     for y, more in counts_b.items():
                         wide[x * width + y] += times * more
-        return Piece(
-            len(ids_a), len(ids_b), len(groups), n_links, ";".join(groups), links.tobytes(), wide or None
-        )
+        counts = (len(ids_a), len(ids_b), len(groups), n_links)
+        return counts, ";".join(groups).encode(), links.tobytes(), wide or None
 
-    def _encode(self, found: list[str]) -> Iterator[Piece | None]:
+    def _ids(self, found: list[str]) -> tuple[list, list]:
         in_a = self.a.encode_batch_fast(found, add_special_tokens=False)
-        in_b = self.b.encode([t[1:] for t in found], num_threads=1)
-        for text, a, b in zip(found, in_a, in_b, strict=True):
-            yield self.align(text, a.ids, b)
-
-    def documents(self, batch: list[str]) -> list[list[Piece]]:
-        """The pieces of each text; none where a text has no tokens."""
-        cut = [BETWEEN.split(f" {t}") if t and self.cuts else [f" {t}"] if t else [] for t in batch]
-        kept = self.kept
-        if len(kept) > KEPT_PIECES:
-            kept.clear()
-        missing = list({p for pieces in cut for p in pieces if p not in kept})
-        fresh = dict(zip(missing, self._encode(missing), strict=True)) if missing else {}
-        kept.update((p, made) for p, made in fresh.items() if len(p) <= KEPT_LENGTH)
-        result = []
+        in_b = self.b.encode([t[1:] if t[0] == " " else f"\n{t}" for t in found], num_threads=1)
+        skip = len(self.lead)
+        in_b = [b if t[0] == " " else b[skip:] for t, b in zip(found, in_b, strict=True)]
+        return [e.ids for e in in_a], in_b
+
+    def _align_all(self, found: list[str]) -> Iterator[tuple[str, tuple | None]]:
+        """(piece, what `align` gives for it) of many pieces, all in one pass over arrays."""
+        if not found:
+            return
+        in_a, in_b = self._ids(found)
+        good = []
+        for piece, a, b in zip(found, in_a, in_b, strict=True):
+            raw = piece.encode()
+            same_a = b"".join(map(self.bytes_a.__getitem__, a)) == raw
+            same_b = b"".join(map(self.bytes_b.__getitem__, b)) == raw
+            if same_a and same_b and len(a) * len(b) <= WIDE_GROUP:
+                good.append((piece, a, b))
+            else:
+                yield piece, self.align(piece, a, b) if same_a and same_b else None
+        if not good:
+            return
+        names, in_a, in_b = zip(*good, strict=True)
+        a, b = (np.fromiter(itertools.chain.from_iterable(x), np.int64) for x in (in_a, in_b))
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        of_a, of_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        n_a, n_b = np.bincount(of_a, minlength=len(cuts)), np.bincount(of_b, minlength=len(cuts))
+        before_a, before_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        # Each A token with all B tokens of its group.
+        times = n_b[of_a]
+        at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times - before_b[of_a], times)
+        links = (np.repeat(a, times) * self.width + b[at]).astype("<i8").tobytes()
+        # A group's decimal ids in order: those of A, then those of B, each with its separator.
+        order = np.zeros(len(a) + len(b), np.int64)
+        ends = np.zeros(len(order), np.int64)
+        at_a, at_b = np.arange(len(a)) + before_b[of_a], np.arange(len(b)) + (before_a + n_a)[of_b]
+        order[at_a], order[at_b] = a, b
+        ends[at_a[before_a + n_a - 1]], ends[at_b[before_b + n_b - 1]] = 1, 2
+        written: list[bytes] = [b""] * (2 * len(order))
+        written[0::2] = map(self.decimals.__getitem__, order.tolist())
+        written[1::2] = map((b",", b"|", b";").__getitem__, ends.tolist())
+        # Where each piece's tokens, groups and links end.
+        last_a, last_b = (np.cumsum(np.fromiter(map(len, x), np.int64)) for x in (in_a, in_b))
+        last_group = of_a[last_a - 1] + 1
+        last_link = np.cumsum(times)[last_a - 1]
+        ends_of = np.stack([last_a, last_b, last_group, last_link], 1)
+        counts = np.diff(ends_of, axis=0, prepend=0)
+        token = link = 0
+        for piece, own, (t_a, t_b, _, n) in zip(names, counts.tolist(), ends_of.tolist(), strict=True):
+            end = 2 * (t_a + t_b)
+            yield piece, (own, b"".join(written[token : end - 1]), links[8 * link : 8 * n], None)
+            token, link = end, n
+
+    def _cut(self, text: str) -> list[str]:
+        """Pieces of a text with its leading space, each tokenized alone as within it."""
+        if not self.coarse:
+            return [text]
+        if not self.fine or self.odd.search(text):
+            return BETWEEN.split(text)
+        return PIECES.findall(text)
+
+    def _learn(self, pieces: set[str]) -> None:
+        for piece, made in self._align_all(list(pieces)):
+            if made is None:
+                self.number[piece] = -1
+                continue
+            n = self.number[piece] = len(self.groups)
+            if n == len(self.counts):
+                self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+            self.counts[n] = made[0]
+            self.groups.append(made[1])
+            self.links.append(made[2])
+            self.kept_bytes += len(made[1]) + len(made[2])
+            if made[3]:
+                self.wide[n] = made[3]
+
+    def documents(self, batch: list[str]) -> Iterator[tuple]:
+        """(counts, group string, packed links, wide links) of each text; zeros without tokens."""
+        cut = [self._cut(f" {t}") if t else [] for t in batch]
+        if len(self.groups) > KEPT_PIECES or self.kept_bytes > KEPT_BYTES:
+            self._forget()
+        missing = set().union(*cut) - self.number.keys()
+        if missing:
+            self._learn(missing)
         for text, pieces in zip(batch, cut, strict=True):
-            found = [kept[p] if p in kept else fresh[p] for p in pieces]
-            if None in found:  # whole, where a piece alone has other bytes
-                found = [whole] if (whole := next(self._encode([f" {text}"]))) else []
-            result.append(found)
-        return result
+            numbers = list(map(self.number.__getitem__, pieces))
+            if -1 in numbers:  # whole, where a piece alone has other bytes
+                (in_a,), (in_b,) = self._ids([f" {text}"])
+                yield self.align(f" {text}", in_a, in_b) or NOTHING
+                continue
+            wide: Counter = Counter()
+            for n in self.wide.keys() & set(numbers) if self.wide else ():
+                for code, times in self.wide[n].items():
+                    wide[code] += times * numbers.count(n)
+            yield (
+                tuple(self.counts[numbers].sum(0).tolist()),
+                b";".join(map(self.groups.__getitem__, numbers)),
+                b"".join(map(self.links.__getitem__, numbers)),
+                wide or None,
+            )
+
+
+NOTHING = ((0, 0, 0, 0), b"", b"", None)
 
 
 def cuts_hold(described: dict, pieces: list[str]) -> bool:
     """Whether texts may be cut before a space that follows other than white space."""
     before = described.get("pre_tokenizer") or {}
     plain = described.get("normalizer") is None and before.get("type") == "ByteLevel"
-    spaced = any(re.search("[^▁]▁", p) for p in pieces)
-    return bool(plain and before.get("use_regex") and not spaced)
+    return bool(plain and before.get("use_regex")) and not any(re.search("[^▁]▁", p) for p in pieces)
+
+
+def fine_cuts_hold(pieces: list[str]) -> bool:
+    """Whether no piece of B goes on after a letter with anything but letters, or holds a line feed."""
+    return not any("\n" in p or re.search(f"[{LETTERS}][^{LETTERS}]", p) for p in pieces)
+
+
+def _in_pieces(pieces: list[str]) -> set[str]:
+    """White space other than spaces that stands inside longer pieces (and a stand-in)."""
+    return {"\r"} | {c for p in pieces if len(p) > 1 for c in p if c.isspace()}
 
 
 @functools.lru_cache(maxsize=2)
@@ -262,27 +372,16 @@ class _Block:
         self.lengths: list[int] = []
         self.wide: list[tuple[int, int, int]] = []
 
-    def add(self, doc_id: int | None, pieces: list[Piece]) -> None:
+    def add(self, doc_id: int | None, found: tuple) -> None:
         place = len(self.lengths)
-        groups = ";".join([p.groups for p in pieces])
-        values = (
-            place,
-            doc_id,
-            sum([p.n_a for p in pieces]),
-            sum([p.n_b for p in pieces]),
-            sum([p.n_groups for p in pieces]),
-            sum([p.n_links for p in pieces]),
-            hashlib.sha256(groups.encode()).hexdigest() if pieces else "",
-        )
-        for name, value in zip(DOC_FIELDS, values, strict=True):
+        counts, groups, links, wide = found
+        digest = hashlib.sha256(groups).hexdigest() if groups else ""
+        for name, value in zip(DOC_FIELDS, (place, doc_id, *counts, digest), strict=True):
             self.docs[name].append(value)
-        links = b"".join([p.links for p in pieces])
         self.links.append(links)
         self.lengths.append(len(links) // 8)
         self.n_links += len(links) // 8
-        for p in pieces:
-            if p.wide:
-                self.wide += [(code, place, times) for code, times in p.wide.items()]
+        self.wide += [(code, place, times) for code, times in (wide or {}).items()]
 
     def full(self) -> bool:
         return self.n_links >= BLOCK_LINKS or len(self.lengths) >= BLOCK_DOCS
@@ -332,8 +431,8 @@ def index(docs: DataFrame, path_a: str, path_b: str, *, text: str = "text") -> D
         block = _Block(number, both.width)
         for batch in slices(batches):
             found = both.documents(texts(batch))
-            for doc_id, pieces in zip(batch.column("doc_id").to_pylist(), found, strict=True):
-                block.add(doc_id, pieces)
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), found, strict=True):
+                block.add(doc_id, own)
                 if block.full():
                     yield from block.rows()
                     number += 1

@@ -28,7 +28,7 @@ KEPT_WORDS = 300_000
 KEPT_LENGTH = 48
 
 
-def _latin(kind: str) -> str:
+def latin(kind: str) -> str:
     """Characters of a Unicode category up to the last Latin letter, for a pattern's class."""
     every = map(chr, range(ord(LAST_LATIN) + 1))
     return "".join(re.escape(c) for c in every if unicodedata.category(c).startswith(kind))
@@ -39,7 +39,7 @@ def _latin(kind: str) -> str:
 # kinds, and there contractions come before marks.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"  # fixed values of the file
 LATIN_WORDS = re.compile(
-    f"[{_latin('L')}]+|{CONTRACTIONS}|[{_latin('N')}]|[^{SPACES}{_latin('L')}{_latin('N')}]+"
+    f"[{latin('L')}]+|{CONTRACTIONS}|[{latin('N')}]|[^{SPACES}{latin('L')}{latin('N')}]+"
 )
 
 

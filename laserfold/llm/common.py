@@ -38,6 +38,14 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.drop(*(n for n in df.columns if n.lower() in {x.lower() for x in names}))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, made longer until `df` has no column that is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def read_back(df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared folder and read again, so later jobs reuse its rows."""
     return runtime.store(df, name).df

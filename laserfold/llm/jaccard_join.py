@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from laserfold import runtime
 from laserfold.llm import stars
-from laserfold.llm.common import Batches, column, read_back, slices, text_of, texts
+from laserfold.llm.common import Batches, column, read_back, slices, text_of, texts, unused
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -301,27 +301,28 @@ def _verified(docs, classes, candidates, similarity, words, block, text) -> Data
 
 def deduplicate(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
     """The rows of `docs`, as they are, of which one row per group stays."""
+    kept_id, kept_key, again, row = (unused(docs, n) for n in ("kept_id", "kept_key", "repeated", "row"))
     first = ~F.col("worded") | (F.col("key") == F.col("first_key"))
     kept = (
         _grouped(docs, text=text, **options)
         .where(F.col("kept") & first)
-        .groupBy(F.col("doc_id").alias("_kept_id"), F.col("key").alias("_kept_key"))
-        .agg(((F.count(F.lit(1)) > 1) & (F.first("worded") | F.col("_kept_id").isNotNull())).alias("_repeated"))
+        .groupBy(F.col("doc_id").alias(kept_id), F.col("key").alias(kept_key))
+        .agg(((F.count(F.lit(1)) > 1) & (F.first("worded") | F.col(kept_id).isNotNull())).alias(again))
     )
-    repeats = F.coalesce(F.sum(F.col("_repeated").cast("bigint")), F.lit(0))
+    repeats = F.coalesce(F.sum(F.col(again).cast("bigint")), F.lit(0))
     written = runtime.store(kept, "kept", repeats=repeats)
-    same = F.col("_kept_id").eqNullSafe(column(docs, "doc_id", "bigint")) & (
-        key_of(text_of(docs, text)) == F.col("_kept_key")
+    same = F.col(kept_id).eqNullSafe(column(docs, "doc_id", "bigint")) & (
+        key_of(text_of(docs, text)) == F.col(kept_key)
     )
-    single = docs.join(written.df.where("not _repeated"), same, "left_semi")
+    single = docs.join(written.df.where(~F.col(again)), same, "left_semi")
     n = written.metrics["repeats"]
     if not n:
         return single
-    repeated = written.df.where("_repeated").drop("_repeated")
+    repeated = written.df.where(again).drop(again)
     # Few repeated rows are broadcast by their count, so a row repeated often is no hot task.
     side = F.broadcast(repeated) if n <= runtime.BROADCAST_ROWS else repeated
     # One of the repeats, which does not depend on how rows lie in partitions.
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     mark = F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind))
-    one = docs.join(side, same).groupBy("_kept_id", "_kept_key").agg(F.min_by(whole, mark).alias("_row"))
-    return single.unionByName(one.select("_row.*"))
+    one = docs.join(side, same).groupBy(kept_id, kept_key).agg(F.min_by(whole, mark).alias(row))
+    return single.unionByName(one.select(f"{row}.*"))

@@ -23,6 +23,7 @@ or a budget of 0 gives no rows; a leaf without any token is taken whole.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from laserfold.llm import tokens
-from laserfold.llm.common import add_columns, column, read_back, text_of, without
+from laserfold.llm.common import add_columns, column, read_back, text_of
 
 SEED = 11
 STEP = 10  # hash bits per level
@@ -101,6 +102,30 @@ def budgets(
     return found
 
 
+def whole_budget(leaves: dict[Path, int], weights: Mapping[Path, float]) -> int:
+    """The least budget whose shares reach all tokens of every leaf that has a weight."""
+    tokens_of: dict[Path, int] = {}
+    for path, n in leaves.items():
+        for depth in range(len(path) + 1):
+            tokens_of[path[:depth]] = tokens_of.get(path[:depth], 0) + n
+    shares = {
+        p: max(0.0, float(weights.get(p, n / tokens_of[p[:-1]] if n else 0.0)))
+        for p, n in tokens_of.items()
+        if p
+    }
+    of_siblings: dict[Path, float] = {}
+    for path, share in shares.items():
+        of_siblings[path[:-1]] = of_siblings.get(path[:-1], 0.0) + share
+    needed = {p: float(n) for p, n in tokens_of.items()}
+    for path in sorted(shares, key=len, reverse=True):
+        above = path[:-1]
+        if shares[path] > 0 and tokens_of[path]:
+            # One more, as shares are handed down in whole tokens.
+            need = (needed[path] + 1) * of_siblings[above] / shares[path]
+            needed[above] = max(needed[above], need)
+    return math.ceil(needed[()]) if needed else 0
+
+
 def _draw(epoch: Column, base: Column, seed: int) -> Column:
     """60 bits that order the documents of an epoch."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), epoch, base), 64 - BITS)
@@ -156,14 +181,15 @@ def plan(
     *,
     path: str,
     budget: int | None = None,
-    share: float = 1.0,
+    share: float | None = 1.0,
     weights: Mapping[Path, float] | None = None,
     max_epochs: int = 1,
     seed: int = SEED,
     text: str = "text",
 ) -> dict[Path, Leaf]:
     """Budget, whole epochs and threshold of every leaf. Without `budget` the budget is
-    `share` of all tokens."""
+    `share` of all tokens, and without `share` the least at which the weights take every
+    document once (scarce leaves then repeat, up to `max_epochs`)."""
     names = _level_names(levels)
     rows = docs.select(
         *(c.cast("string").alias(n) for n, c in zip(names, levels.values(), strict=True)),
@@ -179,8 +205,14 @@ def plan(
     totals = sized.groupBy(*names).agg(F.sum("n_tokens").alias("n")).toLocalIterator()
     leaves = {tuple(r[n] for n in names): Leaf(int(r["n"])) for r in totals}
     everything = sum(v.tokens for v in leaves.values())
-    wanted = int(everything * share) if budget is None else budget
-    given = budgets({p: v.tokens for p, v in leaves.items()}, wanted, weights or {}, max_epochs)
+    of_leaves = {p: v.tokens for p, v in leaves.items()}
+    if budget is not None:
+        wanted = budget
+    elif share is None:
+        wanted = whole_budget(of_leaves, weights or {})
+    else:
+        wanted = int(everything * share)
+    given = budgets(of_leaves, wanted, weights or {}, max_epochs)
     for p, leaf in leaves.items():
         leaf.budget = given.get(p, 0)
         if leaf.tokens == 0:
@@ -200,9 +232,12 @@ def select(
     names = _level_names(levels)
     leaves = plan(docs, levels, seed=seed, text=text, **options)
     rows = [(*p, v.epochs, v.prefix, v.bits) for p, v in leaves.items()]
-    keyed = without(docs, ["epoch", *names, "_base"]).withColumns(
-        {n: c.cast("string") for n, c in zip(names, levels.values(), strict=True)}
-        | {"_base": _base(docs, text)}
+    # The rows travel as one struct, so no column of theirs meets a helper.
+    passed = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "epoch"]
+    keyed = docs.select(
+        F.struct(*passed).alias("_row"),
+        *(c.cast("string").alias(n) for n, c in zip(names, levels.values(), strict=True)),
+        _base(docs, text).alias("_base"),
     )
     joined = _with_leaves(keyed, names, rows)
     draw = _draw(F.col("_epochs") + 1, F.col("_base"), seed)
@@ -212,9 +247,8 @@ def select(
     taken = joined.withColumn("_draw", draw).withColumn(
         "_taken", F.col("_epochs") + F.when(more, 1).otherwise(0)
     )
-    kept = [c for c in docs.columns if c.lower() != "epoch"]
     return taken.where("_taken > 0").select(
-        *(F.col(f"`{c}`") for c in kept),
+        "_row.*",
         F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_taken"))).alias("epoch"),
     )
 

@@ -232,6 +232,10 @@ def train(
     rows = docs.select(
         column(docs, "doc_id", "bigint").alias("doc_id"), text_of(docs, text).alias("text")
     ).join(F.broadcast(known), "doc_id")
+    # One row per label, however often its doc_id repeats: that of the least text hash.
+    rows = rows.groupBy("doc_id", "quality").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    )
     fields = ", ".join(f"{f} double" for f in FEATURES)
 
     def measure(batches: Batches) -> Batches:

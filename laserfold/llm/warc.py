@@ -205,7 +205,8 @@ def parse(data: bytes) -> dict:
 
 def read(manifest: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
     """Every record of the files in the manifest, checked against its digests."""
-    tasks = manifest.select("path", "sha1").repartition("path")
+    # A fixed number of tasks; without it adaptive execution would join them to one.
+    tasks = manifest.select("path", "sha1").repartition(max(1, manifest.count()), "path")
     kept = READ if with_payload else READ.removesuffix(", payload binary")
 
     def run(batches: Batches) -> Batches:

@@ -77,3 +77,19 @@ def test_equal_rows_go_together(spark):
     for budget in (40, 100, 10**4):
         ids = [r.doc_id for r in mixing.select(documents(spark, same), levels(), path=PATH, budget=budget).collect()]
         assert ids.count(1) in (0, 6)
+
+
+def test_whole_budget_takes_every_document(spark):
+    options = dict(path=PATH, share=None, weights={("de",): 0.5, ("en",): 0.5, ("de", "b"): 0.8})
+    got = mixing.select(documents(spark, rows()), levels(), max_epochs=2, **options).collect()
+    assert {r.doc_id for r in got} == {r[0] for r in rows()}
+    assert max(r.epoch for r in got) == 2
+    assert mixing.whole_budget({("x",): 100, ("y",): 10}, {("x",): 0.5, ("y",): 0.5}) >= 200
+    assert mixing.whole_budget({}, {}) == 0 and mixing.whole_budget({("x",): 0}, {}) == 0
+
+
+def test_columns_called_like_helpers_pass_through(spark):
+    names = ["_bits", "_epochs", "_prefix", "_draw", "_taken", "_base", "_level_0", "_row", "_level_0_of"]
+    docs = documents(spark, rows(), clashing=False).withColumns({n: F.lit("own") for n in names})
+    got = mixing.select(docs, levels(), path=PATH, share=0.5).collect()
+    assert got and all(r[n] == "own" for r in got for n in names)

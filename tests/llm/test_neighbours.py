@@ -188,3 +188,16 @@ def test_tables_without_usable_vectors(spark):
     table = spark.createDataFrame([(*r, "k", "y", "n") for r in odd_vectors()[:6]], DDL)
     assert all(r.kept and r.n_links == 0 for r in vector_dedup.link(table).collect())
     assert vector_dedup.link(table.where("false")).count() == 0
+
+
+def test_deduplicate_passes_columns_called_like_helpers(spark):
+    from pyspark.sql import functions as F
+
+    from laserfold.llm import jaccard_join
+    from tests.llm.data import documents, prose
+
+    same = [(1, prose(60, 1), "en", "a", 0)] * 3 + [(2, prose(60, 1), "en", "a", 0), (3, prose(60, 2), "en", "a", 0)]
+    names = ["kept_id", "kept_key", "repeated", "row", "_kept_id", "_kept_key"]
+    docs = documents(spark, same, clashing=False).withColumns({n: F.lit("own") for n in names})
+    got = jaccard_join.deduplicate(docs).collect()
+    assert sorted(r.doc_id for r in got) == [1, 3] and all(r[n] == "own" for r in got for n in names)

@@ -181,3 +181,13 @@ def test_awkward_pages(spark):
     assert url_filter.judge(pages(spark, []), URL_RULES).count() == 0
     plan = url_filter.judge(pages(spark, ROWS), URL_RULES)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_archives_are_read_by_as_many_tasks_as_files(spark):
+    from pyspark.sql import functions as F
+
+    from laserfold.llm import warc
+
+    paths = spark.createDataFrame([(f"file-{i}", "x") for i in range(12)], "path string, sha1 string")
+    found = warc.read(paths, "/tmp/none", with_payload=False)
+    assert found.select(F.spark_partition_id()).rdd.getNumPartitions() == 12

@@ -133,3 +133,16 @@ def test_additive_model_finds_an_interaction():
     total = model.constant + sum(t[b[:, i]] for i, t in enumerate(model.tables))
     total = total + model.pair_tables[0][b[:, 0], b[:, 1]]
     assert np.allclose(model.margin(x[:5]), total)
+
+
+def test_training_rows_are_bounded_by_labels(spark, monkeypatch):
+    """A labelled doc_id that repeats in the documents counts once."""
+    from laserfold.llm import quality_gam
+    from tests.llm.data import documents, prose
+
+    seen = []
+    monkeypatch.setattr(quality_gam, "fit", lambda x, y: seen.append(len(x)))
+    rows = [(i % 12, prose(20, i), "en", "a", 0) for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(12)], "doc_id bigint, quality int, toxic int")
+    quality_gam.train(documents(spark, rows), labels, sample=10)
+    assert seen[0] <= 12

@@ -15,7 +15,7 @@ from laserfold.llm import (
     tokens,
 )
 from laserfold.llm.common import read_back
-from laserfold.llm.queries import MIXTURE_SHARE, MIXTURE_WEIGHTS, mixture_levels
+from laserfold.llm.queries import MIXTURE_WEIGHTS, mixture_levels
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -41,14 +41,14 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents up to the budgets of their sources; none is repeated here."""
+    """Every document, and those of scarce sources up to twice, by the target weights."""
     chosen = mixing.select(
         docs,
         mixture_levels(),
         path=tokens.default_path(),
-        share=MIXTURE_SHARE,
+        share=None,
         weights=MIXTURE_WEIGHTS,
-        max_epochs=1,
+        max_epochs=2,
     )
     return chosen.drop("epoch")
 

@@ -14,7 +14,8 @@ under temporary names and rename; what a task returns is its manifest row, and o
 files in the manifest count, so a repeated task does no harm.
 
 Results: a null or empty text is its end id alone; null doc_ids come first; repeated
-doc_ids stay rows of their own, in text order; an empty table gives no file and no row;
+doc_ids stay rows of their own, in text order; a very long text is one document of one
+file, which then is longer than the bound; an empty table gives no file and no row;
 other columns are ignored.
 """
 
@@ -73,7 +74,8 @@ def pack_file(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -
         ones.append([int(np.bitwise_count(b).sum()) for b in blocks])
         sections.extend(squeeze(b.tobytes()) for b in blocks)
         zeros.append(len(bits) - sum(ones[-1]))
-        current = np.concatenate([current[~bits], current[bits]])
+        # Taking by number is several times as fast as a boolean mask.
+        current = np.concatenate([np.compress(~bits, current), np.compress(bits, current)])
     counts = squeeze(np.array(ones, "<i8").tobytes())
     sections.insert(2, counts)
     header = json.dumps(
@@ -208,8 +210,8 @@ class WaveletMatrix:
             packed = np.concatenate([self._block(plane, b) for b in range(self._blocks)])
             bits = np.unpackbits(packed, bitorder="little", count=self.tokens).astype(bool)
             earlier = np.empty_like(found)
-            earlier[~bits] = found[: self.zeros[plane]]
-            earlier[bits] = found[self.zeros[plane] :] | found.dtype.type(1 << level)
+            earlier[np.flatnonzero(~bits)] = found[: self.zeros[plane]]
+            earlier[np.flatnonzero(bits)] = found[self.zeros[plane] :] | found.dtype.type(1 << level)
             found = earlier
         return found
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laserfold.params import SITE, GridParams
-from laserfold.runtime import store
+from laserfold.runtime import lookup_join, store
 
 XYZ = ("x", "y", "z")
 VOXEL = ("vx", "vy", "vz")
@@ -27,6 +27,63 @@ def voxel_downsample(
     )
 
 
+BUCKET = 64
+
+
+def _buckets(at, size: int) -> list:
+    """Numbers of points in boxes of at most `size`, by halving along the longest side."""
+    import numpy as np
+
+    done, waiting = [], [np.arange(len(at))]
+    while waiting:
+        own = waiting.pop()
+        if len(own) <= size:
+            done.append(np.sort(own))
+            continue
+        axis = int(np.ptp(at[own], axis=0).argmax())
+        middle = len(own) // 2
+        own = own[np.argpartition(at[own, axis], middle)]
+        waiting += [own[:middle], own[middle:]]
+    return done
+
+
+def farthest(at, wanted: int):
+    """Numbers of `wanted` points, each the farthest from those before; starts at the first.
+
+    Points lie in boxes with the largest gap of their points. A new pick can only shrink
+    gaps in boxes that it is nearer to than that, so most boxes are passed over. The
+    lowest number wins ties, and the picks are those of a scan over all points."""
+    import numpy as np
+
+    n = len(at)
+    if n <= wanted:
+        return np.arange(n)
+    boxes = _buckets(at, BUCKET)
+    # Short boxes are filled with their last point, which never comes before the original.
+    numbers = np.stack([np.pad(own, (0, BUCKET - len(own)), mode="edge") for own in boxes])
+    x, y, z = (at[numbers, i] for i in range(3))
+    low, high = np.stack([c.min(1) for c in (x, y, z)]), np.stack([c.max(1) for c in (x, y, z)])
+    gaps = np.full(numbers.shape, np.inf)
+    widest = np.full(len(boxes), np.inf)
+    chosen = np.zeros(wanted, np.int64)
+    for i in range(1, wanted):
+        p = at[chosen[i - 1]]
+        outside = np.maximum(np.maximum(low - p[:, None], p[:, None] - high), 0.0)
+        near = np.flatnonzero((outside * outside).sum(0) < widest)
+        dx, dy, dz = x[near] - p[0], y[near] - p[1], z[near] - p[2]
+        own = np.minimum(gaps[near], dx * dx + dy * dy + dz * dz)
+        gaps[near] = own
+        widest[near] = own.max(1)
+        top = np.flatnonzero(widest == widest.max())
+        chosen[i] = numbers[top, gaps[top].argmax(1)].min()
+    return chosen
+
+
+def _sampled(pdf, wanted: int):
+    ordered = pdf.sort_values(list(VOXEL), ignore_index=True)
+    return ordered.iloc[farthest(ordered[list(XYZ)].to_numpy("float64"), wanted)]
+
+
 def farthest_points(
     voxels: DataFrame, params: GridParams = GridParams(), scope: Sequence[str] = SITE
 ) -> DataFrame:
@@ -44,19 +101,8 @@ def farthest_points(
     def pick(pdf):
         import numpy as np
 
-        pdf = pdf.sort_values(list(VOXEL), ignore_index=True)
-        n = len(pdf)
-        if n > wanted:
-            at = np.ascontiguousarray(pdf[list(XYZ)].to_numpy("float64").T)
-            gap, reach, diff = np.full(n, np.inf), np.empty(n), np.empty_like(at)
-            chosen = np.zeros(wanted, dtype="int64")
-            for i in range(1, wanted):
-                np.subtract(at, at[:, chosen[i - 1], None], out=diff)
-                np.einsum("ij,ij->j", diff, diff, out=reach)
-                np.minimum(gap, reach, out=gap)
-                chosen[i] = gap.argmax()
-            pdf = pdf.iloc[chosen]
-        return pdf.assign(seq=np.arange(len(pdf), dtype="int32"))[out]
+        chosen = _sampled(pdf, wanted)
+        return chosen.assign(seq=np.arange(len(chosen), dtype="int32"))[out]
 
     return voxels.groupBy(*scope, "tileId").applyInPandas(pick, schema)
 
@@ -64,47 +110,48 @@ def farthest_points(
 def normalize(points: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Centre the points of every key and scale them into the unit ball.
 
-    A group whose points coincide gets zero vectors. The points are stored first,
-    since they are read three times: for the centre, the reach and the result."""
+    A group whose points coincide gets zero vectors. The points are stored once and then
+    do not move: the centre and the reach of a key are partial aggregates, and come back
+    by counted lookups."""
     keys = list(keys)
     points = store(points, "points-to-normalize").df
-    centre = points.groupBy(*keys).agg(*(F.avg(a).alias(f"_c{a}") for a in XYZ))
-    moved = points.join(centre, keys).withColumns({a: F.col(a) - F.col(f"_c{a}") for a in XYZ})
+    centre = store(points.groupBy(*keys).agg(*(F.avg(a).alias(f"_c{a}") for a in XYZ)), "centres")
+    moved = lookup_join(points, centre, keys, "inner", spread=XYZ).withColumns(
+        {a: F.col(a) - F.col(f"_c{a}") for a in XYZ}
+    )
     moved = moved.drop(*(f"_c{a}" for a in XYZ))
     length = F.sqrt(sum(F.col(a) * F.col(a) for a in XYZ))
-    reach = moved.groupBy(*keys).agg(F.max(length).alias("_r"))
+    reach = store(moved.groupBy(*keys).agg(F.max(length).alias("_r")), "reaches")
     unit = {a: F.when(F.col("_r") > 0, F.col(a) / F.col("_r")).otherwise(F.lit(0.0)) for a in XYZ}
-    return moved.join(reach, keys).withColumns(unit).drop("_r")
+    return lookup_join(moved, reach, keys, "inner", spread=XYZ).withColumns(unit).drop("_r")
 
 
-def tensors(
-    tiled: DataFrame, params: GridParams = GridParams(), scope: Sequence[str] = SITE
+def voxel_tensors(
+    voxels: DataFrame, params: GridParams = GridParams(), scope: Sequence[str] = SITE
 ) -> DataFrame:
-    """One centred and scaled `array<array<float>>` per tile, ready for training.
+    """One centred and scaled `array<array<float>>` per tile, in the order of selection.
 
-    A tile's sample is bounded, so it is gathered in one row, in the order of selection,
-    and centred and scaled there; sampling runs once and nothing is joined."""
+    Sampling, centring and scaling happen in the task that holds the tile's voxels."""
+    wanted = params.sample_points
     keys = [*scope, "tileId"]
-    sample = farthest_points(voxel_downsample(tiled, params, scope), params, scope)
-    gathered = sample.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("seq", *XYZ))).alias("rows")
-    )
+    schema = ", ".join([*(f"{c} string" for c in keys), "tensor array<array<float>>"])
 
-    def mean(axis: str) -> Column:
-        total = F.aggregate("rows", F.lit(0.0), lambda sum_, row: sum_ + row[axis])
-        return total / F.size("rows")
+    def make(pdf):
+        import numpy as np
+        import pandas as pd
 
-    def length(p: Column) -> Column:
-        return F.sqrt(p[0] * p[0] + p[1] * p[1] + p[2] * p[2])
+        at = _sampled(pdf, wanted)[list(XYZ)].to_numpy("float64")
+        at = at - at.mean(axis=0)
+        reach = np.sqrt((at * at).sum(axis=1)).max()
+        unit = at / reach if reach > 0 else np.zeros_like(at)
+        first = {k: [pdf[k].iloc[0]] for k in keys}
+        return pd.DataFrame(first | {"tensor": [list(unit.astype("float32"))]})
 
-    centred = gathered.withColumns({f"c{a}": mean(a) for a in XYZ}).withColumn(
-        "moved",
-        F.transform("rows", lambda row: F.array(*(row[a] - F.col(f"c{a}") for a in XYZ))),
-    )
-    reached = centred.withColumn("reach", F.array_max(F.transform("moved", length)))
+    return voxels.groupBy(*keys).applyInPandas(make, schema)
 
-    def scaled(value: Column) -> Column:
-        return F.when(F.col("reach") > 0, value / F.col("reach")).otherwise(0.0).cast("float")
 
-    unit = F.transform("moved", lambda p: F.transform(p, scaled))
-    return reached.select(*keys, unit.alias("tensor"))
+def tensors(
+    tiled: DataFrame, params: GridParams = GridParams(), scope: Sequence[str] = SITE
+) -> DataFrame:
+    """Training tensors of tiled points: voxel means, then `voxel_tensors`."""
+    return voxel_tensors(voxel_downsample(tiled, params, scope), params, scope)

@@ -52,3 +52,25 @@ def test_one_voxel_gives_a_zero_vector(make_points):
 def test_voxels_of_two_sites_stay_apart(make_points):
     both = make_points([(1, 1, 1, 2)]).unionByName(make_points([(1, 1, 1, 2)], site="t"))
     assert sampling.voxel_downsample(tiling.assign_tiles(both, P, SITE), P).count() == 2
+
+
+@pytest.mark.parametrize(("n", "grid"), [(3000, None), (3000, 9), (130, 3), (64, None), (65, 1)])
+def test_boxes_pick_as_a_scan_does(n, grid):
+    """2048 picks and more points, on a lattice too, where most gaps are equal."""
+    rng = np.random.default_rng(n)
+    at = rng.uniform(0, 25, (n, 3)) if grid is None else rng.integers(0, grid, (n, 3)).astype(float)
+    wanted = min(2048, n - 1)
+    gaps, want = np.full(n, np.inf), [0]
+    while len(want) < wanted:
+        d = at - at[want[-1]]
+        gaps = np.minimum(gaps, d[:, 0] * d[:, 0] + d[:, 1] * d[:, 1] + d[:, 2] * d[:, 2])
+        want.append(int(gaps.argmax()))
+    assert sampling.farthest(at, wanted).tolist() == want
+
+
+def test_tensor_is_the_normalized_sample(make_points):
+    voxels = sampling.voxel_downsample(tiling.assign_tiles(make_points(cloud(150)), P), P)
+    sample = sampling.farthest_points(voxels, P)
+    unit = sampling.normalize(sample, ["siteId", "tileId"]).orderBy("seq").collect()
+    tensor = sampling.voxel_tensors(voxels.repartition(3), P).first()["tensor"]
+    assert np.allclose(tensor, [(r.x, r.y, r.z) for r in unit], atol=1e-6)

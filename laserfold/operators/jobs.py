@@ -69,7 +69,7 @@ def complete_uploads(uploads: DataFrame, completions: DataFrame) -> DataFrame:
     )
 
 
-def _states_of(rank: int) -> tuple[str, ...]:
+def states_of_rank(rank: int) -> tuple[str, ...]:
     """Names of the states of a rank; both end states share the last one."""
     last = len(JOB_STATES) - 1
     return JOB_STATES[last - 1 :] if rank == last else (JOB_STATES[rank - 1],)
@@ -91,13 +91,13 @@ def fold_states(events: DataFrame) -> DataFrame:
         F.col("eventStatus").alias("status"),
     )
     first_hit = F.min(F.struct("at", "status")).alias("e")
-    rungs = [store(steps.where(F.col("status").isin(*_states_of(1))).groupBy("jobId").agg(first_hit), "rung-1")]
+    rungs = [store(steps.where(F.col("status").isin(*states_of_rank(1))).groupBy("jobId").agg(first_hit), "rung-1")]
     last = len(JOB_STATES) - 1
     for rank in range(2, last + 1):
         below = rungs[-1]
         since = replace(below, df=below.df.select("jobId", F.col("e.at").alias("since")))
         later = lookup_join(
-            steps.where(F.col("status").isin(*_states_of(rank))), since, ["jobId"], "inner", spread=("at",)
+            steps.where(F.col("status").isin(*states_of_rank(rank))), since, ["jobId"], "inner", spread=("at",)
         ).where(F.col("at") > F.col("since"))
         rung = later.groupBy("jobId").agg(first_hit)
         if rank < last:

@@ -1,8 +1,9 @@
 """Job events as a stream: first creates and the guarded state fold.
 
-Both give the result of their batch forms whatever the order of arrival. Each
-micro-batch is merged into a table in versions (one folder per batch), so a retried
-batch overwrites only its own version.
+Both give the result of their batch forms whatever the order of arrival. First creates
+are merged into a table in versions; job states are kept per job in the stream's state
+store, so the work of a batch is that of its own events and jobs. A retried batch
+overwrites only its own folder.
 """
 
 from __future__ import annotations
@@ -11,14 +12,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from laserfold import schemas
-from laserfold.operators.jobs import ORDER, fold_states
+from laserfold.operators.jobs import ORDER, STATE_NAMES, states_of_rank
 from laserfold.params import JOB_STATES
 
+UNKNOWN = STATE_NAMES[0]
+
 CREATES = "idempotencyKey string, first struct<ts: timestamp, event_id: bigint, jobId: string, siteId: string>"
 
+CREATED = "idempotencyKey string, jobId string, siteId string, createdAt timestamp"
+
 
 def arriving_events(
     spark: SparkSession, folder: str, files_per_trigger: int | None = None
@@ -71,54 +76,143 @@ def merge_first_creates(path: str) -> Callable[[DataFrame, int], None]:
 
 def current_creates(spark: SparkSession, path: str) -> DataFrame:
     """First creates so far, with the columns of the batch form."""
-    table = spark.read.schema(CREATES).parquet(_version(path, _numbers(spark, path)[-1]))
+    numbers = _numbers(spark, path)
+    if not numbers:
+        return spark.createDataFrame([], CREATED)
+    table = spark.read.schema(CREATES).parquet(_version(path, numbers[-1]))
     return table.select(
         "idempotencyKey", "first.jobId", "first.siteId", F.col("first.ts").alias("createdAt")
     )
 
 
-def fold_arrivals(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink that keeps the state of every job, equal to the batch fold of all events.
+STATE_ROWS = "rank int, dated boolean, at bigint, numbered boolean, number bigint, status string"
+STATES = "jobId string, siteId string, status string, updatedAt timestamp"
+# Fixed value: the state store that processors with list state need.
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_RANKS = {status: rank for rank in range(1, len(JOB_STATES)) for status in states_of_rank(rank)}
+
+
+class JobLadder(StatefulProcessor):
+    """What a job's state can still depend on, kept per job.
+
+    The state is a chain of minima: the first CREATED, the first QUEUED after it, and so
+    on. Late events only move a minimum to an earlier time, so of each rank the events
+    after the chosen one are let go; what stays are the chosen ones and those before
+    them. With `forget_after_ms` a job without events for that long is let go as a whole."""
+
+    def __init__(self, forget_after_ms: int | None = None):
+        self.forget_after_ms = forget_after_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.kept = handle.getListState("kept", STATE_ROWS, ttlDurationMs=self.forget_after_ms)
+        self.site = handle.getValueState("site", "siteId string", ttlDurationMs=self.forget_after_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        import pandas as pd
+
+        kept, chain = _pruned(set(map(tuple, self.kept.get())))
+        site = self.site.get()
+        sites = [site[0]] if site else []
+        for arrived in rows:  # in chunks, so that a job with very many events is not held
+            sites = sorted({*sites, *arrived["siteId"].dropna()})[:1]
+            arrived = arrived[arrived["rank"] > 0]
+            new = zip(*(arrived[c.split()[0]].tolist() for c in STATE_ROWS.split(", ")), strict=True)
+            kept, chain = _pruned({*kept, *new})
+        self.kept.put(kept)
+        if sites:
+            self.site.update((sites[0],))
+        top = chain[-1] if chain else (0, False, 0, False, 0, None)
+        yield pd.DataFrame(
+            {
+                "jobId": [key[0]],
+                "siteId": sites or [None],
+                "status": [top[5] or UNKNOWN],
+                "micros": pd.array([top[2] if top[1] else None], "Int64"),
+            }
+        )
 
-    An event may arrive after later ones, so the events themselves are the state: a
-    batch's narrow events are kept, and the jobs that it touches are folded anew from
-    theirs. Other jobs are neither read into a shuffle nor written."""
-    kept, folded = f"{path}/events", f"{path}/states"
+    def close(self) -> None:
+        pass
+
+
+def _pruned(rows: set[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """Rows that a later chain can need, and the chain of first hits, rank by rank."""
+    kept, chain, open_rank = [], [], True
+    for rank in range(1, len(JOB_STATES)):
+        own = sorted(r for r in rows if r[0] == rank)
+        hit = next((r for r in own if not chain or r[1:5] > chain[-1][1:5]), None) if open_rank else None
+        if hit is None:
+            open_rank = False
+            kept += own
+        else:
+            chain.append(hit)
+            kept += [r for r in own if r <= hit]
+    return kept, chain
+
+
+def fold_stream(events: DataFrame, forget_after_ms: int | None = None) -> DataFrame:
+    """Changing states of the jobs that each batch touches, by keyed state: STATES."""
+    rank = F.coalesce(
+        F.create_map(*(F.lit(x) for pair in _RANKS.items() for x in pair))[F.col("eventStatus")], F.lit(0)
+    )
+    narrow = events.where(F.col("jobId").isNotNull()).select(
+        "jobId",
+        "siteId",
+        rank.alias("rank"),
+        F.col("ts").isNotNull().alias("dated"),
+        F.coalesce(F.unix_micros("ts"), F.lit(0)).alias("at"),
+        F.col("event_id").isNotNull().alias("numbered"),
+        F.coalesce("event_id", F.lit(0)).alias("number"),
+        F.coalesce("eventStatus", F.lit("")).alias("status"),
+    )
+    found = narrow.groupBy("jobId").transformWithStateInPandas(
+        JobLadder(forget_after_ms),
+        "jobId string, siteId string, status string, micros bigint",
+        "Update",
+        "ProcessingTime" if forget_after_ms else "None",
+    )
+    return found.select("jobId", "siteId", "status", F.timestamp_micros("micros").alias("updatedAt"))
 
-    def merge(events: DataFrame, batch: int) -> None:
-        spark = events.sparkSession
-        events.select("jobId", "siteId", *ORDER, "eventStatus").write.mode("overwrite").parquet(
-            _version(kept, batch)
-        )
-        numbers = [n for n in _numbers(spark, kept) if n <= batch]
-        history = spark.read.parquet(*(_version(kept, n) for n in numbers))
-        touched = spark.read.parquet(_version(kept, batch)).select("jobId").distinct()
-        states = fold_states(history.join(touched, "jobId", "left_semi"))
-        states.write.mode("overwrite").parquet(_version(folded, batch))
 
-    return merge
+def write_states(path: str) -> Callable[[DataFrame, int], None]:
+    """Sink for `fold_stream`: a folder per batch, so a batch that is tried again replaces its own."""
+
+    def write(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(_version(path, batch))
+
+    return write
+
+
+def run_states(stream: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
+    """Fold all available events of a stream into the states at `path`, then stop."""
+    conf = stream.sparkSession.conf
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(name, None)
+    conf.set(name, STORE)
+    try:
+        return run_available(fold_stream(stream, **options), write_states(path), checkpoint, "update")
+    finally:
+        conf.set(name, before) if before else conf.unset(name)
 
 
 def current_states(spark: SparkSession, path: str) -> DataFrame:
-    """Latest state of every job."""
-    folded = f"{path}/states"
-    numbers = _numbers(spark, folded)
-    versions = [
-        spark.read.parquet(_version(folded, n)).withColumn("batch", F.lit(n)) for n in numbers
-    ]
-    log = versions[0]
-    for version in versions[1:]:
-        log = log.unionByName(version)
-    newest = F.max_by(F.struct("siteId", "status", "updatedAt"), "batch").alias("s")
+    """Latest state of every job: one scan of the batches' folders."""
+    folders = [_version(path, n) for n in _numbers(spark, path)]
+    if not folders:
+        return spark.createDataFrame([], STATES)
+    log = spark.read.schema(STATES).parquet(*folders)
+    batch = F.regexp_extract(F.col("_metadata.file_path"), r"/version-(\d+)/", 1).cast("bigint")
+    newest = F.max_by(F.struct("siteId", "status", "updatedAt"), batch).alias("s")
     return log.groupBy("jobId").agg(newest).select("jobId", "s.*")
 
 
 def run_available(
-    stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str
+    stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
 ) -> StreamingQuery:
     """Send all available micro-batches to `sink`, then stop."""
     return (
         stream.writeStream.foreachBatch(sink)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -278,15 +278,20 @@ CELL_BOXES = {
 }
 
 FOLD = f"""
-SELECT jobId, min(siteId) AS siteId,
+SELECT jobId, siteId,
   list_extract(['NONE', 'CREATED', 'QUEUED', 'DBX_TRIGGERED', 'PROCESSING', 'SUCCEEDED', 'FAILED'],
-    CAST(list_reduce(list_prepend(0, list(code ORDER BY ts, event_id)),
-      lambda s, c: CASE WHEN (s < 4 AND c = s + 1) OR (s = 4 AND c >= 5) THEN c ELSE s END) + 1 AS BIGINT)
-  ) AS status
-FROM (SELECT *, CASE eventStatus WHEN 'CREATED' THEN 1 WHEN 'QUEUED' THEN 2 WHEN 'DBX_TRIGGERED' THEN 3
-        WHEN 'PROCESSING' THEN 4 WHEN 'SUCCEEDED' THEN 5 ELSE 6 END AS code
-      FROM {inputs.in_sql(inputs.EVENTS)})
-GROUP BY jobId"""
+    CAST(e.code + 1 AS BIGINT)) AS status,
+  {second('e.ts')} AS updatedAt
+FROM (
+  SELECT jobId, min(siteId) AS siteId,
+    list_reduce(list_prepend({{'code': 0, 'ts': CAST(NULL AS TIMESTAMP)}},
+        list({{'code': code, 'ts': CAST(ts AS TIMESTAMP)}} ORDER BY ts, event_id)),
+      lambda s, c: CASE WHEN (s.code < 4 AND c.code = s.code + 1) OR (s.code = 4 AND c.code >= 5)
+        THEN c ELSE s END) AS e
+  FROM (SELECT *, CASE eventStatus WHEN 'CREATED' THEN 1 WHEN 'QUEUED' THEN 2 WHEN 'DBX_TRIGGERED' THEN 3
+          WHEN 'PROCESSING' THEN 4 WHEN 'SUCCEEDED' THEN 5 ELSE 6 END AS code
+        FROM {inputs.in_sql(inputs.EVENTS)})
+  GROUP BY jobId)"""
 
 CREATES = f"""
 SELECT idempotencyKey, jobId, siteId, ts FROM (

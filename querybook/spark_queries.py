@@ -886,9 +886,13 @@ def upload_complete(spark, sf):
     )
 
 
+def to_second(states):
+    return states.withColumn("updatedAt", F.date_format("updatedAt", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query("job_state_fold")
 def job_state_fold(spark, sf):
-    return jobs.fold_states(events(spark, sf)).drop("updatedAt")
+    return to_second(jobs.fold_states(events(spark, sf)))
 
 
 @query("job_last_event")
@@ -932,25 +936,27 @@ def text_truncate(spark, sf):
     )
 
 
-def arriving(spark, sf, sink):
-    """Send all events through a sink, in shuffled order and several micro-batches."""
+def arriving(spark, sf):
+    """A stream of all events, in shuffled order and several micro-batches."""
     folder = scratch_path(spark, "events")
     mixed = events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
     mixed.repartition(3, F.xxhash64("event_id")).write.parquet(folder)
-    stream = job_state.arriving_events(spark, folder, files_per_trigger=1)
-    job_state.run_available(stream, sink, scratch_path(spark, "progress")).awaitTermination()
+    return job_state.arriving_events(spark, folder, files_per_trigger=1)
 
 
 @query("stream_job_state")
 def stream_job_state(spark, sf):
     states = scratch_path(spark, "states")
-    arriving(spark, sf, job_state.fold_arrivals(states))
-    return job_state.current_states(spark, states).drop("updatedAt")
+    progress = scratch_path(spark, "progress")
+    job_state.run_states(arriving(spark, sf), states, progress).awaitTermination()
+    return to_second(job_state.current_states(spark, states))
 
 
 @query("stream_first_create")
 def stream_first_create(spark, sf):
     out = scratch_path(spark, "created")
-    arriving(spark, sf, job_state.merge_first_creates(out))
+    progress = scratch_path(spark, "progress")
+    sink = job_state.merge_first_creates(out)
+    job_state.run_available(arriving(spark, sf), sink, progress).awaitTermination()
     created = job_state.current_creates(spark, out)
     return created.withColumn("createdAt", F.date_format("createdAt", "yyyy-MM-dd HH:mm:ss"))

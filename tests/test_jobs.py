@@ -63,14 +63,15 @@ def test_stream_of_several_batches_equals_batch(spark, tmp_path):
     for part in range(3):
         chunk = rows[part * 200 : (part + 1) * 200]
         spark.createDataFrame(chunk, EVENT_DDL).coalesce(1).write.mode("append").parquet(folder)
-        for sink, at in (
-            (job_state.fold_arrivals(out), progress),
-            (job_state.merge_first_creates(created), progress2),
-        ):
-            stream = job_state.arriving_events(spark, folder, 1)
-            job_state.run_available(stream, sink, at).awaitTermination()
+        stream = job_state.arriving_events(spark, folder, 1)
+        job_state.run_states(stream, out, progress).awaitTermination()
+        sink = job_state.merge_first_creates(created)
+        job_state.run_available(stream, sink, progress2).awaitTermination()
     assert states(job_state.current_states(spark, out)) == brute_fold(rows)
     events = spark.createDataFrame(rows, EVENT_DDL)
+    assert sorted(map(str, job_state.current_states(spark, out).collect())) == sorted(
+        map(str, jobs.fold_states(events).collect())
+    )
     want = sorted(map(str, jobs.first_creates(events).collect()))
     assert sorted(map(str, job_state.current_creates(spark, created).collect())) == want
     # A batch that is tried again changes nothing.
@@ -163,3 +164,20 @@ def test_shared_folder_must_be_set_on_a_cluster(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         runtime.shared_root(Fake())
     assert runtime.shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_ladder_forgets_only_what_cannot_matter(seed):
+    """Events in any order, pruned after each arrival, give the chain of all events."""
+    draw = random.Random(seed)
+    rows = [(draw.randint(1, 5), True, draw.randint(0, 9), True, i, "s") for i in range(30)]
+    kept = []
+    for row in rows:
+        kept, chain = job_state._pruned({*kept, row})
+    whole, want = job_state._pruned(set(rows))
+    assert chain == want and sorted(kept) == sorted(whole) and len(kept) <= len(rows)
+
+
+def test_empty_streams_give_no_rows(spark, tmp_path):
+    assert job_state.current_states(spark, str(tmp_path / "none")).count() == 0
+    assert job_state.current_creates(spark, str(tmp_path / "none")).count() == 0

@@ -14,7 +14,7 @@ from laserfold.functions.events import (
     text_or_null,
 )
 from laserfold.params import JOB_STATES, RUN_FAILED_CODE
-from laserfold.runtime import lookup_join, salted_join, store
+from laserfold.runtime import counted_join, lookup_join, store
 
 ORDER = ("ts", "event_id")
 # States by rank: 0 nothing, 1..4 on the way, 5 succeeded, 6 failed.
@@ -153,12 +153,12 @@ def parse_payloads(events: DataFrame, column: str = "payload") -> DataFrame:
 def match_jobs(events: DataFrame, jobs: DataFrame) -> DataFrame:
     """Job of every event by run id, else by job id; `matchedBy` is null for neither.
 
-    `jobs` has unique `jobId` and unique non-null `jobRunId`. Both lookups are
-    salted by event, so one run with very many events is spread; events without a key
-    find nothing and are not shuffled."""
+    `jobs` has unique `jobId` and unique non-null `jobRunId`. In both lookups a run or
+    job with very many events is dealt to as many tasks as its count asks for; events
+    without a key find nothing and are not shuffled."""
 
     def look_up(rows: DataFrame, table: DataFrame, key: str, found: str) -> DataFrame:
-        keyed = salted_join(rows.where(F.col(key).isNotNull()), table, [key], "left", spread=("event_id",))
+        keyed = counted_join(rows.where(F.col(key).isNotNull()), table, [key], "left", spread=("event_id",))
         rest = rows.where(F.col(key).isNull()).withColumn(found, F.lit(None).cast("string"))
         return keyed.unionByName(rest)
 

@@ -6,12 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from laserfold.operators import features, surface, tile_stats, tiling
 from laserfold.operators.ingest import clean_points, runs_per_site
 from laserfold.params import SITE, GridParams
 from laserfold.runtime import store
-from laserfold.sources.tables import cluster, read_table, replace_snapshot
+from laserfold.sources import snapshots
+from laserfold.sources.tables import cluster, read_table, replace_partitions
 
 
 def tiled_points(
@@ -65,6 +67,7 @@ def publish(
     params: GridParams = GridParams(),
     on_empty: str = "raise",
     scope: Sequence[str] = SITE,
+    resolved: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Build and write every product of all sites in `points`, stage by stage.
 
@@ -77,7 +80,11 @@ def publish(
     A snapshot is all of a site, or with the longer scope of a site's ingest run, and
     replaces all that the tables held of it, also where the new one has no rows. With
     the short scope a site with several runs is refused before anything is written.
-    Every scope must have points, eligible tiles and (with `on_empty="raise"`) water."""
+    Every scope must have points, eligible tiles and (with `on_empty="raise"`) water.
+    All tables are written aside; only when every check has passed do the scopes' pointers
+    switch to this build, so a failed one leaves what was published. The build that a
+    scope showed before stays on disk for readers that are under way; older ones go.
+    With `resolved` (see `tuning.resolve`) each scope is tiled by its own parameters."""
     if on_empty not in ("raise", "empty"):
         raise ValueError("on_empty must be 'raise' or 'empty'")
     if tuple(scope) == SITE:
@@ -86,27 +93,24 @@ def publish(
             raise ValueError(
                 f"site {mixed['siteId']} has {mixed['runs']} ingest runs, expected one"
             )
-    out: dict[str, DataFrame] = {}
     scopes = {tuple(r) for r in points.select(*scope).distinct().toLocalIterator()}
     if not scopes and on_empty == "raise":
         raise RuntimeError("no points to process")
     at = F.lit(spark.sql("SELECT current_timestamp()").first()[0])
+    build, before = snapshots.new_build(), snapshots.current(spark, root)
+    schemas: dict[str, StructType] = {}
 
     def save(name: str, df: DataFrame, clustered: bool = True, spread: Sequence[str] = ()) -> DataFrame:
         df = df.withColumn("computedAt", at)
         df = cluster(df, scope, spread) if clustered else store(df, name).df
-        path = f"{root}/{name}"
-        replace_snapshot(df, path, sorted(scopes, key=str), scope, ordered=clustered)
-        out[name] = read_table(spark, path, df.schema)
-        return _of(out[name])
-
-    def _of(table: DataFrame) -> DataFrame:
-        """The rows of this build; the table may hold other sites."""
-        return table.where(F.col("computedAt") == at).drop("computedAt")
+        path = snapshots.build_path(root, name, build)
+        replace_partitions(df, path, scope, ordered=clustered)
+        schemas[name] = df.schema
+        return read_table(spark, path, df.schema).drop("computedAt")
 
     tiled = save(
         "points_tiled",
-        tiling.stamp_snapshot(tiled_points(points, params, scope)),
+        tiling.stamp_snapshot(tiled_points(points, params, scope, resolved)),
         spread=("x", "y", "z"),
     )
     _guard(tiled, scopes, scope, "no points to process", on_empty)
@@ -124,7 +128,9 @@ def publish(
         "building_candidates", features.building_candidates(patches, params, scope), clustered=False
     )
     wet = features.water_cells(cells, params, scope)
-    bodies = features.water_bodies(features.label_water(wet, scope), scope)
-    save("water_bodies", bodies, clustered=False)
     _guard(wet, scopes, scope, f"no water cell at ratio {params.water_cell_ratio}", on_empty)
-    return out
+    save("water_bodies", features.water_bodies(features.label_water(wet, scope), scope), clustered=False)
+    snapshots.switch(spark, root, sorted(scopes, key=str), build)
+    snapshots.drop_builds(spark, root, schemas, before.values())
+    shown = snapshots.current(spark, root)
+    return {n: snapshots.open_table(spark, root, n, s, scope, shown) for n, s in schemas.items()}

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 # A broadcast side may hold at most this many narrow rows (a few MB per executor).
 BROADCAST_ROWS = 100_000
 JOIN_SALTS = 8
+# Rows of one key that a task may take; keys with more are dealt to as many tasks as needed.
+TASK_ROWS = 1_000_000
 
 _local_root: str | None = None
 
@@ -108,15 +110,49 @@ def salted_join(
     )
 
 
+def hot_keys(df: DataFrame, on: Sequence[str], task_rows: int | None = None) -> Stored:
+    """Keys with more than `task_rows` rows, with the number of tasks for each: on, salts.
+
+    Counts are combined before they are shuffled. There are at most rows / task_rows hot
+    keys, so the table is small however many keys there are."""
+    bound = task_rows or TASK_ROWS
+    n = F.count(F.lit(1))
+    counted = df.groupBy(*on).agg(F.ceil(n / bound).cast("int").alias("salts")).where("salts > 1")
+    return store(counted, "hot-keys")
+
+
+def counted_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str,
+    spread: Sequence[str],
+    task_rows: int | None = None,
+) -> DataFrame:
+    """Equi join in which a key is dealt to tasks in proportion to its rows on the left.
+
+    The right side must be unique per key. Only its rows of hot keys are repeated, once
+    per task of their key; all other keys are joined as they are. Null keys find nothing."""
+    hot = hot_keys(left.select(*on), on, task_rows)
+    if hot.rows == 0:
+        return left.join(right, list(on), how)
+    few = F.broadcast(hot.df) if hot.broadcastable else hot.df
+    own = F.when(F.col("salts").isNotNull(), F.pmod(F.hash(*spread), "salts")).otherwise(0)
+    salted = left.join(few, list(on), "left").withColumn("_salt", own).drop("salts")
+    numbers = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
+    repeated = right.join(few, list(on), "left").withColumn("_salt", F.explode(numbers)).drop("salts")
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
 def lookup_join(
     left: DataFrame, right: Stored, on: Sequence[str], how: str, spread: Sequence[str]
 ) -> DataFrame:
     """Join many rows with a stored table that is unique per key.
 
-    Broadcast when the observed row count is inside the bound, else salted."""
+    Broadcast when the observed row count is inside the bound, else by counted salts."""
     if right.broadcastable:
         return left.join(F.broadcast(right.df), list(on), how)
-    return salted_join(left, right.df, on, how, spread)
+    return counted_join(left, right.df, on, how, spread)
 
 
 def require_rows(df: DataFrame, message: str, on_empty: str = "raise") -> DataFrame:

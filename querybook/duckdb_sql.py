@@ -566,6 +566,7 @@ def texts() -> dict[str, str]:
         "water_components": chain("SELECT * FROM labelled", "labelled"),
         "water_components8": chain("SELECT * FROM labelled", "labelled", diagonal=True),
         "water_bodies": chain("SELECT * FROM bodies", "bodies"),
+        "republished_water": chain("SELECT * FROM bodies WHERE siteId <> 'site_b'", "bodies"),
         "water_totals": chain(
             "SELECT siteId, ingestRunId, count(*) AS waterBodies, CAST(sum(cellCount) AS BIGINT) AS totalCells, "
             "sum(areaM2) AS totalAreaM2 FROM bodies GROUP BY siteId, ingestRunId",

@@ -630,6 +630,18 @@ def published_tables(spark, sf):
     return reduce(DataFrame.unionByName, counted)
 
 
+@query("republished_water")
+def republished_water(spark, sf):
+    """Water bodies after site_b was published again with its water gone: the others keep theirs."""
+    root, all_points = scratch_path(spark, "lake"), points(spark, sf)
+    products.publish(spark, all_points, root, GRID, "empty", SITE_RUN)
+    dry = all_points.where("siteId = 'site_b'").withColumn(
+        "classification", F.when(F.col("classification") == 9, 2).otherwise(F.col("classification"))
+    )
+    written = products.publish(spark, dry, root, GRID, "empty", SITE_RUN)
+    return rounded(written["water_bodies"].drop("computedAt"), "meanZ")
+
+
 # ---- sampling ---------------------------------------------------------------
 
 

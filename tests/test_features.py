@@ -8,6 +8,7 @@ from laserfold import runtime
 from laserfold.operators import components, features, surface, tiling
 from laserfold.params import SITE, GridParams
 from laserfold.plans import products, serving
+from laserfold.sources import snapshots
 
 P = GridParams(min_tile_points=1, min_points_used=1)
 
@@ -151,3 +152,43 @@ def test_publish_reports_what_is_missing(spark, make_points, tmp_path):
         spark, make_points(block(0.0)), str(tmp_path / "y"), GridParams(), on_empty="empty"
     )
     assert out["tile_stats"].count() == 1
+
+
+def test_failed_build_leaves_what_was_published(spark, make_points, tmp_path):
+    """A site with a lake that is published again dry fails its guard; the lake stays readable."""
+    root = str(tmp_path / "lake")
+    lake = [(15 + x / 8, 15 + y / 8, 0.0, 9) for x in range(32) for y in range(32)]
+    out = products.publish(spark, make_points(block(5.0) + lake), root, P)
+    want = {n: sorted(map(str, df.collect())) for n, df in out.items()}
+    with pytest.raises(RuntimeError, match="no water cell"):
+        products.publish(spark, make_points(block(0.0)), root, P)
+    schemas = {n: df.schema for n, df in out.items()}
+    still = {n: snapshots.open_table(spark, root, n, s, ("siteId",)) for n, s in schemas.items()}
+    assert {n: sorted(map(str, df.collect())) for n, df in still.items()} == want
+    assert len(want["water_bodies"]) == 1
+    # Without the guard the same points switch all tables at once, and failed builds go.
+    later = products.publish(spark, make_points(block(0.0)), root, P, on_empty="empty")
+    assert later["water_bodies"].count() == 0 and later["points_tiled"].count() == 2500
+    assert len(list((tmp_path / "lake" / "tile_stats").iterdir())) == 2
+    # Readers that opened the tables before still read the former build.
+    assert {n: sorted(map(str, df.collect())) for n, df in still.items()} == want
+
+
+def test_publish_takes_each_scope_by_its_own_parameters(spark, make_points, tmp_path):
+    points = make_points(block(5.0)).unionByName(make_points(block(5.0), site="t"))
+    own = spark.createDataFrame(
+        [("s", 25.0, 10**9, 4, False), ("t", 50.0, 10**9, 4, False)],
+        "siteId string, tileSizeM double, hotTileThreshold bigint, saltBuckets bigint, enableSalt boolean",
+    )
+    out = products.publish(spark, points, str(tmp_path / "own"), P, "empty", resolved=own)
+    sizes = out["points_tiled"].select("siteId", "tileSizeM").distinct().collect()
+    assert sorted(map(tuple, sizes)) == [("s", 25.0), ("t", 50.0)]
+
+
+def test_pointers_of_scopes_with_odd_names(spark, tmp_path):
+    root = str(tmp_path)
+    scopes = [(None, "r"), ("a/b\u2028", "r"), ("a", None)]
+    snapshots.switch(spark, root, scopes, "one")
+    snapshots.switch(spark, root, scopes[:1], "two")
+    assert snapshots.current(spark, root) == {scopes[0]: "two", scopes[1]: "one", scopes[2]: "one"}
+    assert snapshots.current(spark, f"{root}/none") == {}

@@ -5,8 +5,9 @@ encodes alone as a single token. A pre-token in that table counts one without be
 merged; only the rest is merged. The table is bounded by the vocabulary and travels as
 a broadcast. The counting is one pass over the texts: no shuffle.
 
-Results: a null or empty text has no bytes and no tokens; a null limit comparison does
-not occur; repeated rows give repeated results; other columns are ignored.
+Results: a null or empty text has no bytes and no tokens and is within every limit; a
+count equal to the limit is not over it; very long texts are counted whole; repeated rows
+give repeated results; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

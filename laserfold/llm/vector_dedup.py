@@ -1,8 +1,10 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products.
 
 1. Vectors equal in every component become one class, so copies are never compared.
-2. Spherical k-means is fitted to a bounded sample (`sample`) and gives every vector its
-   nearest centre as home cell. A vector also visits each lower-numbered cell that a
+2. Each dimension has cells of its own; vectors of different dimensions never meet. In a
+   dimension with more than `cell_rows` vectors, spherical k-means is fitted to its part
+   of a bounded sample (`sample`) and gives every vector its nearest centre as home cell;
+   a rarer dimension is one cell. A vector also visits each lower-numbered cell that a
    vector within the threshold of it can be at home in: if u is at home in i and v in j,
    v's products with both centres differ by at most |u - v| |c_i - c_j| (`reach`). So
    every pair within the threshold meets in the lower of the two homes, and only there:
@@ -17,8 +19,9 @@
 4. The stars are contracted to components.
 
 Results: one row per row of `vectors`. Vectors that are null, empty, zero, or hold a null
-or non-finite component, and those whose dimension is not the most common one, link with
-nothing: no links, their own vec_id as component, kept. Equal vectors link with each
+or non-finite component link with nothing: no links, their own vec_id as component, kept.
+Components keep the precision they come in (single or double), so finite doubles beyond
+single precision take part. Equal vectors link with each
 other. Null vec_ids rank behind all others; rows that repeat a vec_id and vector count as
 copies. Other columns (labels too) are ignored; an empty table gives no rows.
 """
@@ -30,12 +33,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laserfold.llm import stars
 from laserfold.llm.common import Batches, column, read_back
 from laserfold.llm.jaccard_join import local_stars
+from laserfold.runtime import lookup_join, store
 
 THRESHOLD = 0.9
 SAMPLE = 20_000
@@ -113,7 +118,7 @@ def near_pairs(x: np.ndarray, y: np.ndarray, threshold: float) -> Iterator[np.nd
                 yield np.stack([top + i[good], left + j[good]], 1)
 
 
-def _compare(width: int, threshold: float):
+def _compare(threshold: float):
     """Task for two blocks of a cell."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -121,7 +126,7 @@ def _compare(width: int, threshold: float):
         keys = table.column("key")
         docs = table.column("n_docs").to_numpy()
         side = table.column("side").to_numpy()
-        x = _matrix(table.column("vector"), width)
+        x = _matrix(table.column("vector"), table.column("size")[0].as_py())
         same = table.column("right")[0].as_py() == table.column("left")[0].as_py()
         a = np.flatnonzero(side == 0)
         b = a if same else np.flatnonzero(side == 1)
@@ -155,20 +160,23 @@ def _compare(width: int, threshold: float):
     return run
 
 
+def _kind(vectors: DataFrame, vec: str) -> str:
+    """Single precision where the column holds it, else double."""
+    given = dict(vectors.dtypes).get(vec)
+    return given if given == "array<float>" else "array<double>"
+
+
 def classes_of(vectors: DataFrame, vec: str) -> tuple[DataFrame, DataFrame]:
     """(vec_id, key) of all rows, key null where nothing links; and the distinct vectors."""
-    e = column(vectors, vec, "array<float>")
+    e = column(vectors, vec, _kind(vectors, vec))
     top = F.array_max(F.transform(e, lambda v: F.abs(v)))
     odd = F.exists(e, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     usable = e.isNotNull() & (F.size(e) > 0) & ~odd & (top > 0)
     rows = vectors.select(column(vectors, "vec_id", "bigint").alias("vec_id"), e.alias("vector"), usable.alias("usable"))
-    sizes = rows.where("usable").groupBy(F.size("vector").alias("size")).count()
-    common = sizes.orderBy(F.desc("count"), "size").first()
-    size = common["size"] if common else 0
     key = F.concat(
         F.hex(F.xxhash64("vector")), F.lit("-"), F.hex(F.xxhash64(F.lit(SEED), "vector"))
     )
-    keyed = rows.select("vec_id", "vector", F.when(F.col("usable") & (F.size("vector") == size), key).alias("key"))
+    keyed = rows.select("vec_id", "vector", F.when(F.col("usable"), key).alias("key"))
     distinct = (
         keyed.where("key is not null")
         .groupBy("key")
@@ -197,47 +205,63 @@ def link(
     distinct = read_back(distinct, "vector-classes")
     n = distinct.count()
     lot = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
+    size = F.size("vector").alias("size")
+    counts = distinct.groupBy(size).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > cell_rows)
+    # A row for each dimension with more than `cell_rows` vectors.
+    rows_of = {r["size"]: r["rows"] for r in counts.collect()}
     drawn = distinct if n <= sample else distinct.where(lot < int((1 << 30) * sample / n))
     # Bounded by `sample` vectors.
-    got = drawn.select("key", "vector").toArrow().sort_by("key")
-    width = len(got.column("vector")[0]) if got.num_rows else 1
-    fitted = spherical_kmeans(
-        _matrix(got.column("vector"), width), min(max_cells, max(1, math.ceil(n / cell_rows)))
-    ) if got.num_rows else np.ones((1, 1))
+    got = drawn.where(F.size("vector").isin(*rows_of)).select("key", size, "vector").toArrow().sort_by("key")
+    fitted = {}
+    for width, rows in rows_of.items():
+        part = got.filter(pc.equal(got.column("size"), width)).column("vector")
+        if len(part):
+            number = min(max_cells, math.ceil(rows / cell_rows))
+            fitted[width] = spherical_kmeans(_matrix(part, width), number)
     shared = vectors.sparkSession.sparkContext.broadcast(fitted)
 
     def assign(batches: Batches) -> Batches:
-        for batch in batches:
-            home, visits = reach(
-                _matrix(batch.column("vector"), width), shared.value, threshold, spread
-            )
-            row, cell = np.nonzero(visits)
-            ends = np.searchsorted(row, np.arange(len(home) + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in ("key", "n_docs", "vector")),
-                    pa.array(home, pa.int32()),
-                    pa.ListArray.from_arrays(ends, pa.array(cell, pa.int32())),
-                ],
-                names=["key", "n_docs", "vector", "home", "visits"],
-            )
+        for whole in batches:
+            widths = pc.list_value_length(whole.column("vector"))
+            for width in pc.unique(widths).to_pylist():
+                batch = whole.filter(pc.equal(widths, width))
+                if width in shared.value:
+                    x = _matrix(batch.column("vector"), width)
+                    home, visits = reach(x, shared.value[width], threshold, spread)
+                else:
+                    home, visits = np.zeros(batch.num_rows, np.int64), np.zeros((batch.num_rows, 0))
+                row, cell = np.nonzero(visits)
+                ends = np.searchsorted(row, np.arange(len(home) + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c) for c in ("key", "n_docs", "vector")),
+                        pa.array(np.full(len(home), width), pa.int32()),
+                        pa.array(home, pa.int32()),
+                        pa.ListArray.from_arrays(ends, pa.array(cell, pa.int32())),
+                    ],
+                    names=["key", "n_docs", "vector", "size", "home", "visits"],
+                )
 
+    kind = distinct.schema["vector"].dataType.simpleString()
     homes = read_back(
         distinct.select("key", "n_docs", "vector").mapInArrow(
-            assign, "key string, n_docs bigint, vector array<float>, home int, visits array<int>"
+            assign,
+            f"key string, n_docs bigint, vector {kind}, size int, home int, visits array<int>",
         ),
         "cells",
     )
     cells = F.explode(F.concat(F.array("home"), "visits")).alias("cell")
     at_home = F.col("home") == F.col("cell")
-    guests = max(block, GUEST_VALUES // width)
-    # At most `max_cells` rows.
-    sizes = homes.select("home", cells).groupBy("cell").agg(
+    guests = F.greatest(F.lit(block), F.floor(GUEST_VALUES / F.col("size")))
+    # At most `max_cells` rows for each dimension.
+    sizes = homes.select("size", "home", cells).groupBy("size", "cell").agg(
         F.ceil(F.count(F.when(at_home, 1)) / block).cast("int").alias("homes"),
         F.ceil(F.count(F.when(~at_home, 1)) / guests).cast("int").alias("guests"),
     )
-    in_cells = homes.select("key", "n_docs", "vector", "home", cells)
-    placed = in_cells.join(F.broadcast(sizes), "cell").where("homes > 0")
+    in_cells = homes.select("key", "n_docs", "vector", "size", "home", cells)
+    placed = lookup_join(
+        in_cells, store(sizes, "cell-sizes"), ["size", "cell"], "inner", spread=("key",)
+    ).where("homes > 0")
     own = F.pmod(F.xxhash64("key"), F.when(at_home, F.col("homes")).otherwise(F.col("guests"))).cast("int")
     placed = placed.withColumn("own", own)
     # Home blocks are 0..homes-1, guest blocks follow. A task compares left with right.
@@ -253,10 +277,10 @@ def link(
         F.coalesce(as_right, F.array().cast("array<int>")),
         lambda s: F.struct(s.alias("left"), place.alias("right"), F.lit(1).alias("side")),
     )
-    tasks = placed.select("cell", "key", "n_docs", "vector", F.inline(F.concat(lefts, rights)))
+    tasks = placed.select("size", "cell", "key", "n_docs", "vector", F.inline(F.concat(lefts, rights)))
     links = read_back(
-        tasks.groupBy("cell", "left", "right").applyInArrow(
-            _compare(width, threshold),
+        tasks.groupBy("size", "cell", "left", "right").applyInArrow(
+            _compare(threshold),
             "key string, near string, documents bigint",
         ),
         "vector-links",

@@ -184,6 +184,26 @@ def test_default_search_over_many_cells_is_exact(spark):
     assert {r.vec_id: r.component_id for r in got} == root
 
 
+def test_every_dimension_and_every_finite_double_links(spark):
+    draw = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in draw.normal(size=2 + i % 3)]) for i in range(240)]
+    rows += [(1000 + i, rows[5][1]) for i in range(2)]  # copies in a dimension
+    rows += [(2000, [1e300, 1.0]), (2001, [1e300, 1.0]), (2002, [5e299, -3.0]), (2003, [1e-310, 0.0])]
+    rows += [(3000, [1.0] * 9), (3001, [2.0] * 9), (3002, [1.0] * 8)]  # dimensions of few vectors
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = vector_dedup.link(table, cell_rows=30, block=16).collect()
+
+    def unit(v):
+        x = np.array(v) / max(map(abs, v))
+        return x / np.linalg.norm(x)
+
+    links = [
+        (a, b) for a, x in rows for b, y in rows if a != b and len(x) == len(y) and unit(x) @ unit(y) >= 0.9
+    ]
+    assert {r.vec_id: r.n_links for r in got} == {i: sum(a == i for a, _ in links) for i, _ in rows}
+    assert {r.vec_id: r.component_id for r in got} == components([i for i, _ in rows], links)
+
+
 def test_tables_without_usable_vectors(spark):
     table = spark.createDataFrame([(*r, "k", "y", "n") for r in odd_vectors()[:6]], DDL)
     assert all(r.kept and r.n_links == 0 for r in vector_dedup.link(table).collect())

@@ -3,16 +3,24 @@
 Two multinomials over hashed word n-grams (single words and pairs) are counted: one
 over the documents of a trusted target, one over the whole corpus. A document's score
 is the mean over its n-grams of log(target share / corpus share); that is a
-log-likelihood ratio divided by its length. Documents under a fixed threshold go.
+log-likelihood ratio divided by its length. Documents under a fixed threshold go; a
+document at the threshold stays.
 
-The texts are shuffled once, to meet the trusted doc_ids. A task counts its n-grams in an array whose size
-is the number of buckets and hands on a row per occupied bucket, so what is shuffled is
-bounded by tasks × buckets however skewed the words are; the summed model has at most
-one row per bucket and is broadcast.
+Both counts are kept in FOLDS parts by a hash of the text, and a text is scored by the
+other parts' counts. So neither its own n-grams nor those of its exact copies speak for
+it, and trusted texts are held to what texts not seen are held to. An n-gram that the
+other parts lack says nothing: its ratio is 1 in every language.
+
+The texts are shuffled once, to meet the trusted doc_ids. A task counts its n-grams in
+arrays whose size is the number of buckets and hands on a row per occupied bucket, so
+what is shuffled is bounded by tasks × buckets however skewed the words are; the summed
+model has at most one row per bucket and is broadcast. A very long text is read whole,
+alone in its slice of a batch.
 
 Results: a null or empty text has no words, counts 0 and fails the base rules; texts
-without any n-gram score 0. Without a trusted document no text can be told apart, so
-all score 0 and the base rules decide alone. Repeated rows are counted and judged each.
+without any n-gram score 0. An empty table gives no rows. Without a trusted document in
+the other parts nothing can be told apart, so
+texts score 0 and the base rules decide alone. Repeated rows are counted and judged each.
 Null doc_ids are judged like others and are never trusted. Columns of `docs` named
 like results are replaced in `judge` and untouched in `keep`.
 """
@@ -37,7 +45,8 @@ from laserfold.llm.common import Batches, add_columns, column, read_back, slices
 
 BUCKETS = 1 << 17
 THRESHOLD = -0.17
-PRIOR = 1.0  # added to each bucket, in proportion to the corpus share for the target
+PRIOR = 1.0  # added to the target's and to the scaled corpus count of each bucket
+FOLDS = 3
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 
@@ -107,6 +116,20 @@ def base_counts(text: str, words: list[bytes], hashes: np.ndarray) -> tuple[int,
     )
 
 
+def fold_of(text: str) -> int:
+    """The part of the corpus whose counts a text is in; equal texts share it."""
+    return zlib.crc32(text.encode("utf-8", "replace")) % FOLDS
+
+
+def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """log(target share / corpus share) by fold and bucket, from the other folds' counts.
+
+    Both shares are smoothed alike: the corpus is scaled to the target's size first."""
+    raw, target = raw.sum(0) - raw, target.sum(0) - target
+    scale = target.sum(1, keepdims=True) / np.maximum(raw.sum(1, keepdims=True), 1)
+    return np.where(scale > 0, np.log((target + PRIOR) / (raw * scale + PRIOR)), 0.0)
+
+
 def learn(
     docs: DataFrame,
     trusted: DataFrame,
@@ -114,7 +137,7 @@ def learn(
     size: int = BUCKETS,
     text: str = "text",
 ) -> np.ndarray:
-    """log(target share / corpus share) by bucket, counted over all documents.
+    """Log ratios by fold and bucket (see `log_ratios`), counted over all documents.
 
     `trusted` names the target's documents in its column doc_id."""
     marked = column(docs, "doc_id", "bigint").alias("doc_id")
@@ -122,34 +145,31 @@ def learn(
     names = trusted.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
     # Trusted ids grow with the corpus, so they are never broadcast: one shuffle of the texts.
     rows = rows.join(names.withColumn("chosen", F.lit(True)).hint("merge"), "doc_id", "left")
+    sums = [f"{kind}{fold}" for kind in ("raw", "target") for fold in range(FOLDS)]
 
     def count(batches: Batches) -> Batches:
-        raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        raw, target = np.zeros((FOLDS, size), np.int64), np.zeros((FOLDS, size), np.int64)
         for batch in slices(batches):
             chosen = batch.column("chosen").to_pylist()
             for body, good in zip(texts(batch), chosen, strict=True):
-                found = buckets(word_hashes(words_of(body)), size)
-                np.add.at(raw, found, 1)
+                found, fold = buckets(word_hashes(words_of(body)), size), fold_of(body)
+                np.add.at(raw[fold], found, 1)
                 if good:
-                    np.add.at(target, found, 1)
-        some = np.flatnonzero(raw)
+                    np.add.at(target[fold], found, 1)
+        some = np.flatnonzero(raw.any(0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(some), pa.array(raw[some]), pa.array(target[some])],
-            names=["bucket", "raw", "target"],
+            [pa.array(some), *(pa.array(part[some]) for part in (*raw, *target))],
+            names=["bucket", *sums],
         )
 
-    parts = rows.select("chosen", "text").mapInArrow(count, "bucket bigint, raw bigint, target bigint")
-    sums = parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    schema = ", ".join(f"{name} bigint" for name in ("bucket", *sums))
+    parts = rows.select("chosen", "text").mapInArrow(count, schema)
+    summed = parts.groupBy("bucket").agg(*(F.sum(name).alias(name) for name in sums))
     # At most `size` rows.
-    counted = read_back(sums, "ngram-counts").toPandas()
-    raw, target = np.zeros(size), np.zeros(size)
-    raw[counted["bucket"]] = counted["raw"]
-    target[counted["bucket"]] = counted["target"]
-    if not target.sum():
-        return np.zeros(size)
-    corpus = (raw + PRIOR) / (raw.sum() + PRIOR * size)
-    weight = PRIOR * size
-    return np.log((target + weight * corpus) / (target.sum() + weight) / corpus)
+    counted = read_back(summed, "ngram-counts").toPandas()
+    both = np.zeros((2 * FOLDS, size))
+    both[:, counted["bucket"]] = counted[sums].to_numpy(np.float64).T
+    return log_ratios(both[:FOLDS], both[FOLDS:])
 
 
 def judge(
@@ -190,7 +210,7 @@ def _judged(docs, trusted, threshold, size, text):
             hashes = word_hashes(words)
             counts = base_counts(body, words, hashes)
             failed = counts[0] < MIN_WORDS or 100 * counts[4] > REPEAT_PERCENT * counts[0]
-            llr = float(model.value[buckets(hashes, size)].mean()) if words else 0.0
+            llr = float(model.value[fold_of(body), buckets(hashes, size)].mean()) if words else 0.0
             for name, value in zip(COUNTS, counts, strict=True):
                 found[name].append(value)
             found["base_failed"].append(failed)

@@ -56,16 +56,17 @@ def test_rules_equal_a_plain_model(spark):
         words = quality_rules.words_of(text or "")
         return quality_rules.buckets(quality_rules.word_hashes(words), size)
 
-    raw, target = np.zeros(size), np.zeros(size)
-    for doc_id, text, *_ in rows:
-        np.add.at(raw, grams(text), 1)
-        if doc_id is not None and doc_id < 60 and doc_id % 2 == 0 and doc_id >= 0:
-            np.add.at(target, grams(text), 1)
-    shares = (raw + 1) / (raw.sum() + size)
-    ratio = np.log((target + size * shares) / (target.sum() + size) / shares)
     want = []
     for doc_id, text, *_ in rows:
         found = grams(text)
+        raw, target = np.zeros(size), np.zeros(size)
+        for other_id, other, *_ in rows:
+            if zlib.crc32((other or "").encode()) % 3 == zlib.crc32((text or "").encode()) % 3:
+                continue
+            np.add.at(raw, grams(other), 1)
+            if other_id is not None and 0 <= other_id < 60 and other_id % 2 == 0:
+                np.add.at(target, grams(other), 1)
+        ratio = np.log((target + 1) / (raw * target.sum() / raw.sum() + 1))
         want.append((doc_id, round(float(ratio[found].mean()), 9) if len(found) else 0.0))
     assert sorted(map(str, ((r.doc_id, round(r.llr, 9)) for r in got))) == sorted(map(str, want))
     assert all(r.kept == (not r.base_failed and r.llr >= quality_rules.THRESHOLD) for r in got)
@@ -78,6 +79,17 @@ def test_rules_part_good_from_junk(spark):
     assert {r.doc_id for r in kept.collect()} == set(range(60))
 
 
+def test_a_trusted_text_is_not_scored_by_itself(spark):
+    """Trusted or not, a text of the corpus gets the same score if the others stay."""
+    docs = documents(spark, corpus())
+    ids = list(range(0, 60, 2))
+    scores = []
+    for names in (ids, [i for i in ids if i != 4]):
+        trusted = spark.createDataFrame([(i,) for i in names], "doc_id bigint")
+        scores.append({r.doc_id: r.llr for r in quality_rules.judge(docs, trusted).collect()})
+    assert scores[0][4] == scores[1][4] and scores[0] != scores[1]
+
+
 def test_rules_without_target_or_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint")
     got = quality_rules.judge(documents(spark, corpus()), none).collect()

@@ -140,25 +140,56 @@ def column_span(tiles: DataFrame, scope: Sequence[str] = SITE) -> DataFrame:
     return tiles.groupBy(*scope).agg(F.count_distinct("tileX").alias("tileColumns"))
 
 
-def layer_metrics(df: DataFrame) -> DataFrame:
-    """One row of whatever metrics the columns of a layer allow; others are null.
+def fold_layer(df: DataFrame) -> DataFrame:
+    """A layer folded to one row per (tile, class), with rows and ingest times.
 
-    Rows are first folded to one per (tile, class), so the distinct counts run over
-    that small set and not over an expansion of the whole layer."""
+    A layer without these columns folds to one row."""
     have = set(df.columns)
-    by_tile, by_class = {"tileX", "tileY"} <= have, "classification" in have
-    keys = [*(TILE if by_tile else ()), *(("classification",) if by_class else ())]
+    keys = [c for c in (*TILE, "classification") if c in have]
     time = F.col("ingestTime") if "ingestTime" in have else F.lit(None)
-    folded = df.groupBy(*keys).agg(
+    return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.min(time).cast("timestamp").alias("first"),
         F.max(time).cast("timestamp").alias("last"),
     )
+
+
+def folded_metrics(folded: DataFrame) -> DataFrame:
+    """One row of whatever metrics the columns of a folded layer allow; others are null.
+
+    The distinct counts run over the small folded set, not over an expansion of the layer."""
+    have = set(folded.columns)
     nothing = F.lit(None).cast("long")
     return folded.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"),
-        (F.count_distinct(*TILE) if by_tile else nothing).alias("distinctTiles"),
-        (F.count_distinct("classification") if by_class else nothing).alias("distinctClasses"),
+        (F.count_distinct(*TILE) if have.issuperset(TILE) else nothing).alias("distinctTiles"),
+        (F.count_distinct("classification") if "classification" in have else nothing).alias(
+            "distinctClasses"
+        ),
         F.min("first").alias("minIngestTime"),
         F.max("last").alias("maxIngestTime"),
     )
+
+
+def folded_classes(folded: DataFrame, n: int) -> DataFrame:
+    """One row: the n classes with most rows, as an array; null where a layer has no classes."""
+    kind = "array<struct<classification:int,points:bigint>>"
+    if "classification" not in folded.columns:
+        return folded.agg(F.lit(None).cast(kind).alias("classes"))
+    counted = folded.groupBy("classification").agg(F.sum("n").alias("points"))
+    most = counted.orderBy(F.desc("points"), "classification").limit(n)
+    rank = F.struct((-F.col("points")).alias("rank"), F.col("classification").cast("int").alias("classification"), "points")
+    ranked = most.agg(F.sort_array(F.collect_list(rank)).alias("ranked"))
+    pair = lambda r: F.struct(r.classification.alias("classification"), r.points.alias("points"))
+    return ranked.select(F.transform("ranked", pair).cast(kind).alias("classes"))
+
+
+def sample_rows(df: DataFrame, n: int) -> DataFrame:
+    """One row: n rows of a layer as JSON texts, those of the smallest hashes.
+
+    Each task keeps its n smallest only; the choice does not depend on partitioning."""
+    row = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))
+    hashed = df.select(row.alias("text")).withColumn("h", F.xxhash64("text"))
+    lowest = hashed.orderBy("h", "text").limit(n)
+    ranked = lowest.agg(F.sort_array(F.collect_list(F.struct("h", "text"))).alias("ranked"))
+    return ranked.select(F.transform("ranked", lambda r: r.text).alias("sample"))

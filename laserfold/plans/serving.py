@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from laserfold.functions.grid import boxes_overlap
 from laserfold.operators.tiling import TILE
 from laserfold.params import SITE
+from laserfold.runtime import Stored, store
+
+# So many scopes of a box query are literal terms.
+RANGE_TERMS = 32
 
 # Names of the orders a caller may ask for.
 WATER_ORDERS = ("areaDesc",)
@@ -206,6 +210,30 @@ def in_tile_range(df: DataFrame, tiles: TileRange) -> DataFrame:
     )
 
 
+def _scope_ranges(
+    origins: DataFrame, box: tuple[float, float, float, float], tile_size_m: float, scope: Sequence[str]
+) -> Stored:
+    """The tiles that the box touches in each scope, by the scope's own origin and tile size.
+
+    Tile indices count from a scope's lowest coordinates, so none is negative: scopes that
+    begin beyond the box are left out."""
+    own = F.col("tileSizeM") if "tileSizeM" in origins.columns else F.lit(None)
+    size = F.coalesce(own.cast("double"), F.lit(float(tile_size_m)))
+    sides = zip(("low_x", "low_y", "high_x", "high_y"), box, ("originX", "originY") * 2, strict=True)
+    ranges = origins.select(
+        *scope, *(F.floor((F.lit(float(at)) - F.col(zero)) / size).alias(side) for side, at, zero in sides)
+    ).where("high_x >= 0 and high_y >= 0")
+    return store(
+        ranges,
+        "tile-ranges",
+        low_x=F.min("low_x"),
+        low_y=F.min("low_y"),
+        high_x=F.max("high_x"),
+        high_y=F.max("high_y"),
+        nulls=F.count(F.when(reduce(Column.__or__, (F.col(c).isNull() for c in scope)), 1)),
+    )
+
+
 def _in_site_tiles(
     df: DataFrame,
     box: tuple[float, float, float, float],
@@ -214,22 +242,40 @@ def _in_site_tiles(
     margin_m: float,
     scope: Sequence[str],
 ) -> DataFrame:
-    """Literal tile ranges of the box, one per row of the origin table (site, or run)."""
+    """Rows in the tiles that the box touches in their scope (site, or run).
+
+    Up to RANGE_TERMS scopes are literal ranges, which skip row groups. More are joined, so
+    the plan does not grow; a literal range around all of them still reaches the scan, and
+    a broadcast of the ranges prunes partitions."""
     wide = (box[0] - margin_m, box[1] - margin_m, box[2] + margin_m, box[3] + margin_m)
-    inside = []
-    for row in origins.select(*scope, "originX", "originY").toLocalIterator():
-        found = tile_range(wide, (row["originX"], row["originY"]), tile_size_m)
-        inside.append(
+    found = _scope_ranges(origins, wide, tile_size_m, scope)
+    if found.rows <= RANGE_TERMS:
+        terms = [
             reduce(
                 Column.__and__,
                 (
                     *(F.col(c).eqNullSafe(F.lit(row[c])) for c in scope),
-                    F.col(TILE[0]).between(found.min_x, found.max_x),
-                    F.col(TILE[1]).between(found.min_y, found.max_y),
+                    F.col(TILE[0]).between(row["low_x"], row["high_x"]),
+                    F.col(TILE[1]).between(row["low_y"], row["high_y"]),
                 ),
             )
-        )
-    return df.where(reduce(Column.__or__, inside) if inside else F.lit(False))
+            for row in found.df.collect()
+        ]
+        return df.where(reduce(Column.__or__, terms) if terms else F.lit(False))
+    around = TileRange(*(found.metrics[k] for k in ("low_x", "low_y", "high_x", "high_y")))
+    near = in_tile_range(df, around).alias("near")
+    ranges = (F.broadcast(found.df) if found.broadcastable else found.df).alias("ranges")
+    # Plain equality lets partitions be pruned while the query runs.
+    same = Column.eqNullSafe if found.metrics["nulls"] else Column.__eq__
+    meets = reduce(
+        Column.__and__,
+        (
+            *(same(F.col(f"near.{c}"), F.col(f"ranges.{c}")) for c in scope),
+            F.col(f"near.{TILE[0]}").between(F.col("ranges.low_x"), F.col("ranges.high_x")),
+            F.col(f"near.{TILE[1]}").between(F.col("ranges.low_y"), F.col("ranges.high_y")),
+        ),
+    )
+    return near.join(ranges.where("high_x >= 0"), meets, "left_semi")
 
 
 def in_box(
@@ -244,7 +290,8 @@ def in_box(
     """Rows whose extent overlaps a query box.
 
     With the table of origins, each site's own tile range prunes first; the range is
-    widened by `margin_m`, the most that a row's extent leaves its tile (a cell)."""
+    widened by `margin_m`, the most that a row's extent leaves its tile (a cell). Where
+    the table has a column tileSizeM, as resolved parameters do, it holds for its scope."""
     near = df
     if origins is not None:
         near = _in_site_tiles(df, box, origins, tile_size_m, margin_m, scope)

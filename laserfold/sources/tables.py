@@ -9,17 +9,23 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
-from functools import reduce
+from functools import partial, reduce
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException, UnknownException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
 from laserfold.functions.grid import morton
-from laserfold.operators.tile_stats import layer_metrics
+from laserfold.operators.tile_stats import (
+    fold_layer,
+    folded_classes,
+    folded_metrics,
+    sample_rows,
+)
 from laserfold.operators.tiling import TILE
+from laserfold.runtime import store
 
 
 def _balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -186,31 +192,51 @@ def rewrite_clustered(
     ordered.write.mode("overwrite").partitionBy(scope[0]).parquet(path)
 
 
+def _layer_report(layer: DataFrame, site_id: str | None, run_id: str | None, sample: int, classes: int):
+    """Whether the scope has rows, and one row of metrics, classes and sample."""
+    from laserfold.operators.ingest import scope_filter
+
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    df = scope_filter(layer, site_id, run_id)
+    folded = store(fold_layer(df), "layer", total=total)
+    scoped = folded.metrics["total"] > 0
+    if not scoped:
+        df, folded = layer, store(fold_layer(layer), "layer", total=total)
+    # Each part is one row with columns of its own.
+    parts = folded_metrics(folded.df), folded_classes(folded.df, classes), sample_rows(df, sample)
+    stacked = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
+    return scoped, stacked.agg(*(F.first(c, ignorenulls=True).alias(c) for c in stacked.columns))
+
+
 def inspect_layers(
     spark: SparkSession,
     layers: dict[str, str | DataFrame],
     site_id: str | None = None,
     run_id: str | None = None,
+    sample: int = 20,
+    classes: int = 20,
 ) -> DataFrame:
-    """One row of metrics per readable layer.
-
-    A layer without rows in the asked scope is reported unscoped (`scoped` false);
-    a layer that cannot be read is left out."""
-    from laserfold.operators.ingest import scope_filter
+    """One row per layer: metrics, its most frequent classes, a sample of rows, its schema.
 
+    A layer without rows in the asked scope is reported unscoped (`scoped` false). A layer
+    that cannot be read is a row with `readable` false and the reason in `error`. A layer
+    is folded once to its tiles and classes; all but the sample comes from that table."""
     found: list[DataFrame] = []
     for name, layer in layers.items():
         try:
             df = spark.read.parquet(layer) if isinstance(layer, str) else layer
-        except AnalysisException:
-            continue
-        scoped = scope_filter(df, site_id, run_id)
-        inside = not scoped.isEmpty()
-        metrics = layer_metrics(scoped if inside else df)
-        found.append(metrics.select(F.lit(name).alias("layer"), F.lit(inside).alias("scoped"), "*"))
+        except (AnalysisException, UnknownException) as reason:
+            lost = reason.getCondition() or type(reason).__name__
+            row = spark.range(1).select()
+            head = [F.lit(False), F.lit(None).cast("boolean"), F.lit(None).cast("string"), F.lit(lost)]
+        else:
+            scoped, row = _layer_report(df, site_id, run_id, sample, classes)
+            head = [F.lit(True), F.lit(scoped), F.lit(df.schema.simpleString()), F.lit(None).cast("string")]
+        named = zip(head, ("readable", "scoped", "schema", "error"), strict=True)
+        found.append(row.select(F.lit(name).alias("layer"), *(c.alias(n) for c, n in named), "*"))
     if not found:
-        raise ValueError("no layer could be read")
-    return reduce(DataFrame.unionByName, found)
+        raise ValueError("no layer was named")
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), found)
 
 
 def clustering_report(tables: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:

@@ -492,6 +492,22 @@ def texts() -> dict[str, str]:
             FROM boxes WHERE siteId = 'site_a' AND ingestRunId = 'run_1'""",
             "boxes",
         ),
+        "layer_inspection": chain(
+            """, counted AS (
+              SELECT siteId, classification AS c, count(*) AS n FROM points GROUP BY ALL),
+            listed AS (
+              SELECT siteId, sum(n)::BIGINT AS rows,
+                string_agg(c || ':' || n, ',' ORDER BY n DESC, c) AS classes
+              FROM counted GROUP BY siteId),
+            shown AS (
+              SELECT l.layer, true AS readable, l.scoped, rows, classes
+              FROM listed JOIN (VALUES ('raw', true, 'site_a'), ('processed', true, 'site_a'),
+                ('elsewhere', false, 'site_b')) l(layer, scoped, siteId) USING (siteId)
+              UNION ALL SELECT 'aggregated', true, true, count(*), NULL FROM boxes WHERE siteId = 'site_a')
+            SELECT *, least(rows, 20) AS sampled FROM shown
+            UNION ALL SELECT 'absent', false, NULL, NULL, NULL, NULL""",
+            "boxes",
+        ),
         "clustering_report": chain(
             """
             SELECT 'points_tiled' AS tableName, 'tileX, tileY' AS clusteringKeys,

@@ -453,8 +453,28 @@ def layer_metrics(spark, sf):
         "aggregated": boxes(spark, sf),
         "absent": scratch_path(spark, "absent"),
     }
-    found = tables.inspect_layers(spark, layers, site_id="site_a", run_id="run_1")
-    return found.withColumns({c: day(c) for c in ("minIngestTime", "maxIngestTime")})
+    found = tables.inspect_layers(spark, layers, site_id="site_a", run_id="run_1").where("readable")
+    days = found.withColumns({c: day(c) for c in ("minIngestTime", "maxIngestTime")})
+    return days.drop("readable", "schema", "error", "classes", "sample")
+
+
+@query("layer_inspection")
+def layer_inspection(spark, sf):
+    """Classes and sizes of samples of every layer; one lacks the asked scope, one cannot be read."""
+    layers = {
+        "raw": points(spark, sf),
+        "processed": tiled(spark, sf),
+        "elsewhere": points(spark, sf).where("siteId = 'site_b'"),
+        "aggregated": boxes(spark, sf),
+        "absent": scratch_path(spark, "absent"),
+    }
+    found = tables.inspect_layers(spark, layers, site_id="site_a")
+    pairs = F.transform("classes", lambda c: F.concat_ws(":", c.classification, c.points))
+    return found.select(
+        "layer", "readable", "scoped", "rows",
+        F.array_join(pairs, ",").alias("classes"),
+        F.size("sample").cast("long").alias("sampled"),
+    )
 
 
 @query("clustering_report")

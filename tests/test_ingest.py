@@ -130,7 +130,11 @@ def test_unreadable_layer_is_skipped_and_empty_scope_reported(spark, make_points
             spark, {"raw": points, "gone": "/nowhere/at/all"}, site_id="other"
         ).collect()
     }
-    assert set(found) == {"raw"}
+    assert set(found) == {"raw", "gone"}
+    assert not found["gone"]["readable"] and found["gone"]["error"] and found["gone"]["rows"] is None
+    assert [tuple(c) for c in found["raw"]["classes"]] == sorted(tuple(c) for c in found["raw"]["classes"])
+    assert sum(c["points"] for c in found["raw"]["classes"]) == 2 and len(found["raw"]["sample"]) == 2
+    assert found["raw"]["schema"].startswith("struct<")
     assert not found["raw"]["scoped"] and found["raw"]["rows"] == 2
     assert found["raw"]["distinctClasses"] == 2 and found["raw"]["distinctTiles"] is None
 

@@ -97,6 +97,31 @@ def test_tile_range_and_box(spark):
     assert serving.in_box(over, box).count() == 2
 
 
+def test_boxes_over_many_sites_keep_a_small_plan(spark, tmp_path, monkeypatch):
+    """Sites of their own origin and tile size; literal and joined ranges give the same rows."""
+    sites = [(f"s{i:03}" if i else None, 40.0 * i, 15.0 * (i % 7), 25.0 if i % 2 else 10.0) for i in range(90)]
+    corners = spark.createDataFrame(sites, "siteId string, originX double, originY double, tileSizeM double")
+    rows = [
+        (s, x, y, x0 + x * w, y0 + y * w, x0 + x * w + w, y0 + y * w + w)
+        for s, x0, y0, w in sites for x in range(6) for y in range(6)
+    ]
+    ddl = "siteId string, tileX int, tileY int, minX double, minY double, maxX double, maxY double"
+    path = str(tmp_path / "tiles")
+    spark.createDataFrame(rows, ddl).write.partitionBy("siteId").parquet(path)
+    table = spark.read.parquet(path)
+    box = (1701.0, 21.0, 1731.0, 61.0)
+    want = sorted(str(r) for r in rows if r[3] <= box[2] and r[5] >= box[0] and r[4] <= box[3] and r[6] >= box[1])
+    for terms in (0, 1000):
+        monkeypatch.setattr(serving, "RANGE_TERMS", terms)
+        for given in (corners, corners.where("siteId is not null")):
+            hits = serving.in_box(table, box, origins=given)
+            got = hits.select("siteId", "tileX", "tileY", "minX", "minY", "maxX", "maxY").collect()
+            assert sorted(str(tuple(r)) for r in got) == want
+            plan = hits._jdf.queryExecution().toString()
+            assert terms or plan.count("s001") == 0
+    assert serving.in_box(table, box, origins=corners.where("false")).count() == 0
+
+
 def test_range_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "tiles")
     spark.createDataFrame([(0, 0)], "tileX int, tileY int").write.parquet(path)

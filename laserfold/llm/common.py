@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -52,7 +52,20 @@ def read_back(df: DataFrame, name: str) -> DataFrame:
 
 
 def new_folder(df: DataFrame, name: str) -> str:
-    return f"{runtime.shared_root(df.sparkSession)}/laserfold-llm/{name}-{uuid.uuid4().hex}"
+    return qualified(
+        df.sparkSession,
+        f"{runtime.shared_root(df.sparkSession)}/laserfold-llm/{name}-{uuid.uuid4().hex}",
+    )
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """`folder` with its file system's scheme, so that tasks and Spark mean the same place.
+
+    Spark takes a path without a scheme from the default file system of the cluster."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    return files.makeQualified(path).toString()
 
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:

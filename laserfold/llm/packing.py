@@ -4,7 +4,8 @@ Every source is a queue of its documents' tokens. Deficit round-robin serves the
 queues: in each round a queue's credit grows by its quantum (window length × target
 share), whole tokens are taken and the fraction is carried to the next round. What is
 taken forms one stream without gaps, cut into sequences. When a queue runs dry the
-others go on with their shares raised in proportion, so every token is packed.
+others go on with their shares raised in proportion, so every token is packed; windows
+hold all targets until the first queue is dry, and those of the others after that.
 
 The credit after m rounds is m × quantum, so the round that takes a given token of a
 queue follows from the token's place in the queue. Spark therefore needs no sequential
@@ -15,7 +16,9 @@ source with a third of all rows is many partitions.
 
 Results: a null text is empty; each document ends with `end_id`, so an empty one is one
 token; a null source is a queue of its own; null doc_ids come first; repeated rows are
-packed each; other columns are ignored; an empty table gives no pieces. The last,
+packed each; documents of equal doc_id in a queue follow the hash of their text; very
+long texts are encoded whole and cut only where windows and sequences end; other columns
+are ignored; an empty table gives no pieces. The last,
 incomplete sequence is cut into powers of two, so no sequence needs padding.
 """
 
@@ -59,17 +62,26 @@ class Phase:
     position: int  # of the phase's first token in the stream
 
 
-def schedule(totals: Mapping[str, int], weights: Mapping[str, float] | None, window: int):
+def schedule(
+    totals: Mapping[str, int],
+    weights: Mapping[str, float] | None,
+    window: int,
+    rest: float = 0.0,
+):
     """Queue order and phases that serve every token.
 
     `weights` are target shares; without them each queue has its share of all tokens.
-    Queues of no weight are served after the others."""
+    Queues that `weights` does not name divide the share `rest` by their tokens. Queues
+    of no weight are served after the others."""
     names = sorted(totals)
     left = np.array([totals[n] for n in names], dtype=np.int64)
     if weights is None:
         share = left.astype(float)
     else:
-        share = np.array([max(0.0, float(weights.get(n, 0.0))) for n in names])
+        named = np.array([n in weights for n in names], dtype=bool)
+        given = np.array([max(0.0, float(weights.get(n, 0.0))) for n in names])
+        unnamed = np.where(named, 0.0, left.astype(float))
+        share = given + max(0.0, rest) * unnamed / max(1.0, unnamed.sum())
     served = np.zeros(len(names), np.int64)
     phases, position = [], 0
     while left.any():
@@ -188,6 +200,7 @@ def pack(
     length: int = SEQUENCE,
     window: int = WINDOW,
     weights: Mapping[str, float] | None = None,
+    rest: float = 0.0,
     queue: str = "source",
     text: str = "text",
     with_ids: bool = True,
@@ -205,7 +218,7 @@ def pack(
         bases[row["queue"], row["part"]] = totals.get(name, 0)
         totals[name] = totals.get(name, 0) + row["n"]
         nulls[row["queue"]] = name
-    names, phases = schedule(totals, weights, window)
+    names, phases = schedule(totals, weights, window, rest)
     total = sum(totals.values())
     tail_starts, tail = sequences(total, length)
     plan = docs.sparkSession.sparkContext.broadcast(

@@ -53,10 +53,17 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+# Target shares of every window: the bulk source, and all other sources by their tokens.
+PACKING_WEIGHTS = {"src0": 0.3}
+PACKING_REST = 0.7
+
+
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(docs, tokens.default_path(), with_ids=False)
+    return packing.pack(
+        docs, tokens.default_path(), weights=PACKING_WEIGHTS, rest=PACKING_REST, with_ids=False
+    )
 
 
 @query

@@ -3,13 +3,15 @@
 Rules (host, path, allow or block) fit a host and its subdomains when the path starts
 with theirs; the longest wins. Pages without a rule get their host's verdict:
 
-- Links of all pages give weighted host → host edges, aggregated before they travel.
+- Links of all pages give weighted host → host edges, aggregated before they travel. In
+  the graph a host goes without user and port, on both ends.
 - Every page allowed by rule makes its host a trusted seed, every page blocked by rule a
   distrusted seed, with the share of such pages among the host's pages as weight.
 - Personalised PageRank carries trust along the edges from the trusted seeds, and
   distrust against the edges from the blocked seeds (who links to bad hosts is suspect).
-  Each round is one join and one aggregation per score, written to the shared folder;
-  rounds go on until the scores move by less than `tolerance` in sum, or by less than
+  The edges are dealt to tasks by src once (a src with very many edges to several tasks)
+  and kept there, so a round moves only scores: one join and one aggregation, written to
+  the shared folder. Lost kept edges are made again from their written table. Rounds go on until the scores move by less than `tolerance` in sum, or by less than
   a small part of the threshold below if that is smaller, as on large graphs; meeting
   `max_rounds` before that is an error.
 - A host is blocked when its distrust is above its trust and above `threshold` of an even
@@ -19,7 +21,8 @@ with theirs; the longest wins. Pages without a rule get their host's verdict:
 
 Results: a null url, or one without "://", has an empty host and path, fits no rule and
 is allowed. A null html has no links. Null page_ids and repeated rows are judged like
-others. Other columns are ignored; an empty table gives no rows. Without seeds (or
+others. Rules of equal length: the later in (host + path) order wins. Very long urls and
+html are read whole. Other columns are ignored; an empty table gives no rows. Without seeds (or
 links) all scores but the seeds' own are 0, and pages without a rule are allowed.
 """
 
@@ -31,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laserfold.llm.common import column, read_back
-from laserfold.runtime import store
+from laserfold.runtime import hot_keys, store
 
 DAMPING = 0.85
 # Far above what damping needs; the change shrinks to 0.85 of the last with each round.
@@ -56,6 +59,11 @@ def host_of(url: Column) -> Column:
     return _lower(F.regexp_extract(F.coalesce(_after_scheme(url), F.lit("")), r"(?s)\A([^/?#]*)", 1))
 
 
+def node_of(host: Column) -> Column:
+    """The host without user and port, by which links and pages meet in the graph."""
+    return F.regexp_replace(host, r"(?s)^.*@|:\d*$", "")
+
+
 def path_of(url: Column) -> Column:
     rest = F.coalesce(_after_scheme(url), F.lit(""))
     return F.regexp_extract(rest, r"(?s)\A[^/?#]*(/[^?#]*)", 1)
@@ -84,13 +92,13 @@ def host_edges(pages: DataFrame) -> DataFrame:
     targets = F.regexp_extract_all(
         html, F.lit(r"(?i)\bhref\s*=\s*[\"']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^\"'\s>]+)"), 1
     )
-    links = pages.where(F.col("host") != "").select(
-        F.col("host").alias("src"), F.explode(F.array_distinct(targets)).alias("target")
+    links = pages.where(F.col("node") != "").select(
+        F.col("node").alias("src"), F.explode(F.array_distinct(targets)).alias("target")
     )
     full = F.when(F.startswith("target", F.lit("//")), F.concat(F.lit("http:"), "target")).otherwise(
         F.col("target")
     )
-    named = links.select("src", F.regexp_replace(host_of(full), r"^.*@|:\d*$", "").alias("dst"))
+    named = links.select("src", node_of(host_of(full)).alias("dst"))
     return (
         named.where((F.col("dst") != "") & (F.col("dst") != F.col("src")))
         .groupBy("src", "dst")
@@ -102,7 +110,33 @@ def seeds(judged: DataFrame) -> DataFrame:
     """(host, good, bad) with the seed weight of every host, each at most 1."""
     n = F.count(F.lit(1))
     allowed, blocked = (F.count(F.when(F.col("by_rule") == v, 1)) / n for v in ("allow", "block"))
-    return judged.where("host != ''").groupBy("host").agg(allowed.alias("good"), blocked.alias("bad"))
+    nodes = judged.where("node != ''").groupBy(F.col("node").alias("host"))
+    return nodes.agg(allowed.alias("good"), blocked.alias("bad"))
+
+
+def _dealt(edges: DataFrame, task_rows: int | None) -> tuple[DataFrame, DataFrame]:
+    """Edges kept by (src, salt), and the table of srcs with several salts: host, salts.
+
+    The number of partitions is fixed, so the join of each round finds the edges in
+    place and shuffles the scores alone."""
+    hot = hot_keys(edges, ["src"], task_rows).df
+    salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int"), F.lit(0))
+    salted = edges.join(F.broadcast(hot), "src", "left").withColumn("salt", salt).drop("salts")
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = salted.repartition(parts, "src", "salt").persist()
+    kept.count()  # only then does Spark know how the kept rows lie
+    return kept, hot.withColumnRenamed("src", "host")
+
+
+def _moved(kept: DataFrame, hot: DataFrame, scores: DataFrame, damping: float) -> DataFrame:
+    """What the scores send along the kept edges, summed by host."""
+    # Only scores of hosts with several salts are repeated.
+    every = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
+    spread = scores.join(F.broadcast(hot), "host", "left").select("host", "score", F.explode(every).alias("salt"))
+    met = kept.join(spread, (kept["src"] == spread["host"]) & (kept["salt"] == spread["salt"]))
+    return met.groupBy(F.col("dst").alias("host")).agg(
+        F.sum(damping * F.col("share") * F.col("score")).alias("score")
+    )
 
 
 def propagate(
@@ -112,6 +146,7 @@ def propagate(
     damping: float = DAMPING,
     max_rounds: int = MAX_ROUNDS,
     tolerance: float = TOLERANCE,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Personalised PageRank: (host, score) of hosts with a score, from seeds (host, weight).
 
@@ -123,14 +158,18 @@ def propagate(
     start = store(
         seed.where("weight > 0").select("host", (F.col("weight") / total).alias("score")), "seeds"
     ).df
+    kept, hot = _dealt(edges, task_rows)
+    try:
+        return _rounds(kept, hot, start, damping, max_rounds, tolerance)
+    finally:
+        kept.unpersist()
+
+
+def _rounds(kept, hot, start, damping: float, max_rounds: int, tolerance: float) -> DataFrame:
     scores = start
+    first = start.select("host", ((1 - damping) * F.col("score")).alias("score"))
     for _ in range(max_rounds):
-        moved = (
-            edges.join(scores, edges["src"] == scores["host"])
-            .groupBy(F.col("dst").alias("host"))
-            .agg(F.sum(damping * F.col("share") * F.col("score")).alias("score"))
-        )
-        first = start.select("host", ((1 - damping) * F.col("score")).alias("score"))
+        moved = _moved(kept, hot, scores, damping)
         fresh = moved.unionByName(first).groupBy("host").agg(F.sum("score").alias("score"))
         both = fresh.join(scores.withColumnRenamed("score", "before"), "host", "full")
         now, before = F.coalesce("score", F.lit(0.0)), F.coalesce("before", F.lit(0.0))
@@ -199,13 +238,14 @@ def judge(pages: DataFrame, rules: Sequence[Rule], **options) -> DataFrame:
         column(pages, "html", "string").alias("html"),
     )
     rule, by_rule = fitting_rule(F.col("host"), F.col("path"), rules)
-    judged = rows.withColumns({"rule": rule, "by_rule": by_rule})
+    judged = rows.withColumns({"rule": rule, "by_rule": by_rule, "node": node_of(F.col("host"))})
     edges = read_back(host_edges(judged), "host-edges")
     seed = read_back(seeds(judged), "host-seeds")
     verdicts = store(host_verdicts(edges, seed, **options), "host-verdicts")
     # Few hosts are broadcast by their counted size; else Spark splits a hot host's rows.
     side = F.broadcast(verdicts.df) if verdicts.broadcastable else verdicts.df
-    return judged.drop("html").join(side, "host", "left").select(
+    named = side.withColumnRenamed("host", "node")
+    return judged.drop("html").join(named, "node", "left").select(
         "page_id",
         "host",
         "path",

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laserfold import runtime
-from laserfold.llm.common import Batches, column, read_back, shared_files, slices
+from laserfold.llm.common import Batches, column, qualified, read_back, shared_files, slices
 
 LEAST = 1000
 FILE_BYTES = 64 << 20
@@ -129,6 +129,7 @@ def write(
     date: str = DATE,
 ) -> DataFrame:
     """Write the archive files; the stored manifest has a row per file."""
+    folder = qualified(pages.sparkSession, folder)
     names = [f.split()[0] for f in MANIFEST.split(", ")]
     kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string()]
 
@@ -205,6 +206,7 @@ def parse(data: bytes) -> dict:
 
 def read(manifest: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
     """Every record of the files in the manifest, checked against its digests."""
+    folder = qualified(manifest.sparkSession, folder)
     # A fixed number of tasks; without it adaptive execution would join them to one.
     tasks = manifest.select("path", "sha1").repartition(max(1, manifest.count()), "path")
     kept = READ if with_payload else READ.removesuffix(", payload binary")

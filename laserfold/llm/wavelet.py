@@ -39,6 +39,7 @@ from laserfold.llm.common import (
     Batches,
     column,
     new_folder,
+    qualified,
     read_back,
     shared_files,
     slices,
@@ -226,7 +227,7 @@ def write_shards(
     text: str = "text",
 ) -> DataFrame:
     """Write all documents under `folder`; the manifest, one row per file, as a stored table."""
-    folder = folder or new_folder(docs, "wavelet")
+    folder = qualified(docs.sparkSession, folder or new_folder(docs, "wavelet"))
     rows = docs.select(
         column(docs, "doc_id", "bigint").alias("doc_id"), text_of(docs, text).alias("text")
     )
@@ -283,6 +284,7 @@ def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
         starts.append((row["path"], total))
         total += row["n_tokens"]
     session = manifest.sparkSession
+    folder = qualified(session, folder)
     jobs = session.createDataFrame(starts, "path string, before bigint")
     tasks = jobs.repartition(max(1, len(starts)), "path") if starts else jobs
 

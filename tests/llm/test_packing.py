@@ -82,6 +82,60 @@ def test_schedule_carries_deficits():
     assert all(a[1] == b[0] for a, b in zip(placed, placed[1:], strict=False))
 
 
+def plain_round_robin(totals, share, window):
+    """Queue by queue, round by round: (queue, first token, stream position, length)."""
+    served, credit = [0] * len(totals), [0] * len(totals)
+    found, position = [], 0
+    live = [n > 0 for n in totals]
+    while any(live):
+        whole = sum(s for s, on in zip(share, live, strict=True) if on)
+        quantum = [int(s / whole * window * packing.UNIT) if on else 0 for s, on in zip(share, live, strict=True)]
+        credit, dry = [0] * len(totals), False
+        while not dry:
+            for q, on in enumerate(live):
+                if not on:
+                    continue
+                credit[q] += quantum[q]
+                n = min(credit[q] // packing.UNIT, totals[q] - served[q])
+                dry |= credit[q] // packing.UNIT > n
+                credit[q] -= n * packing.UNIT
+                if n:
+                    found.append((q, served[q], position, n))
+                served[q] += n
+                position += n
+            # A queue that has nothing left ends the round as well.
+            dry |= all(served[q] == totals[q] for q, on in enumerate(live) if on)
+        live = [served[q] < totals[q] for q in range(len(totals))]
+    return found
+
+
+@pytest.mark.parametrize("window", [16, 100, 1000])
+def test_places_equal_a_plain_round_robin(window):
+    totals = {"a": 5003, "b": 77, "c": 1201, "d": 1}
+    weights, rest = {"a": 0.3, "c": 0.4}, 0.3
+    names, phases = packing.schedule(totals, weights, window, rest)
+    assert names == ["a", "b", "c", "d"]
+    share = [0.3, 0.3 * 77 / 78, 0.4, 0.3 * 1 / 78]
+    plain = plain_round_robin([totals[n] for n in names], share, window)
+    for q, name in enumerate(names):
+        want = {first + i: at + i for k, first, at, n in plain if k == q for i in range(n)}
+        for low, high in ((0, totals[name]), (totals[name] // 3, totals[name] // 2)):
+            at, position, size = packing.place(phases, q, low, high)
+            got = {a + i: p + i for a, p, n in zip(at.tolist(), position.tolist(), size.tolist(), strict=True) for i in range(n)}
+            assert got == {t: want[t] for t in range(low, high)}
+
+
+def test_unnamed_queues_divide_the_rest(spark):
+    rows = [(i, prose(60, i), "en", "src0" if i % 3 else f"s{i % 2}", 0) for i in range(300)]
+    got = packing.pack(
+        documents(spark, rows), PATH, length=64, window=256, weights={"src0": 0.25}, rest=0.75
+    ).collect()
+    parts = check(got, rows, 64)
+    for window in range(10):
+        own = [p for n in range(4 * window, 4 * window + 4) for p in parts[n]]
+        assert abs(sum(p.length for p in own if p.source == "src0") - 64) <= 4
+
+
 def test_empty_table(spark):
     assert packing.pack(documents(spark, []), PATH).count() == 0
 

@@ -175,6 +175,51 @@ def test_default_rounds_reach_the_end_of_a_chain(spark):
         url_filter.judge(pages(spark, rows), URL_RULES, max_rounds=3)
 
 
+def test_hosts_meet_their_links_whatever_their_port(spark):
+    # The rules see hosts as they are written; the graph knows them without user and port.
+    rows = [(1, "http://bad.example.com/en/", None), (2, "http://me@fan.org:81/", link("bad.example.com"))]
+    rows += [(3, "http://bad.example.com:8080/en/", None), (4, "http://far.org/", link("fan.org"))]
+    got = {r.page_id: r for r in url_filter.judge(pages(spark, rows), URL_RULES).collect()}
+    assert got[2].host == "me@fan.org:81" and got[3].rule is None
+    assert got[1].distrust == got[3].distrust == pytest.approx(0.15)
+    assert got[2].verdict == got[4].verdict == "block"
+
+
+def test_a_host_with_most_edges_is_dealt_to_several_tasks(spark):
+    hub = [("hub", f"h{i}", 1.0 / 40) for i in range(40)]
+    back = [(f"h{i}", "hub", 1.0) for i in range(0, 40, 3)]
+    edges = spark.createDataFrame(hub + back, "src string, dst string, share double")
+    seed = spark.createDataFrame([("hub", 1.0), ("h3", 2.0)], "host string, weight double")
+    options = {"tolerance": 1e-5, "damping": 0.3}
+    one = {r.host: r.score for r in url_filter.propagate(edges, seed, **options).collect()}
+    many = {r.host: r.score for r in url_filter.propagate(edges, seed, task_rows=5, **options).collect()}
+    want = rank({(a, b): w for a, b, w in hub + back}, {"hub": 1, "h3": 2}, damping=0.3)
+    assert one == pytest.approx(want, abs=1e-4) and many == pytest.approx(want, abs=1e-4)
+    kept, hot = url_filter._dealt(edges, 5)
+    assert [(r.host, r.salts) for r in hot.collect()] == [("hub", 8)]
+    assert kept.where("src = 'hub'").select("salt").distinct().count() == 8
+    kept.unpersist()
+
+
+def test_a_round_does_not_shuffle_the_edges(spark):
+    edges = spark.createDataFrame([("a", "b", 1.0)], "src string, dst string, share double")
+    scores = spark.createDataFrame([("a", 1.0)], "host string, score double")
+    kept, hot = url_filter._dealt(edges, None)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = url_filter._moved(kept, hot, scores, 0.85)
+        assert [tuple(r) for r in frame.collect()] == [("b", 0.85)]
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        kept.unpersist()
+    # Below the relation stands how the edges came there, once for all rounds.
+    rounds = "\n".join(line for line in plan.splitlines() if "REPARTITION_BY_NUM" not in line)
+    assert "SortMergeJoin" in rounds or "ShuffledHashJoin" in rounds
+    assert "Exchange hashpartitioning(host" in rounds and "Exchange hashpartitioning(src" not in rounds
+
+
 def test_awkward_pages(spark):
     got = url_filter.judge(pages(spark, ROWS), URL_RULES).collect()
     assert len(got) == len(ROWS) and {r.verdict for r in got} == {"allow"}

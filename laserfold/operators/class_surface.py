@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laserfold.functions.grid import bin_index
@@ -14,6 +14,7 @@ from laserfold.operators.surface import CELL
 from laserfold.operators.tiling import TILE
 from laserfold.params import GRID_ALGORITHM, GROUND_CLASSES, SITE_RUN, GridParams
 from laserfold.runtime import Stored, lookup_join
+from laserfold.sources.buckets import Buckets, meet
 
 
 def candidate_tiles(boxes: DataFrame, max_tiles: int | None = None) -> DataFrame:
@@ -35,17 +36,39 @@ def class_cells(
     `tiles` is a stored tile-box table; cells count from the box corner of the tile.
     Both classes come out of one aggregate, with the class folded into the key."""
     keys = [*scope, *TILE]
+    typed = tiled.where(_wanted(params, ground_classes)).select(*keys, "x", "y", "z", "classification")
+    corners = replace(tiles, df=tiles.df.select(*keys, "minX", "minY"))
+    placed = lookup_join(typed, corners, keys, "inner", spread=("x", "y"))
+    return _fold_cells(placed, params, scope)
+
+
+def class_cells_in_place(
+    points: Buckets,
+    boxes: DataFrame,
+    params: GridParams = GridParams(),
+    scope: Sequence[str] = SITE_RUN,
+    ground_classes: Sequence[int] = GROUND_CLASSES,
+) -> DataFrame:
+    """The same from points that lie in buckets by tile: only boxes and cells are shuffled."""
+    corners = boxes.select(*scope, *TILE, "minX", "minY")
+    placed = meet(points, corners, where=_wanted(params, ground_classes))
+    return _fold_cells(placed, params, scope)
+
+
+def _wanted(params: GridParams, ground_classes: Sequence[int]) -> Column:
+    return F.col("classification").isin(sorted({params.water_class, *ground_classes}))
+
+
+def _fold_cells(placed: DataFrame, params: GridParams, scope: Sequence[str]) -> DataFrame:
+    """Cells of points that know the corner of their tile."""
+    keys = [*scope, *TILE]
     size = params.cell_size_m
-    wanted = sorted({params.water_class, *ground_classes})
     is_water = F.col("classification") == params.water_class
-    typed = (
-        tiled.where(F.col("classification").isin(wanted))
-        .select(*keys, "x", "y", "z", "classification")
-        .withColumn("surfaceType", F.when(is_water, "water").otherwise("ground"))
-    )
-    corners = replace(tiles, df=tiles.df.select(*keys, "minX", "minY"))
-    placed = lookup_join(typed, corners, keys, "inner", spread=("x", "y")).withColumns(
-        {f"cell{a}": bin_index(F.col(a.lower()) - F.col(f"min{a}"), size) for a in ("X", "Y")}
+    placed = placed.withColumns(
+        {
+            "surfaceType": F.when(is_water, "water").otherwise("ground"),
+            **{f"cell{a}": bin_index(F.col(a.lower()) - F.col(f"min{a}"), size) for a in ("X", "Y")},
+        }
     )
     low_mid = F.percentile_approx("z", [0.1, 0.5], PERCENTILE_ACCURACY)
     return (

@@ -545,9 +545,10 @@ def texts() -> dict[str, str]:
             "FROM patches GROUP BY siteId, ingestRunId, surfaceType",
             "patches",
         ),
-        "class_surface_cells": chain(
-            "SELECT * EXCLUDE (cellMinX, cellMinY, cellMaxX, cellMaxY) FROM coarse", "coarse"
-        ),
+        **{
+            name: chain("SELECT * EXCLUDE (cellMinX, cellMinY, cellMaxX, cellMaxY) FROM coarse", "coarse")
+            for name in ("class_surface_cells", "class_surface_cells_in_place")
+        },
         "cell_bbox": chain("SELECT * EXCLUDE (z, pointCountCell) FROM coarse", "coarse"),
         "tile_surface_summary": chain("SELECT * FROM summary", "summary"),
         "top_tiles": chain(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
@@ -24,10 +25,12 @@ from laserfold.operators import (
     tuning,
     upsert,
 )
+from laserfold.operators.tiling import TILE
 from laserfold.params import ERROR_CODE_CHARS, ERROR_MESSAGE_CHARS, SITE, SITE_RUN, GridParams
 from laserfold.plans import products, serving
 from laserfold.runtime import scratch_path, store
 from laserfold.sources import landing, tables
+from laserfold.sources.buckets import write_buckets
 from laserfold.streaming import arrivals, job_state
 from querybook import inputs
 
@@ -540,6 +543,18 @@ def class_surface_cells(spark, sf):
     return coarse_cells(spark, sf).drop("cellMinX", "cellMinY", "cellMaxX", "cellMaxY")
 
 
+@query("class_surface_cells_in_place")
+def class_surface_cells_in_place(spark, sf):
+    keys = [*SITE_RUN, *TILE]
+    base = tiled(spark, sf).select(*keys, "x", "y", "z", "classification")
+    name = f"tiled_points_{uuid.uuid4().hex}"
+    # A tile with a thousand points is dealt to several buckets here.
+    stored = write_buckets(base, name, scratch_path(spark, name), keys, ("x", "y", "z"), task_rows=1000)
+    boxes = tile_stats.tile_boxes(stored.rows, COARSE, SITE_RUN)
+    found = class_surface.class_cells_in_place(stored, boxes, COARSE)
+    return found.drop("cellMinX", "cellMinY", "cellMaxX", "cellMaxY")
+
+
 @query("cell_bbox")
 def cell_bbox(spark, sf):
     return coarse_cells(spark, sf).drop("z", "pointCountCell")

@@ -33,11 +33,20 @@ def _balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *(F.col(c) for c in by))
 
 
+# Fixed value: the folder name of a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder_names(values: Iterable) -> tuple[str, ...]:
+    """Partition values as their folders are called; null and empty text share a folder."""
+    return tuple(NULL_PARTITION if v is None or v == "" else str(v) for v in values)
+
+
 def drop_partitions(
     spark: SparkSession, path: str, partition_by: Sequence[str], gone: Iterable[tuple]
 ) -> None:
     """Delete whole partitions, given as values of the partition columns."""
-    wanted = {tuple(map(str, values)) for values in gone}
+    wanted = {_folder_names(values) for values in gone}
     if not wanted:
         return
     pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
@@ -68,8 +77,9 @@ def replace_snapshot(
     laid_out = df if ordered else _balanced(df, partition_by)
     watched = laid_out.observe(seen, F.array_join(keys, "\n").alias("filled"))
     replace_partitions(watched, path, partition_by, ordered=True)
-    filled = {tuple(json.loads(line)) for line in seen.get["filled"].splitlines()}
-    asked = {tuple(map(str, s)) for s in scopes}
+    # JSON writes a line end inside a value as an escape, but not the other separators.
+    filled = {_folder_names(json.loads(x)) for x in seen.get["filled"].split("\n") if x}
+    asked = {_folder_names(s) for s in scopes}
     drop_partitions(df.sparkSession, path, partition_by, asked - filled)
 
 

@@ -721,18 +721,17 @@ def texts() -> dict[str, str]:
         "run_by_id": f"SELECT * FROM {inputs.in_sql(inputs.RUNS)} WHERE siteId = 'site_a' AND runId = '100'",
         "tiles_json": chain(
             "SELECT siteId, tileId, pointCount, z_p50, z_p95, z_p99, waterPointRatio, isMostlyWater, "
-            "'2024-01-01 00:00:00' AS computedAt FROM stats WHERE siteId = 'site_a' "
-            "ORDER BY tileId LIMIT 10",
+            "'2024-01-01 00:00:00' AS computedAt FROM stats WHERE siteId = 'site_a'",
             "stats", scope=SITE,
         ),
         "water_json": chain(
-            "SELECT waterBodyId, areaM2, cellCount, minZ, maxZ, bboxMinCellX, bboxMinCellY, bboxMaxCellX, "
-            "bboxMaxCellY, '2024-01-01 00:00:00' AS computedAt FROM bodies WHERE siteId = 'site_a' "
-            "ORDER BY areaM2 DESC, waterBodyId LIMIT 50",
+            "SELECT waterBodyId, areaM2, cellCount, meanZ, minZ, maxZ, bboxMinCellX, bboxMinCellY, bboxMaxCellX, "
+            "bboxMaxCellY, '2024-01-01 00:00:00' AS computedAt FROM bodies WHERE siteId = 'site_a'",
             "bodies", scope=SITE,
         ),
         "buildings_json": chain(
-            "SELECT buildingCandidateId, tileId, heightRange, pointsUsed, cellCount, minZ, maxZ, "
+            "SELECT buildingCandidateId, tileId, heightAboveGround, heightRange, pointsUsed, cellCount, "
+            "minZ, meanZ, maxZ, "
             "'2024-01-01 00:00:00' AS computedAt FROM buildings "
             "WHERE siteId = 'site_b'",
             "buildings", scope=SITE,

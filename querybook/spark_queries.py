@@ -808,7 +808,7 @@ def run_by_id(spark, sf):
 
 @query("tiles_json")
 def tiles_json(spark, sf):
-    page = serving.list_tiles(stamped(served(spark, sf)), "site_a", order="tileId", limit=10)
+    page = serving.list_tiles(stamped(served(spark, sf)), "site_a", order="tileId", limit=None)
     texts = serving.as_payload(page, serving.TILE_PAYLOAD)
     fields = (
         "siteId string, tileId string, pointCount bigint, z_p50 double, z_p95 double, z_p99 double, "
@@ -819,13 +819,13 @@ def tiles_json(spark, sf):
 
 @query("water_json")
 def water_json(spark, sf):
-    page = serving.list_water(stamped(bodies(spark, sf, SITE)), "site_a", limit=50)
+    page = serving.list_water(stamped(bodies(spark, sf, SITE)), "site_a", limit=None)
     texts = serving.as_payload(page, serving.WATER_PAYLOAD)
     fields = (
-        "waterBodyId bigint, areaM2 double, cellCount bigint, minZ double, maxZ double, "
+        "waterBodyId bigint, areaM2 double, cellCount bigint, meanZ double, minZ double, maxZ double, "
         "bboxMinCellX int, bboxMinCellY int, bboxMaxCellX int, bboxMaxCellY int, computedAt string"
     )
-    return texts.select(F.from_json("payload", fields).alias("p")).select("p.*")
+    return rounded(texts.select(F.from_json("payload", fields).alias("p")).select("p.*"), "meanZ")
 
 
 @query("buildings_json")
@@ -833,10 +833,11 @@ def buildings_json(spark, sf):
     page = serving.list_buildings(stamped(buildings(spark, sf, SITE)), "site_b")
     texts = serving.as_payload(page, serving.BUILDING_PAYLOAD)
     fields = (
-        "buildingCandidateId string, tileId string, heightRange double, pointsUsed bigint, "
-        "cellCount bigint, minZ double, maxZ double, computedAt string"
+        "buildingCandidateId string, tileId string, heightAboveGround double, heightRange double, "
+        "pointsUsed bigint, cellCount bigint, minZ double, meanZ double, maxZ double, computedAt string"
     )
-    return texts.select(F.from_json("payload", fields).alias("p")).select("p.*")
+    found = texts.select(F.from_json("payload", fields).alias("p")).select("p.*")
+    return rounded(found, "meanZ", "heightAboveGround")
 
 
 @query("run_json")

@@ -1,13 +1,14 @@
 """Job events as a stream: first creates and the guarded state fold.
 
 Both give the result of their batch forms whatever the order of arrival. First creates
-are merged into a table in versions; job states are kept per job in the stream's state
-store, so the work of a batch is that of its own events and jobs. A retried batch
-overwrites only its own folder.
+are merged into a table in versions; job states are kept in the stream's state store,
+several jobs under one key, so a batch opens only the keys of its own jobs. A retried
+batch overwrites only its own folder.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,49 +86,62 @@ def current_creates(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-STATE_ROWS = "rank int, dated boolean, at bigint, numbered boolean, number bigint, status string"
 STATES = "jobId string, siteId string, status string, updatedAt timestamp"
-# Fixed value: the state store that processors with list state need.
+# Fixed value: the state store that processors with value state and forgetting need.
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _RANKS = {status: rank for rank in range(1, len(JOB_STATES)) for status in states_of_rank(rank)}
+# Keys of the state. A call into the state store costs far more than the ladder of a job,
+# so the jobs of one hash share a key and are read and written at once.
+BUCKETS = 1 << 14
 
 
 class JobLadder(StatefulProcessor):
-    """What a job's state can still depend on, kept per job.
+    """What the states of a bucket's jobs can still depend on, kept per job.
 
-    The state is a chain of minima: the first CREATED, the first QUEUED after it, and so
-    on. Late events only move a minimum to an earlier time, so of each rank the events
-    after the chosen one are let go; what stays are the chosen ones and those before
+    The state of a job is a chain of minima: the first CREATED, the first QUEUED after it,
+    and so on. Late events only move a minimum to an earlier time, so of each rank the
+    events after the chosen one are let go; what stays are the chosen ones and those before
     them. With `forget_after_ms` a job without events for that long is let go as a whole."""
 
     def __init__(self, forget_after_ms: int | None = None):
         self.forget_after_ms = forget_after_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getListState("kept", STATE_ROWS, ttlDurationMs=self.forget_after_ms)
-        self.site = handle.getValueState("site", "siteId string", ttlDurationMs=self.forget_after_ms)
+        # JSON: job -> [site, time of its last event here, kept events].
+        self.jobs = handle.getValueState("jobs", "jobs string", ttlDurationMs=self.forget_after_ms)
 
     def handleInputRows(self, key, rows, timerValues):
         import pandas as pd
 
-        kept, chain = _pruned(set(map(tuple, self.kept.get())))
-        site = self.site.get()
-        sites = [site[0]] if site else []
+        stored = self.jobs.get()
+        jobs = json.loads(stored[0]) if stored else {}
+        now = timerValues.getCurrentProcessingTimeInMs() if self.forget_after_ms else 0
+        if self.forget_after_ms:
+            jobs = {job: held for job, held in jobs.items() if held[1] + self.forget_after_ms > now}
+        found = {}  # job -> site, status, time
         for arrived in rows:  # in chunks, so that a job with very many events is not held
-            sites = sorted({*sites, *arrived["siteId"].dropna()})[:1]
-            arrived = arrived[arrived["rank"] > 0]
-            new = zip(*(arrived[c.split()[0]].tolist() for c in STATE_ROWS.split(", ")), strict=True)
-            kept, chain = _pruned({*kept, *new})
-        self.kept.put(kept)
-        if sites:
-            self.site.update((sites[0],))
-        top = chain[-1] if chain else (0, False, 0, False, 0, None)
+            news: dict[str, list] = {}
+            for job, site, *event in zip(*(arrived[c].tolist() for c in EVENT_COLUMNS), strict=True):
+                sites, events = news.setdefault(job, (set(), set()))
+                if isinstance(site, str):
+                    sites.add(site)
+                if event[0] > 0:
+                    events.add(tuple(event))
+            for job, (sites, events) in news.items():
+                site, _, kept = jobs.get(job, (None, 0, ()))
+                site = min(sites | ({site} - {None}), default=None)
+                kept, chain = _pruned(events.union(map(tuple, kept)))
+                jobs[job] = (site, now, kept)
+                top = chain[-1] if chain else (0, False, 0, False, 0, None)
+                found[job] = (site, top[5] or UNKNOWN, top[2] if top[1] else None)
+        self.jobs.update((json.dumps(jobs, separators=(",", ":")),))
+        sites, names, times = zip(*found.values(), strict=True)
         yield pd.DataFrame(
             {
-                "jobId": [key[0]],
-                "siteId": sites or [None],
-                "status": [top[5] or UNKNOWN],
-                "micros": pd.array([top[2] if top[1] else None], "Int64"),
+                "jobId": list(found),
+                "siteId": pd.Series(sites, dtype=object),
+                "status": names,
+                "micros": pd.array(times, "Int64"),
             }
         )
 
@@ -150,8 +164,16 @@ def _pruned(rows: set[tuple]) -> tuple[list[tuple], list[tuple]]:
     return kept, chain
 
 
-def fold_stream(events: DataFrame, forget_after_ms: int | None = None) -> DataFrame:
-    """Changing states of the jobs that each batch touches, by keyed state: STATES."""
+EVENT_COLUMNS = ("jobId", "siteId", "rank", "dated", "at", "numbered", "number", "status")
+
+
+def fold_stream(
+    events: DataFrame, forget_after_ms: int | None = None, buckets: int | None = None
+) -> DataFrame:
+    """Changing states of the jobs that each batch touches, by keyed state: STATES.
+
+    `buckets` is the number of keys of the state. A stream keeps it for as long as its
+    checkpoint; a batch reads the kept events of all jobs of the buckets it meets."""
     rank = F.coalesce(
         F.create_map(*(F.lit(x) for pair in _RANKS.items() for x in pair))[F.col("eventStatus")], F.lit(0)
     )
@@ -165,7 +187,8 @@ def fold_stream(events: DataFrame, forget_after_ms: int | None = None) -> DataFr
         F.coalesce("event_id", F.lit(0)).alias("number"),
         F.coalesce("eventStatus", F.lit("")).alias("status"),
     )
-    found = narrow.groupBy("jobId").transformWithStateInPandas(
+    bucket = F.pmod(F.xxhash64("jobId"), F.lit(buckets or BUCKETS)).cast("int").alias("bucket")
+    found = narrow.select(bucket, *EVENT_COLUMNS).groupBy("bucket").transformWithStateInPandas(
         JobLadder(forget_after_ms),
         "jobId string, siteId string, status string, micros bigint",
         "Update",

@@ -985,11 +985,13 @@ def text_truncate(spark, sf):
 
 
 def arriving(spark, sf):
-    """A stream of all events, in shuffled order and several micro-batches."""
+    """A stream of all events, in shuffled order and three micro-batches."""
     folder = scratch_path(spark, "events")
     mixed = events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    mixed.repartition(3, F.xxhash64("event_id")).write.parquet(folder)
-    return job_state.arriving_events(spark, folder, files_per_trigger=1)
+    # As many files as the cluster writes at once, so that no task writes a third of all.
+    each = -(-spark.sparkContext.defaultParallelism // 3)
+    mixed.repartition(3 * each, F.xxhash64("event_id")).write.parquet(folder)
+    return job_state.arriving_events(spark, folder, files_per_trigger=each)
 
 
 @query("stream_job_state")

@@ -181,3 +181,52 @@ def test_ladder_forgets_only_what_cannot_matter(seed):
 def test_empty_streams_give_no_rows(spark, tmp_path):
     assert job_state.current_states(spark, str(tmp_path / "none")).count() == 0
     assert job_state.current_creates(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_jobs_of_a_bucket_share_a_key_of_the_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(job_state, "BUCKETS", 8, raising=False)
+    rows = random_events(900, 200, seed=7) + [(10_000, None, "late", None, "CREATED", None, None)]
+    random.Random(2).shuffle(rows)
+    folder, out, progress = (str(tmp_path / n) for n in ("events", "states", "progress"))
+    for part in range(2):
+        spark.createDataFrame(rows[part::2], EVENT_DDL).coalesce(1).write.mode("append").parquet(folder)
+    query = job_state.run_states(job_state.arriving_events(spark, folder, 1), out, progress)
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert held and max(held) <= 8
+    found = sorted(map(str, job_state.current_states(spark, out).collect()))
+    assert found == sorted(map(str, jobs.fold_states(spark.createDataFrame(rows, EVENT_DDL)).collect()))
+
+
+def test_a_job_without_events_for_long_is_forgotten_alone():
+    """Two jobs under one key: the idle one starts anew, the other goes on."""
+    import pandas as pd
+
+    class Value:
+        held = None
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held = value
+
+    class Times:
+        def getCurrentProcessingTimeInMs(self):
+            return self.now
+
+    ladder, times = job_state.JobLadder(forget_after_ms=100), Times()
+    ladder.jobs = Value()
+
+    def send(now, *events):  # job, rank, at
+        times.now = now
+        chunk = pd.DataFrame(
+            [(j, "s", r, True, at, True, at, job_state.STATE_NAMES[r]) for j, r, at in events],
+            columns=list(job_state.EVENT_COLUMNS),
+        )
+        (out,) = ladder.handleInputRows((0,), iter([chunk]), times)
+        return dict(zip(out["jobId"], out["status"], strict=True))
+
+    assert send(0, ("a", 1, 1), ("b", 1, 1)) == {"a": "CREATED", "b": "CREATED"}
+    assert send(60, ("a", 2, 2)) == {"a": "QUEUED"}
+    assert send(120, ("a", 3, 3), ("b", 2, 2)) == {"a": "DBX_TRIGGERED", "b": "NONE"}

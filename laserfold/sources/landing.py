@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from laserfold import schemas
 
+# Rows of a landing file.
+FILE_ROWS = 250_000
+
 
 def read_points(spark: SparkSession, *paths: str, declared: bool = True) -> DataFrame:
     """Point files or folders in Parquet, with the declared schema.
@@ -26,6 +29,15 @@ def widen(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def land(df: DataFrame, folder: str, file_rows: int | None = None) -> int:
+    """Write landing files of at most `file_rows` rows, without a shuffle; returns their number.
+
+    A scan cuts files only between row groups, so the files bound what a task reads at least."""
+    most = file_rows or FILE_ROWS
+    df.write.option("maxRecordsPerFile", most).parquet(folder)
+    return len(read_points(df.sparkSession, folder).inputFiles())
+
+
 def preview(df: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     """The first n rows and a one-row count of the whole."""
     return df.limit(n), df.agg(F.count(F.lit(1)).alias("rows"))

@@ -227,8 +227,9 @@ def stream_ingest(spark, sf):
     # Half of the points come by a batch job, the others as files that arrive in turn.
     base, early = points(spark, sf), F.col("return_number") == 1
     tables.append(base.where(early), table)
-    base.where(~early).repartition(4).write.parquet(folder)
-    stream = arrivals.arriving_points(spark, folder, files_per_trigger=2)
+    files = landing.land(base.where(~early), folder)
+    # In two turns.
+    stream = arrivals.arriving_points(spark, folder, files_per_trigger=max(1, -(-files // 2)))
     arrivals.append_arrivals(stream, table, scratch_path(spark, "progress")).awaitTermination()
     return content(tables.read_table(spark, table))
 

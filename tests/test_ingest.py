@@ -152,3 +152,27 @@ def test_arrivals_join_the_rows_of_batch_jobs(spark, make_points, tmp_path):
     for _ in range(2):
         arrivals._publish_batch(again, table, "other", 0)
     assert sorted(r["x"] for r in spark.read.parquet(table).collect()) == [0.0, 1.0, 1.0, 7.0]
+
+
+def test_streamed_landing_files_are_bounded(spark, monkeypatch, tmp_path):
+    """What a task reads at least does not grow with the table; still two turns."""
+    import pyarrow.parquet as pq
+
+    from querybook import inputs, spark_queries
+
+    schema = (
+        "x double, y double, z double, intensity int, classification int, return_number int, "
+        "number_of_returns int, gps_time double, siteId string, ingestRunId string, ingestTime timestamp"
+    )
+    rows = [(float(i), 1.0, 1.0, i, 2, 1 + i % 3, 3, 0.0, f"s{i % 2}", "r", None) for i in range(300)]
+    rows += rows[-20:]  # repeated points are kept
+    table = spark.createDataFrame(rows, schema).coalesce(2)
+    monkeypatch.setattr(inputs, "raw_points", lambda *_: table)
+    monkeypatch.setattr(landing, "FILE_ROWS", 15, raising=False)
+    monkeypatch.setattr(spark_queries, "scratch_path", lambda _, name: str(tmp_path / name))
+    found = {r["siteId"]: (r["points"], r["intensity"]) for r in spark_queries.stream_ingest(spark, "").collect()}
+    want = {s: [r[3] for r in rows if r[8] == s] for s in ("s0", "s1")}
+    assert found == {s: (len(v), sum(v)) for s, v in want.items()}
+    sizes = [pq.read_metadata(f).num_rows for f in (tmp_path / "landing").glob("*.parquet")]
+    assert sum(sizes) == sum(r[5] != 1 for r in rows) and max(sizes) <= 15
+    assert len(list((tmp_path / "progress" / "commits").glob("[0-9]*"))) == 2

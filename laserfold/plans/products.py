@@ -11,10 +11,15 @@ from pyspark.sql.types import StructType
 from laserfold.operators import features, surface, tile_stats, tiling
 from laserfold.operators.ingest import clean_points, runs_per_site
 from laserfold.params import SITE, GridParams
-from laserfold.runtime import store
+from laserfold.runtime import setting, store
 from laserfold.sources import snapshots
 from laserfold.sources.tables import cluster, read_table, replace_partitions
 
+# Groups that a task folds in its hash table before it sorts its rows instead. Sketches keep
+# no more than the values of the task's scan split, so the table is bounded by that as well.
+SKETCH_GROUPS = "32768"
+SKETCH_SETTING = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+
 
 def tiled_points(
     points: DataFrame,
@@ -122,7 +127,9 @@ def publish(
         f"no tile below water ratio {params.skip_water_ratio} with {params.min_tile_points} points",
         on_empty,
     )
-    cells = save("surface_cells", surface.surface_cells(tiled, params, scope, stats=stats))
+    # The points are clustered by tile, so a task meets the cells of few tiles.
+    with setting(spark, SKETCH_SETTING, SKETCH_GROUPS):
+        cells = save("surface_cells", surface.surface_cells(tiled, params, scope, stats=stats))
     patches = save("surface_patches", surface.surface_patches(cells, params, scope, stats=stats))
     save(
         "building_candidates", features.building_candidates(patches, params, scope), clustered=False

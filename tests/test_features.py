@@ -192,3 +192,23 @@ def test_pointers_of_scopes_with_odd_names(spark, tmp_path):
     snapshots.switch(spark, root, scopes[:1], "two")
     assert snapshots.current(spark, root) == {scopes[0]: "two", scopes[1]: "one", scopes[2]: "one"}
     assert snapshots.current(spark, f"{root}/none") == {}
+
+
+def test_cells_of_a_task_are_folded_without_sorting_its_points(spark, make_points, tmp_path, monkeypatch):
+    """More cells than Spark's default of groups, and the session's own setting comes back."""
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    used, write = {}, products.replace_partitions
+
+    def noted(df, path, *rest, **more):
+        used[path.split("/")[-2]] = int(spark.conf.get(name))
+        write(df, path, *rest, **more)
+
+    monkeypatch.setattr(products, "replace_partitions", noted)
+    grid = GridParams(tile_size_m=32.0, cell_size_m=1.0, min_tile_points=1, min_points_used=1)
+    points = make_points([(x + 0.5, y + 0.5, z, 2) for x in range(30) for y in range(30) for z in (1, 2, 4)])
+    default = spark.conf.get(name)
+    out = products.publish(spark, points, str(tmp_path / "lake"), grid, on_empty="empty")
+    cells = out["surface_cells"].collect()
+    assert len(cells) == 900 and {(c["pointCount"], c["z_p50"]) for c in cells} == {(3, 2.0)}
+    assert used["surface_cells"] > 900 > used["points_tiled"]
+    assert spark.conf.get(name) == default

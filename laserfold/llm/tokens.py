@@ -41,6 +41,13 @@ CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"  # fixed values of the file
 LATIN_WORDS = re.compile(
     f"[{latin('L')}]+|{CONTRACTIONS}|[{latin('N')}]|[^{SPACES}{latin('L')}{latin('N')}]+"
 )
+# The same for texts of ASCII in lower case.
+ASCII_WORDS = re.compile(f"[a-z]+|{CONTRACTIONS}|[0-9]|[^{SPACES}a-z0-9]+")
+
+
+def words(lowered: str) -> list[str]:
+    """The pre-tokens of a text that `_plain` gave."""
+    return (ASCII_WORDS if lowered.isascii() else LATIN_WORDS).findall(lowered)
 
 
 def byte_letters() -> dict[int, str]:
@@ -68,7 +75,11 @@ class _Kept(dict):
 
 def _plain(text: str) -> str | None:
     """The text in lower case if the Latin pattern splits it as the file does, else None."""
-    if "<|" in text or not unicodedata.is_normalized("NFC", text):
+    if "<|" in text:
+        return None
+    if text.isascii():
+        return text.lower()
+    if not unicodedata.is_normalized("NFC", text):
         return None
     lowered = text.lower()
     if BEYOND_LATIN.search(text) or BEYOND_LATIN.search(lowered):
@@ -107,14 +118,14 @@ class Encoder:
             return np.array(self._library(text), "<u4").tobytes()
         lowered = _plain(text)
         if lowered is not None:
-            return b"".join(map(self.word_ids.__getitem__, LATIN_WORDS.findall(lowered)))
+            return b"".join(map(self.word_ids.__getitem__, words(lowered)))
         parts = []
         for piece in BETWEEN.findall(text):
             lowered = _plain(piece)
             if lowered is None:
                 parts.append(np.array(self._library(piece), "<u4").tobytes())
             else:
-                parts.extend(map(self.word_ids.__getitem__, LATIN_WORDS.findall(lowered)))
+                parts.extend(map(self.word_ids.__getitem__, words(lowered)))
         return b"".join(parts)
 
     def count(self, text: str) -> int:
@@ -122,14 +133,14 @@ class Encoder:
             return len(self._library(text))
         lowered = _plain(text)
         if lowered is not None:
-            return sum(map(self.word_counts.__getitem__, LATIN_WORDS.findall(lowered)))
+            return sum(map(self.word_counts.__getitem__, words(lowered)))
         total = 0
         for piece in BETWEEN.findall(text):
             lowered = _plain(piece)
             if lowered is None:
                 total += len(self._library(piece))
             else:
-                total += sum(map(self.word_counts.__getitem__, LATIN_WORDS.findall(lowered)))
+                total += sum(map(self.word_counts.__getitem__, words(lowered)))
         return total
 
     def counts(self, texts: Iterable[str]) -> list[int]:

@@ -66,3 +66,14 @@ def test_counts_of_a_sentencepiece_model(spark):
 
 def test_counts_of_an_empty_table(spark):
     assert token_counts.count_tokens(documents(spark, []), PATH).count() == 0
+
+
+def test_ascii_pretokens_are_those_of_the_latin_pattern():
+    import random
+
+    draw = random.Random(3)
+    letters = [chr(c) for c in range(128)] + list("'s't 're'll'd 09 az")
+    for _ in range(2000):
+        text = "".join(draw.choices(letters, k=draw.randint(0, 40))).lower()
+        assert tokens.words(text) == tokens.LATIN_WORDS.findall(text)
+        assert tokens.words(text + "é") == tokens.LATIN_WORDS.findall(text + "é")
